@@ -1,0 +1,26 @@
+"""Registration of queries: a name, a Spark function and, where SQL can say it, the oracle text."""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+
+Query = Callable[[SparkSession, str], DataFrame]
+
+QUERIES: dict[str, Query] = {}
+ORACLES: dict[str, str] = {}
+
+
+def query(name: str, oracle: str | None = None) -> Callable[[Query], Query]:
+    """Register the decorated ``(spark, sf_dir) -> DataFrame`` under ``name``."""
+
+    def register(function: Query) -> Query:
+        if name in QUERIES:
+            raise ValueError(f"query {name} is registered twice")
+        QUERIES[name] = function
+        if oracle is not None:
+            ORACLES[name] = oracle
+        return function
+
+    return register
