@@ -101,6 +101,56 @@ VIEWS = {
                  WHEN 6 THEN 'Cleaning valid output: f.shp' WHEN 7 THEN 'Reprojecting to EPSG:3857: f.shp'
                  ELSE 'Completed f.shp; cleaned temporary split/valid data' END AS line
         FROM {lineitem}""",
+    # expected grid cells, one per order
+    "cells": """
+        SELECT concat('G',CAST(o_orderkey AS STRING)) AS grid_id, o_custkey%25 AS boundary_id FROM {orders}""",
+    # completion records: some cells have none, some are stale, foreign or contradictory
+    "ledger": """
+        SELECT concat('G',CAST(o_orderkey AS STRING)) AS grid_id,
+               CASE WHEN o_orderkey%13=0 THEN 'other' ELSE concat('G',CAST(o_orderkey AS STRING)) END AS record_id,
+               CASE o_orderstatus WHEN 'F' THEN 'COMPLETE' WHEN 'P' THEN 'EMPTY' ELSE 'PARTIAL' END AS status,
+               CASE WHEN o_orderstatus='P' THEN CASE WHEN o_orderkey%5=0 THEN 3 ELSE 0 END ELSE 10 END AS feature_count,
+               CASE WHEN o_orderkey%17=0 THEN 'coverage-v1' ELSE 'coverage-v2' END AS data_semantics_version,
+               'national-grid-v1' AS grid_algorithm
+        FROM {orders} WHERE o_orderkey%4<>1""",
+    # files named in the records, and files found in storage
+    "ledger_files": """
+        SELECT concat('G',CAST(l_orderkey AS STRING)) AS grid_id, concat('f',CAST(l_linenumber AS STRING)) AS name,
+               min(l_partkey) AS size, concat('h',CAST(min(l_suppkey) AS STRING)) AS sha256
+        FROM {lineitem} GROUP BY l_orderkey, l_linenumber""",
+    "stored_files": """
+        SELECT concat('G',CAST(l_orderkey AS STRING)) AS grid_id, concat('f',CAST(l_linenumber AS STRING)) AS name,
+               min(l_partkey) + CASE WHEN l_orderkey%19=0 THEN 1 ELSE 0 END AS size,
+               concat('h',CAST(min(l_suppkey) AS STRING)) AS sha256
+        FROM {lineitem} WHERE l_orderkey%23<>0 OR l_linenumber<>1 GROUP BY l_orderkey, l_linenumber""",
+    # override table: one row per nation, with blank fields
+    "overrides": """
+        SELECT n_nationkey AS pos, CASE WHEN n_nationkey%2=0 THEN concat(' ',r_name,' ') ELSE '' END AS continent,
+               CASE WHEN n_nationkey%5=0 AND n_nationkey>0 THEN '' ELSE lower(n_name) END AS country,
+               CASE WHEN n_nationkey%3=0 THEN concat('T',CAST(n_nationkey*7 AS STRING)) ELSE '' END AS city,
+               CASE n_nationkey%4 WHEN 0 THEN 'bbox' WHEN 1 THEN 'Query' WHEN 2 THEN 'skip' ELSE '' END AS kind,
+               CASE WHEN n_nationkey%4=0 THEN '1.0,2.0,3.5,4' ELSE concat('v  ',n_name) END AS value,
+               concat('note ',n_name) AS note
+        FROM {nation} JOIN {region} ON n_regionkey=r_regionkey""",
+    # administrative layers: countries and their regions
+    "admin0": """
+        SELECT n_nationkey AS row_pos, n_name AS NAME, concat('Republic of ',n_name) AS NAME_LONG, n_name AS ADMIN,
+               r_name AS SOVEREIGNT, concat('alt-',n_name,' | ',n_name,'_x') AS NAME_ALT, concat('国',CAST(n_nationkey AS STRING)) AS NAME_ZH
+        FROM {nation} JOIN {region} ON n_regionkey=r_regionkey WHERE n_nationkey%6<>5""",
+    "admin1": """
+        SELECT s_suppkey AS row_pos, n_name AS admin, s_name AS name, concat(s_name,'省') AS name_zh,
+               concat('Area ',CAST(s_suppkey%40 AS STRING),';;Zone-',CAST(s_suppkey AS STRING)) AS name_alt
+        FROM {supplier} JOIN {nation} ON s_nationkey=n_nationkey""",
+    # places of tasks, spelled freely
+    "places": """
+        SELECT concat('p',CAST(c_custkey AS STRING)) AS task_id, r_name AS continent,
+               CASE c_custkey%7 WHEN 0 THEN concat(n_name,'_x') WHEN 1 THEN concat('alt_',lower(n_name))
+                                WHEN 2 THEN 'Nowhere' WHEN 3 THEN concat('area_',CAST(c_custkey%45 AS STRING))
+                                ELSE lower(n_name) END AS country,
+               CASE c_custkey%5 WHEN 0 THEN concat('ZONE ',CAST(c_custkey%300 AS STRING))
+                                WHEN 1 THEN CASE WHEN c_custkey%7>3 THEN upper(n_name) ELSE 'Else' END
+                                WHEN 2 THEN concat('Area-',CAST(c_custkey%50 AS STRING)) ELSE concat('T',CAST(c_custkey AS STRING)) END AS city
+        FROM {customer} JOIN {nation} ON c_nationkey=n_nationkey JOIN {region} ON n_regionkey=r_regionkey""",
 }
 
 NEEDS = {name: [t for t in TABLES if "{" + t + "}" in text] for name, text in VIEWS.items()}

@@ -7,6 +7,8 @@ multi-polygons. An *edge* is ``STRUCT<x1, y1, x2, y2>``.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -17,6 +19,11 @@ RINGS = f"array<array<{POINT}>>"
 EDGE = "struct<x1:double,y1:double,x2:double,y2:double>"
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once, however often (and in whatever lambda) ``body`` uses it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 # --- constructors and accessors -------------------------------------------------------------------------------
 
 def point(x: Column, y: Column) -> Column:
@@ -66,15 +73,19 @@ def normalize_zero(rings: Column) -> Column:
     return F.transform(rings, lambda r: F.transform(r, lambda p: point(p["x"] + F.lit(0.0), p["y"] + F.lit(0.0))))
 
 
+def plain_number(value: Column) -> Column:
+    """A coordinate as text without exponent, with at least one decimal: ``10020011.0``."""
+    fixed_point = value.cast("decimal(30,15)").cast("string")
+    return F.regexp_replace(fixed_point, r"(\.\d+?)0+$", "$1")
+
+
 def bbox_wkt(minx: Column, miny: Column, maxx: Column, maxy: Column) -> Column:
     """Five-point rectangle as WKT."""
 
     def pair(x: Column, y: Column) -> Column:
-        return F.concat_ws(" ", x.cast("string"), y.cast("string"))
+        return F.concat_ws(" ", plain_number(x), plain_number(y))
 
-    corners = F.concat_ws(
-        ", ", pair(minx, miny), pair(maxx, miny), pair(maxx, maxy), pair(minx, maxy), pair(minx, miny)
-    )
+    corners = F.concat_ws(",", pair(minx, miny), pair(maxx, miny), pair(maxx, maxy), pair(minx, maxy), pair(minx, miny))
     return F.concat(F.lit("POLYGON(("), corners, F.lit("))"))
 
 
@@ -102,10 +113,17 @@ def rings_as_geojson(rings: Column) -> Column:
     return F.to_json(F.struct(F.lit("Polygon").alias("type"), coordinates.alias("coordinates")))
 
 
-def signed_area(rings: Column) -> Column:
-    """Sum of the signed ring areas (counter-clockwise positive)."""
-    terms = F.transform(edges_of(rings), lambda e: (e["x1"] * e["y2"] - e["x2"] * e["y1"]) / 2)
-    return F.aggregate(terms, F.lit(0.0), lambda a, t: a + t)
+def signed_area(ring: Column) -> Column:
+    """Signed area of one ring (counter-clockwise positive), taken around its first point for precision."""
+
+    def around(origin: Column) -> Column:
+        terms = F.transform(
+            edges_of(F.array(ring)),
+            lambda e: ((e["x1"] - origin["x"]) * (e["y2"] - origin["y"]) - (e["x2"] - origin["x"]) * (e["y1"] - origin["y"])) / 2,
+        )
+        return F.aggregate(terms, F.lit(0.0), lambda total, t: total + t)
+
+    return let(F.get(ring, F.lit(0)), around)
 
 
 # --- predicates -----------------------------------------------------------------------------------------------
@@ -136,7 +154,7 @@ def edges_cover_point(edges: Column, x: Column, y: Column) -> Column:
 
 
 def rings_cover_point(rings: Column, x: Column, y: Column) -> Column:
-    return edges_cover_point(edges_of(rings), x, y)
+    return let(edges_of(rings), lambda edges: edges_cover_point(edges, x, y))
 
 
 def edge_meets_box(edge: Column, minx: Column, miny: Column, maxx: Column, maxy: Column) -> Column:
@@ -156,8 +174,11 @@ def edge_meets_box(edge: Column, minx: Column, miny: Column, maxx: Column, maxy:
 
 def rings_meet_box(rings: Column, minx: Column, miny: Column, maxx: Column, maxy: Column) -> Column:
     """Closed intersection of a geometry and a rectangle."""
-    edges = edges_of(rings)
-    return F.exists(edges, lambda e: edge_meets_box(e, minx, miny, maxx, maxy)) | odd_crossings(edges, minx, miny)
+
+    def test(edges: Column) -> Column:
+        return F.exists(edges, lambda e: edge_meets_box(e, minx, miny, maxx, maxy)) | odd_crossings(edges, minx, miny)
+
+    return let(edges_of(rings), test)
 
 
 def boxes_meet(a: dict[str, Column], b: dict[str, Column]) -> Column:
@@ -174,30 +195,41 @@ def interior_point(rings: Column) -> Column:
     The scan line lies halfway between the vertices next to the middle of the bounds, so it never runs through
     a vertex. Empty geometries give NULL; geometries without area fall back to the middle of their bounds.
     """
-    edges = edges_of(rings)
-    box = bounds_of(rings)
-    ys = F.transform(F.flatten(rings), lambda p: p["y"])
-    middle = (box["miny"] + box["maxy"]) / 2
-    below = F.coalesce(F.array_max(F.filter(ys, lambda v: v <= middle)), box["miny"])
-    above = F.coalesce(F.array_min(F.filter(ys, lambda v: v > middle)), box["maxy"])
-    scan = (below + above) / 2
-    crossings = F.array_sort(
-        F.transform(
-            F.filter(edges, lambda e: (e["y1"] > scan) != (e["y2"] > scan)),
-            lambda e: e["x1"] + (scan - e["y1"]) * ((e["x2"] - e["x1"]) / (e["y2"] - e["y1"])),
+
+    def widest_span(edges: Column, scan: Column) -> Column:
+        crossed = F.filter(edges, lambda e: (e["y1"] > scan) != (e["y2"] > scan))
+        xs = F.array_sort(
+            F.transform(crossed, lambda e: e["x1"] + (scan - e["y1"]) * ((e["x2"] - e["x1"]) / (e["y2"] - e["y1"])))
         )
-    )
-    starts = F.filter(crossings, lambda _x, i: i % 2 == 0)
-    ends = F.filter(crossings, lambda _x, i: i % 2 == 1)
-    spans = F.zip_with(
-        starts, ends, lambda a, b: F.struct((b - a).alias("width"), (-a).alias("left"), ((a + b) / 2).alias("x"))
-    )
-    widest = F.array_max(spans)
-    return (
-        F.when(~has_geometry(rings), F.lit(None).cast(POINT))
-        .when(widest["width"] > 0, point(widest["x"], scan))
-        .otherwise(point((box["minx"] + box["maxx"]) / 2, middle))
-    )
+
+        def spans(sorted_xs: Column) -> Column:
+            starts = F.filter(sorted_xs, lambda _x, i: i % 2 == 0)
+            ends = F.filter(sorted_xs, lambda _x, i: i % 2 == 1)
+            widths = F.zip_with(
+                starts, ends, lambda a, b: F.struct((b - a).alias("width"), (-a).alias("left"), ((a + b) / 2).alias("x"), scan.alias("y"))
+            )
+            return F.array_max(widths)
+
+        return let(xs, spans)
+
+    def scan_line(box: Column) -> Column:
+        def near_middle(ys: Column) -> Column:
+            middle = (box["miny"] + box["maxy"]) / 2
+            below = F.coalesce(F.array_max(F.filter(ys, lambda v: v <= middle)), box["miny"])
+            above = F.coalesce(F.array_min(F.filter(ys, lambda v: v > middle)), box["maxy"])
+            return (below + above) / 2
+
+        return let(F.transform(F.flatten(rings), lambda p: p["y"]), near_middle)
+
+    def choose(box: Column) -> Column:
+        def point_of(span: Column) -> Column:
+            centre = point((box["minx"] + box["maxx"]) / 2, (box["miny"] + box["maxy"]) / 2)
+            return F.when(F.coalesce(span["width"] > 0, F.lit(False)), point(span["x"], span["y"])).otherwise(centre)
+
+        found = let(scan_line(box), lambda scan: let(edges_of(rings), lambda edges: widest_span(edges, scan)))
+        return let(found, point_of)
+
+    return F.when(has_geometry(rings), let(bounds_of(rings), choose))
 
 
 def mercator_x(lon: Column) -> Column:
@@ -228,8 +260,8 @@ def utm_zone(lon: Column) -> Column:
     return F.least(F.lit(60), F.greatest(F.lit(1), (F.floor((lon + 180) / 6) + 1).cast("int")))
 
 
-def utm_xy(lon: Column, lat: Column, zone: Column) -> tuple[Column, Column]:
-    """Transverse Mercator on WGS 84 (third-order series in the third flattening), metres.
+def utm_point(lon: Column, lat: Column, zone: Column) -> Column:
+    """Transverse Mercator on WGS 84 (third-order series in the third flattening), metres, as a point.
 
     False easting and northing are left out: the coordinates only serve distances within one zone.
     """
@@ -240,17 +272,23 @@ def utm_xy(lon: Column, lat: Column, zone: Column) -> tuple[Column, Column]:
         13 * n**2 / 48 - 3 * n**3 / 5,
         61 * n**3 / 240,
     ]
-    phi = F.radians(lat)
-    lam = F.radians(lon - (zone * 6 - 183))
     k = 2 * n**0.5 / (1 + n)
-    t = F.sinh(F.atanh(F.sin(phi)) - F.lit(k) * F.atanh(F.lit(k) * F.sin(phi)))
-    xi = F.atan2(t, F.cos(lam))
-    eta = F.atanh(F.sin(lam) / F.sqrt(1 + t * t))
-    x, y = eta, xi
-    for order, a in enumerate(alpha, start=1):
-        x = x + F.lit(a) * F.cos(2 * order * xi) * F.sinh(2 * order * eta)
-        y = y + F.lit(a) * F.sin(2 * order * xi) * F.cosh(2 * order * eta)
-    return F.lit(0.9996 * radius) * x, F.lit(0.9996 * radius) * y
+
+    def series(a: Column) -> Column:
+        x, y = a["eta"], a["xi"]
+        for order, factor in enumerate(alpha, start=1):
+            x = x + F.lit(factor) * F.cos(2 * order * a["xi"]) * F.sinh(2 * order * a["eta"])
+            y = y + F.lit(factor) * F.sin(2 * order * a["xi"]) * F.cosh(2 * order * a["eta"])
+        return point(F.lit(0.9996 * radius) * x, F.lit(0.9996 * radius) * y)
+
+    def angles(a: Column) -> Column:
+        xi = F.atan2(a["t"], F.cos(a["lam"]))
+        eta = F.atanh(F.sin(a["lam"]) / F.sqrt(1 + a["t"] * a["t"]))
+        return let(F.struct(xi.alias("xi"), eta.alias("eta")), series)
+
+    sine, lam = F.sin(F.radians(lat)), F.radians(lon - (zone * 6 - 183))
+    conformal = F.sinh(F.atanh(sine) - F.lit(k) * F.atanh(F.lit(k) * sine))
+    return let(F.struct(conformal.alias("t"), lam.alias("lam")), angles)
 
 
 def edge_distance(edge: Column, x: Column, y: Column) -> Column:

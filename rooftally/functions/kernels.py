@@ -9,7 +9,7 @@ import struct
 from collections import defaultdict
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -18,8 +18,28 @@ RINGS_TYPE = T.ArrayType(T.ArrayType(POINT_TYPE))
 CUT_TYPE = T.StructType([T.StructField("geom_type", T.StringType()), T.StructField("rings", RINGS_TYPE)])
 
 
-def _ring_array(ring) -> np.ndarray:
-    return np.array([(p["x"], p["y"]) for p in ring], dtype=float).reshape(-1, 2)
+def _nested(column: pa.ListArray, fields: list[str]) -> list[list[np.ndarray] | None]:
+    """Rows of ``array<array<struct>>`` as lists of two-dimensional arrays, straight from the Arrow buffers."""
+    inner = column.values
+    members = inner.values
+    flat = np.column_stack([members.field(f).to_numpy(zero_copy_only=False) for f in fields]) if len(members) else np.empty((0, len(fields)))
+    outer_at, inner_at = column.offsets.to_numpy(), inner.offsets.to_numpy()
+    missing = column.is_null().to_numpy(zero_copy_only=False)
+    return [
+        None if missing[row] else [flat[inner_at[k] : inner_at[k + 1]] for k in range(outer_at[row], outer_at[row + 1])]
+        for row in range(len(column))
+    ]
+
+
+def _as_rings(rows: list[list[np.ndarray] | None]) -> pa.ListArray:
+    """The other way round: lists of point arrays to an Arrow ``array<array<struct<x, y>>>``."""
+    rings = [ring for row in rows if row for ring in row]
+    points = np.vstack(rings) if rings else np.empty((0, 2))
+    members = pa.StructArray.from_arrays([pa.array(points[:, 0]), pa.array(points[:, 1])], ["x", "y"])
+    inner = pa.ListArray.from_arrays(pa.array(np.cumsum([0] + [len(r) for r in rings]), pa.int32()), members)
+    ends = np.cumsum([0] + [len(r) if r else 0 for r in rows])
+    missing = pa.array([r is None for r in rows], pa.bool_())
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), inner, mask=missing)
 
 
 def _edge_array(rings: list[np.ndarray]) -> np.ndarray:
@@ -90,7 +110,7 @@ def valid_polygon(rings) -> bool:
     within a ring, rings meeting in single points only. Nesting is free, as rings carry no shell or hole role."""
     if rings is None or len(rings) == 0:
         return False
-    arrays = [_ring_array(r) for r in rings]
+    arrays = rings
     edges, ring_of, rank, sizes = [], [], [], []
     for number, ring in enumerate(arrays):
         if len(ring) < 4 or not np.isfinite(ring).all() or np.any(ring[0] != ring[-1]):
@@ -105,9 +125,9 @@ def valid_polygon(rings) -> bool:
     return not _segments_conflict(np.vstack(edges), np.concatenate(ring_of), np.concatenate(rank), np.array(sizes))
 
 
-@F.pandas_udf(T.BooleanType())
-def is_valid(rings: pd.Series) -> pd.Series:
-    return rings.map(valid_polygon, na_action=None).astype(bool)
+@F.arrow_udf(T.BooleanType())
+def is_valid(rings: pa.Array) -> pa.Array:
+    return pa.array([valid_polygon(r) for r in _nested(rings, ["x", "y"])], pa.bool_())
 
 
 # --- overlay --------------------------------------------------------------------------------------------------
@@ -167,14 +187,13 @@ def _link(pieces: np.ndarray) -> list[list[tuple[float, float]]]:
     return rings
 
 
-def overlay(rings, parts, digits: int = 12) -> dict | None:
+def overlay(rings: list[np.ndarray], masks: list[np.ndarray], digits: int = 12) -> tuple[str, list[np.ndarray]] | None:
     """Common part of a polygon and the union of edge-set polygons; NULL when they do not meet.
 
     Kept outline: pieces of the polygon inside the mask, and pieces of a mask part inside the polygon but in no
     other part. Pieces on both outlines count once, when both interiors lie on the same side.
     """
-    shape = _edge_array([_ring_array(r) for r in rings])
-    masks = [np.array([(e["x1"], e["y1"], e["x2"], e["y2"]) for e in part], dtype=float).reshape(-1, 4) for part in parts]
+    shape = _edge_array(rings)
     masks = [m[np.any(m[:, :2] != m[:, 2:], axis=1)] for m in masks]
     low, high = shape[:, :2].min(axis=0), shape[:, :2].max(axis=0)
     near = [
@@ -240,46 +259,46 @@ def overlay(rings, parts, digits: int = 12) -> dict | None:
         directed = np.where(swapped[:, None], outline[:, [2, 3, 0, 1]], outline)
         rings_out = _link(np.unique(directed, axis=0))
         if rings_out:
-            return {"geom_type": "POLYGON", "rings": [[{"x": x, "y": y} for x, y in r] for r in rings_out]}
+            return "POLYGON", [np.array(r) for r in rings_out]
     if len(contact):
-        return {"geom_type": "LINESTRING", "rings": [[{"x": a, "y": b}, {"x": c, "y": d}] for a, b, c, d in contact]}
+        return "LINESTRING", [line.reshape(2, 2) for line in contact]
     spots = np.unique(np.vstack([own[:, :2], own[:, 2:]]), axis=0)
     spots = spots[in_mask(spots) >= 0]
     if len(spots):
-        return {"geom_type": "POINT", "rings": [[{"x": x, "y": y}] for x, y in spots]}
+        return "POINT", [spot.reshape(1, 2) for spot in spots]
     return None
 
 
-@F.pandas_udf(CUT_TYPE)
-def common_part(rings: pd.Series, parts: pd.Series) -> pd.DataFrame:
-    empty = {"geom_type": None, "rings": None}
-    cuts = [overlay(r, p) or empty for r, p in zip(rings, parts)]
-    return pd.DataFrame(cuts, columns=["geom_type", "rings"])
+@F.arrow_udf(CUT_TYPE)
+def common_part(rings: pa.Array, parts: pa.Array) -> pa.Array:
+    """``rings`` cut to the union of the mask ``parts`` (each an array of edges); NULL members without contact."""
+    shapes, masks = _nested(rings, ["x", "y"]), _nested(parts, ["x1", "y1", "x2", "y2"])
+    cuts = [overlay(s, m) or (None, None) for s, m in zip(shapes, masks)]
+    kinds = pa.array([kind for kind, _ in cuts], pa.string())
+    return pa.StructArray.from_arrays([kinds, _as_rings([r for _, r in cuts])], ["geom_type", "rings"])
 
 
 # --- binary form ----------------------------------------------------------------------------------------------
 
-def polygon_wkb(rings) -> bytes | None:
+def polygon_wkb(rings: list[np.ndarray] | None) -> bytes | None:
     if rings is None:
         return None
-    out = [struct.pack("<BII", 1, 3, len(rings))]
-    for ring in rings:
-        out.append(struct.pack("<I", len(ring)) + (_ring_array(ring) + 0.0).astype("<f8").tobytes())
-    return b"".join(out)
+    head = struct.pack("<BII", 1, 3, len(rings))
+    return head + b"".join(struct.pack("<I", len(r)) + (r + 0.0).astype("<f8").tobytes() for r in rings)
 
 
-@F.pandas_udf(T.BinaryType())
-def as_wkb(rings: pd.Series) -> pd.Series:
+@F.arrow_udf(T.BinaryType())
+def as_wkb(rings: pa.Array) -> pa.Array:
     """Well-known binary of a polygon, little-endian, -0.0 written as 0.0."""
-    return rings.map(polygon_wkb, na_action=None)
+    return pa.array([polygon_wkb(r) for r in _nested(rings, ["x", "y"])], pa.binary())
 
 
-def polygon_from_wkb(data: bytes | None) -> list | None:
+def polygon_from_wkb(data: bytes | None) -> list[np.ndarray] | None:
     """Rings of a WKB Polygon or MultiPolygon (parts flattened), either byte order, two dimensions."""
     if data is None:
         return None
 
-    def read(at: int) -> tuple[list, int]:
+    def read(at: int) -> tuple[list[np.ndarray], int]:
         order = "<" if data[at] == 1 else ">"
         kind, count = struct.unpack_from(order + "II", data, at + 1)
         at += 9
@@ -290,14 +309,13 @@ def polygon_from_wkb(data: bytes | None) -> list | None:
                 found += inner
             else:
                 (n,) = struct.unpack_from(order + "I", data, at)
-                flat = np.frombuffer(data, order + "f8", 2 * n, at + 4).reshape(-1, 2)
-                found.append([{"x": float(x), "y": float(y)} for x, y in flat])
+                found.append(np.frombuffer(data, order + "f8", 2 * n, at + 4).reshape(-1, 2).astype(float))
                 at += 4 + 16 * n
         return found, at
 
     return read(0)[0]
 
 
-@F.pandas_udf(RINGS_TYPE)
-def from_wkb(data: pd.Series) -> pd.Series:
-    return data.map(polygon_from_wkb, na_action=None)
+@F.arrow_udf(RINGS_TYPE)
+def from_wkb(data: pa.Array) -> pa.Array:
+    return _as_rings([polygon_from_wkb(d.as_py()) for d in data])

@@ -15,7 +15,7 @@ from rooftally.fixed_values import WORLD_MIN_X, WORLD_MIN_Y
 from rooftally.functions import geometry as geo
 from rooftally.functions import grid
 from rooftally.functions import kernels
-from rooftally.session import SALTS, has_at_most, lookup_join
+from rooftally.session import has_at_most, lookup_join, stage
 
 # Cells are compared with this much slack (degrees), so that rounding can only add exact tests, never skip one.
 SLACK = 1e-9
@@ -186,7 +186,7 @@ def assign_to_boundary(
     inside = F.col("fully_inside") | F.exists(
         "polygons", lambda edges: geo.edges_cover_point(edges, F.col(x), F.col(y))
     )
-    joined = lookup_join(located, cover, ["cell_i", "cell_j"], condition=inside)
+    joined = lookup_join(located, stage(cover), ["cell_i", "cell_j"], condition=inside)
     return joined.drop("cell_i", "cell_j", "fully_inside", "polygons")
 
 
@@ -222,20 +222,25 @@ def assign_with_buffer(
             "cell_j": grid.join_cell(F.col(y), WORLD_MIN_Y, size),
         }
     )
-    px, py = geo.utm_xy(F.col(x), F.col(y), F.col("_zone"))
 
     def projected(edge: Column) -> Column:
-        x1, y1 = geo.utm_xy(edge["x1"], edge["y1"], F.col("_zone"))
-        x2, y2 = geo.utm_xy(edge["x2"], edge["y2"], F.col("_zone"))
-        return F.struct(x1.alias("x1"), y1.alias("y1"), x2.alias("x2"), y2.alias("y2"))
+        def ends(start: Column) -> Column:
+            return geo.let(
+                geo.utm_point(edge["x2"], edge["y2"], F.col("_zone")),
+                lambda end: F.struct(start["x"].alias("x1"), start["y"].alias("y1"), end["x"].alias("x2"), end["y"].alias("y2")),
+            )
 
-    cover = cover.withColumn("_metric", F.transform("polygons", lambda edges: F.transform(edges, projected)))
-    near = F.exists(
-        F.flatten(F.col("_metric")), lambda e: geo.edge_distance(e, px, py) <= F.lit(float(buffer_m))
-    )
+        return geo.let(geo.utm_point(edge["x1"], edge["y1"], F.col("_zone")), ends)
+
+    cover = stage(cover.withColumn("_metric", F.flatten(F.transform("polygons", lambda edges: F.transform(edges, projected)))))
+    joined = lookup_join(located, cover, ["cell_i", "cell_j"])
     inside = F.exists("polygons", lambda edges: geo.edges_cover_point(edges, F.col(x), F.col(y)))
-    joined = lookup_join(located, cover, ["cell_i", "cell_j"], condition=F.col("fully_inside") | inside | near)
-    return joined.drop("cell_i", "cell_j", "fully_inside", "polygons", "_metric", "_zone")
+    near = geo.let(
+        geo.utm_point(F.col(x), F.col(y), F.col("_zone")),
+        lambda p: F.exists("_metric", lambda e: geo.edge_distance(e, p["x"], p["y"]) <= F.lit(float(buffer_m))),
+    )
+    kept = joined.filter(F.col("fully_inside") | inside | near)
+    return kept.drop("cell_i", "cell_j", "fully_inside", "polygons", "_metric", "_zone")
 
 
 # --- polygon against polygon ----------------------------------------------------------------------------------
@@ -250,30 +255,24 @@ def _feature_cells(features: DataFrame, size: float) -> DataFrame:
 
 
 def _feature_mask_edges(features: DataFrame, masks: DataFrame, size: float, feature_key: str) -> DataFrame:
-    """Per feature the mask edges around it, one array per mask polygon, and whether it lies wholly inside."""
+    """Per feature the mask edges around it, one array per mask polygon (``parts``)."""
     cover = cover_cells(masks.withColumn("_mask", F.lit(0)), size, "_mask", edges_everywhere=True).drop("_mask")
     spans = _feature_cells(features.select(feature_key, "minx", "miny", "maxx", "maxy"), size)
     cells = (
         spans.withColumn("cell_j", F.explode(F.sequence("_j0", "_j1")))
-        .withColumn("_cells", (F.col("_i1") - F.col("_i0") + 1) * (F.col("_j1") - F.col("_j0") + 1))
         .withColumn("cell_i", F.explode(F.sequence("_i0", "_i1")))
         .drop("_i0", "_i1", "_j0", "_j1")
     )
     # an edge of a cell is only needed when it reaches the feature's rows and does not end left of the feature
-    hit = lookup_join(cells, cover, ["cell_i", "cell_j"])
+    hit = lookup_join(cells, stage(cover), ["cell_i", "cell_j"])
     needed = F.filter(
         F.coalesce(F.col("edges"), F.array().cast(f"array<{geo.EDGE}>")),
-        lambda e: (F.greatest(e["x1"], e["x2"]) >= F.col("minx"))
-        & (F.least(e["y1"], e["y2"]) <= F.col("maxy"))
-        & (F.greatest(e["y1"], e["y2"]) >= F.col("miny")),
-    )
-    per_part = hit.groupBy(feature_key, "_poly").agg(
-        (F.count_if("fully_inside") == F.max("_cells")).alias("_all_in"),
-        F.array_distinct(F.flatten(F.collect_list(needed))).alias("edges"),
-    )
-    return per_part.groupBy(feature_key).agg(
-        F.max("_all_in").alias("_wholly_inside"), F.collect_list("edges").alias("parts")
+        lambda e: (F.greatest(e["x1"], e["x2"]) >= F.col("minx") - SLACK)
+        & (F.least(e["y1"], e["y2"]) <= F.col("maxy") + SLACK)
+        & (F.greatest(e["y1"], e["y2"]) >= F.col("miny") - SLACK),
     )
+    per_part = hit.groupBy(feature_key, "_poly").agg(F.array_distinct(F.flatten(F.collect_list(needed))).alias("edges"))
+    return per_part.groupBy(feature_key).agg(F.collect_list("edges").alias("parts"))
 
 
 def clip(features: DataFrame, masks: DataFrame, size: float = 0.25, feature_key: str = "feature_id") -> DataFrame:
@@ -281,20 +280,30 @@ def clip(features: DataFrame, masks: DataFrame, size: float = 0.25, feature_key:
 
     ``features``: unique ``feature_key``, ``rings`` and attributes; ``masks``: ``rings``, one row per polygon, in
     the same reference system. Every feature comes out at most once; pure line or point contacts are kept, with
-    ``geom_type`` saying so. Features in cells wholly inside the mask pass through without any exact work.
+    ``geom_type`` saying so. Only features that a mask edge really reaches go through the overlay kernel; the
+    others are wholly inside or wholly outside, which one point decides.
     """
     bounded = with_bounds(features.filter(geo.has_geometry(F.col("rings"))))
     touched = _feature_mask_edges(bounded, masks, size, feature_key)
-    joined = bounded.join(touched, feature_key)
-    whole = (
-        joined.filter("_wholly_inside").drop("parts", "_wholly_inside").withColumn("geom_type", F.lit("POLYGON"))
+    # a fixed number of partitions: small rows, but much work per row in the kernel
+    spread = int(features.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    joined = bounded.repartition(spread, feature_key).join(touched, feature_key)
+    box = [F.col("minx") - SLACK, F.col("miny") - SLACK, F.col("maxx") + SLACK, F.col("maxy") + SLACK]
+    first = F.get(F.get("rings", F.lit(0)), F.lit(0))
+    joined = joined.withColumns(
+        {
+            "_reached": F.exists("parts", lambda edges: F.exists(edges, lambda e: geo.edge_meets_box(e, *box))),
+            "_inside": F.exists("parts", lambda edges: geo.odd_crossings(edges, first["x"], first["y"])),
+        }
     )
-    partial = joined.filter(~F.col("_wholly_inside")).withColumn("_cut", kernels.common_part("rings", "parts"))
+    helpers = ["parts", "_reached", "_inside"]
+    whole = joined.filter("not _reached and _inside").drop(*helpers).withColumn("geom_type", F.lit("POLYGON"))
+    partial = joined.filter("_reached").withColumn("_cut", kernels.common_part("rings", "parts"))
     cut = (
         partial.filter(F.col("_cut.geom_type").isNotNull())
         .withColumn("rings", F.col("_cut.rings"))
         .withColumn("geom_type", F.col("_cut.geom_type"))
-        .drop("parts", "_wholly_inside", "_cut")
+        .drop(*helpers, "_cut")
     )
     return with_bounds(whole.unionByName(cut))
 
@@ -322,6 +331,6 @@ def shared_cells(grid_rows: DataFrame, first: object, second: object, key: str =
 
 
 __all__ = [
-    "SALTS", "assign_to_boundary", "assign_with_buffer", "boundary_to_grid", "box_columns", "clip", "clip_boxes",
+    "assign_to_boundary", "assign_with_buffer", "boundary_to_grid", "box_columns", "clip", "clip_boxes",
     "cover_cells", "filter_rectangle", "polygons_only", "scan_bbox", "shared_cells", "with_bounds",
 ]

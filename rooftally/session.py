@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 # A side of a join is broadcast only after a count has shown that it has no more rows than this.
@@ -107,10 +107,10 @@ def with_position(df: DataFrame, *order: Column | str, name: str = "position", p
         .withColumn("_part", F.spark_partition_id())
         .withColumn("_nth", F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)))
     )
-    # One row per partition: never more than ``count`` rows, so the array below is bounded as well.
+    # One row per partition: the running sum sees no more than ``count`` rows.
     sizes = stamped.groupBy("_part").agg(F.count(F.lit(1)).alias("_size"))
-    before = sizes.alias("a").join(F.broadcast(sizes.alias("b")), F.col("b._part") < F.col("a._part"), "left")
-    offsets = before.groupBy(F.col("a._part").alias("_part")).agg(F.coalesce(F.sum("b._size"), F.lit(0)).alias("_before"))
+    earlier = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select("_part", F.coalesce(F.sum("_size").over(earlier), F.lit(0)).alias("_before"))
     return (
         stamped.join(F.broadcast(offsets), "_part")
         .withColumn(name, F.col("_before") + F.col("_nth") + 1)

@@ -73,7 +73,7 @@ def compare(spark, con, sf_dir: str, name: str):
 def main() -> int:
     arguments = sys.argv[1:]
     sf_dir = arguments.pop(0) if arguments and "/" in arguments[0] else "/root/testdata/sf0.01"
-    spark = build_session("check", "local[8]", **{"spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false", "spark.driver.memory": "8g"})
+    spark = build_session("check", "local[8]", **{"spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false", "spark.driver.memory": "8g"})
     spark.sparkContext.setLogLevel("ERROR")
     con = duck(sf_dir)
     bad = 0
