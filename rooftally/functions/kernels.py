@@ -273,7 +273,7 @@ def overlay(rings: list[np.ndarray], masks: list[np.ndarray], digits: int = 12)
 def common_part(rings: pa.Array, parts: pa.Array) -> pa.Array:
     """``rings`` cut to the union of the mask ``parts`` (each an array of edges); NULL members without contact."""
     shapes, masks = _nested(rings, ["x", "y"]), _nested(parts, ["x1", "y1", "x2", "y2"])
-    cuts = [overlay(s, m) or (None, None) for s, m in zip(shapes, masks)]
+    cuts = [(s is not None and overlay(s, m)) or (None, None) for s, m in zip(shapes, masks)]
     kinds = pa.array([kind for kind, _ in cuts], pa.string())
     return pa.StructArray.from_arrays([kinds, _as_rings([r for _, r in cuts])], ["geom_type", "rings"])
 

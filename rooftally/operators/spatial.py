@@ -245,34 +245,49 @@ def assign_with_buffer(
 
 # --- polygon against polygon ----------------------------------------------------------------------------------
 
-def _feature_cells(features: DataFrame, size: float) -> DataFrame:
-    return features.withColumns(
-        {
-            "_i0": grid.join_cell(F.col("minx"), WORLD_MIN_X, size), "_i1": grid.join_cell(F.col("maxx"), WORLD_MIN_X, size),
-            "_j0": grid.join_cell(F.col("miny"), WORLD_MIN_Y, size), "_j1": grid.join_cell(F.col("maxy"), WORLD_MIN_Y, size),
-        }
+def _needed(edges: Column) -> Column:
+    """Edges of a cell that matter for one feature: they reach its rows and do not end left of it."""
+    return F.filter(
+        edges,
+        lambda e: (F.greatest(e["x1"], e["x2"]) >= F.col("minx") - SLACK)
+        & (F.least(e["y1"], e["y2"]) <= F.col("maxy") + SLACK)
+        & (F.greatest(e["y1"], e["y2"]) >= F.col("miny") - SLACK),
     )
 
 
-def _feature_mask_edges(features: DataFrame, masks: DataFrame, size: float, feature_key: str) -> DataFrame:
-    """Per feature the mask edges around it, one array per mask polygon (``parts``)."""
-    cover = cover_cells(masks.withColumn("_mask", F.lit(0)), size, "_mask", edges_everywhere=True).drop("_mask")
-    spans = _feature_cells(features.select(feature_key, "minx", "miny", "maxx", "maxy"), size)
+def _with_mask_parts(features: DataFrame, masks: DataFrame, size: float, feature_key: str) -> DataFrame:
+    """Features near the mask with ``parts``: the mask edges around them, one array per mask polygon.
+
+    Nearly all features lie in one cell and get the parts of that cell by a plain join. Those that span several
+    cells are exploded, and the edges of their cells put together.
+    """
+    cover = stage(cover_cells(masks.withColumn("_mask", F.lit(0)), size, "_mask", edges_everywhere=True).drop("_mask"))
+    spans = features.withColumns(
+        {
+            "cell_i": grid.join_cell(F.col("minx"), WORLD_MIN_X, size), "_i1": grid.join_cell(F.col("maxx"), WORLD_MIN_X, size),
+            "cell_j": grid.join_cell(F.col("miny"), WORLD_MIN_Y, size), "_j1": grid.join_cell(F.col("maxy"), WORLD_MIN_Y, size),
+        }
+    )
+    one_cell = (F.col("cell_i") == F.col("_i1")) & (F.col("cell_j") == F.col("_j1"))
+    by_cell = cover.groupBy("cell_i", "cell_j").agg(F.collect_list("edges").alias("parts"))
+    single = lookup_join(spans.filter(one_cell).drop("_i1", "_j1"), by_cell, ["cell_i", "cell_j"])
+    single = single.withColumn("parts", F.transform("parts", _needed)).drop("cell_i", "cell_j")
+    several = spans.filter(~one_cell)
     cells = (
-        spans.withColumn("cell_j", F.explode(F.sequence("_j0", "_j1")))
-        .withColumn("cell_i", F.explode(F.sequence("_i0", "_i1")))
-        .drop("_i0", "_i1", "_j0", "_j1")
+        several.select(feature_key, "minx", "miny", "maxx", "maxy", "cell_i", "cell_j", "_i1", "_j1")
+        .withColumn("cell_j", F.explode(F.sequence("cell_j", "_j1")))
+        .withColumn("cell_i", F.explode(F.sequence("cell_i", "_i1")))
+        .drop("_i1", "_j1")
     )
-    # an edge of a cell is only needed when it reaches the feature's rows and does not end left of the feature
-    hit = lookup_join(cells, stage(cover), ["cell_i", "cell_j"])
-    needed = F.filter(
-        F.coalesce(F.col("edges"), F.array().cast(f"array<{geo.EDGE}>")),
-        lambda e: (F.greatest(e["x1"], e["x2"]) >= F.col("minx") - SLACK)
-        & (F.least(e["y1"], e["y2"]) <= F.col("maxy") + SLACK)
-        & (F.greatest(e["y1"], e["y2"]) >= F.col("miny") - SLACK),
+    hit = lookup_join(cells, cover, ["cell_i", "cell_j"])
+    gathered = (
+        hit.groupBy(feature_key, "_poly")
+        .agg(F.array_distinct(F.flatten(F.collect_list(_needed(F.col("edges"))))).alias("edges"))
+        .groupBy(feature_key)
+        .agg(F.collect_list("edges").alias("parts"))
     )
-    per_part = hit.groupBy(feature_key, "_poly").agg(F.array_distinct(F.flatten(F.collect_list(needed))).alias("edges"))
-    return per_part.groupBy(feature_key).agg(F.collect_list("edges").alias("parts"))
+    joined = several.drop("cell_i", "cell_j", "_i1", "_j1").join(gathered, feature_key)
+    return single.unionByName(joined)
 
 
 def clip(features: DataFrame, masks: DataFrame, size: float = 0.25, feature_key: str = "feature_id") -> DataFrame:
@@ -284,28 +299,21 @@ def clip(features: DataFrame, masks: DataFrame, size: float = 0.25, feature_key:
     others are wholly inside or wholly outside, which one point decides.
     """
     bounded = with_bounds(features.filter(geo.has_geometry(F.col("rings"))))
-    touched = _feature_mask_edges(bounded, masks, size, feature_key)
-    # a fixed number of partitions: small rows, but much work per row in the kernel
-    spread = int(features.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    joined = bounded.repartition(spread, feature_key).join(touched, feature_key)
+    near = _with_mask_parts(bounded, masks, size, feature_key)
     box = [F.col("minx") - SLACK, F.col("miny") - SLACK, F.col("maxx") + SLACK, F.col("maxy") + SLACK]
     first = F.get(F.get("rings", F.lit(0)), F.lit(0))
-    joined = joined.withColumns(
+    reached = F.exists("parts", lambda edges: F.exists(edges, lambda e: geo.edge_meets_box(e, *box)))
+    inside = F.exists("parts", lambda edges: geo.odd_crossings(edges, first["x"], first["y"]))
+    kept = near.withColumns({"_reached": reached, "_inside": inside}).filter("_reached or _inside")
+    asked = [F.when(F.col("_reached"), F.col(c)) for c in ("rings", "parts")]
+    cut = kept.withColumn("_cut", kernels.common_part(*asked)).filter("not _reached or _cut.geom_type is not null")
+    result = cut.withColumns(
         {
-            "_reached": F.exists("parts", lambda edges: F.exists(edges, lambda e: geo.edge_meets_box(e, *box))),
-            "_inside": F.exists("parts", lambda edges: geo.odd_crossings(edges, first["x"], first["y"])),
+            "rings": F.when(F.col("_reached"), F.col("_cut.rings")).otherwise(F.col("rings")),
+            "geom_type": F.when(F.col("_reached"), F.col("_cut.geom_type")).otherwise(F.lit("POLYGON")),
         }
     )
-    helpers = ["parts", "_reached", "_inside"]
-    whole = joined.filter("not _reached and _inside").drop(*helpers).withColumn("geom_type", F.lit("POLYGON"))
-    partial = joined.filter("_reached").withColumn("_cut", kernels.common_part("rings", "parts"))
-    cut = (
-        partial.filter(F.col("_cut.geom_type").isNotNull())
-        .withColumn("rings", F.col("_cut.rings"))
-        .withColumn("geom_type", F.col("_cut.geom_type"))
-        .drop(*helpers, "_cut")
-    )
-    return with_bounds(whole.unionByName(cut))
+    return with_bounds(result.drop("parts", "_reached", "_inside", "_cut"))
 
 
 def clip_boxes(features: DataFrame, minx: float, miny: float, maxx: float, maxy: float) -> DataFrame:
