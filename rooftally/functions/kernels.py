@@ -70,64 +70,100 @@ def _locate(points: np.ndarray, edges: np.ndarray, tolerance: float = 0.0) -> np
 
 # --- validity -------------------------------------------------------------------------------------------------
 
-def _segments_conflict(edges: np.ndarray, ring_of: np.ndarray, rank: np.ndarray, sizes: np.ndarray) -> bool:
-    """Whether two edges cross, overlap, or touch anywhere but at the joint of neighbours or ring to ring."""
+# Polygons with up to this many edges are tested in whole batches, all pairs of edges at once.
+SMALL_EDGES = 40
+PAIRS_AT_ONCE = 1_000_000
+
+
+def _conflict(a: np.ndarray, b: np.ndarray, may_touch: np.ndarray) -> np.ndarray:
+    """Whether edges cross, overlap, or touch where they must not (pairwise, last axis x1 y1 x2 y2)."""
+    ax, ay, bx, by = np.moveaxis(a, -1, 0)
+    cx, cy, dx, dy = np.moveaxis(b, -1, 0)
+    s1 = np.sign(_cross(bx - ax, by - ay, cx - ax, cy - ay))
+    s2 = np.sign(_cross(bx - ax, by - ay, dx - ax, dy - ay))
+    s3 = np.sign(_cross(dx - cx, dy - cy, ax - cx, ay - cy))
+    s4 = np.sign(_cross(dx - cx, dy - cy, bx - cx, by - cy))
+    flat = (s1 == 0) & (s2 == 0)
+    meet = (s1 * s2 <= 0) & (s3 * s4 <= 0) & ~flat
+    crossing = (s1 * s2 < 0) & (s3 * s4 < 0)
+
+    def shared(p1, p2, q1, q2):
+        return np.minimum(np.maximum(p1, p2), np.maximum(q1, q2)) - np.maximum(np.minimum(p1, p2), np.minimum(q1, q2))
+
+    wide = np.abs(bx - ax) >= np.abs(by - ay)
+    overlap = np.where(wide, shared(ax, bx, cx, dx), shared(ay, by, cy, dy))
+    across = np.where(wide, shared(ay, by, cy, dy), shared(ax, bx, cx, dx))
+    laid_on = flat & (overlap > 0) & (across >= 0)
+    end_to_end = flat & (overlap == 0) & (across >= 0)
+    return crossing | laid_on | ((meet | end_to_end) & ~may_touch)
+
+
+def _may_touch(ring_a, ring_b, rank_a, rank_b, size):
+    """Edges of different rings may touch in points, edges of one ring only at the joint of neighbours."""
+    gap = np.abs(rank_a - rank_b)
+    return (ring_a != ring_b) | (gap == 1) | (gap == size - 1)
+
+
+def _edges_conflict(edges: np.ndarray, ring_of: np.ndarray, rank: np.ndarray, size_of: np.ndarray) -> bool:
+    """The same test for one polygon with many edges, sweeping along x."""
     order = np.argsort(np.minimum(edges[:, 0], edges[:, 2]), kind="stable")
-    edges, ring_of, rank = edges[order], ring_of[order], rank[order]
+    edges, ring_of, rank, size_of = edges[order], ring_of[order], rank[order], size_of[order]
     left, right = np.minimum(edges[:, 0], edges[:, 2]), np.maximum(edges[:, 0], edges[:, 2])
     low, high = np.minimum(edges[:, 1], edges[:, 3]), np.maximum(edges[:, 1], edges[:, 3])
     for k in range(len(edges)):
-        stop = np.searchsorted(left, right[k], side="right")
-        others = np.arange(k + 1, stop)
+        others = np.arange(k + 1, np.searchsorted(left, right[k], side="right"))
         others = others[(low[others] <= high[k]) & (high[others] >= low[k])]
-        if not len(others):
-            continue
-        ax, ay, bx, by = edges[k]
-        c, d = edges[others, :2], edges[others, 2:]
-        s1 = np.sign(_cross(bx - ax, by - ay, c[:, 0] - ax, c[:, 1] - ay))
-        s2 = np.sign(_cross(bx - ax, by - ay, d[:, 0] - ax, d[:, 1] - ay))
-        s3 = np.sign(_cross(d[:, 0] - c[:, 0], d[:, 1] - c[:, 1], ax - c[:, 0], ay - c[:, 1]))
-        s4 = np.sign(_cross(d[:, 0] - c[:, 0], d[:, 1] - c[:, 1], bx - c[:, 0], by - c[:, 1]))
-        if np.any((s1 * s2 < 0) & (s3 * s4 < 0)):
-            return True
-        collinear = (s1 == 0) & (s2 == 0)
-        axis = 0 if abs(bx - ax) >= abs(by - ay) else 1
-        lo, hi = sorted((edges[k, axis], edges[k, axis + 2]))
-        overlap = np.minimum(np.maximum(c[:, axis], d[:, axis]), hi) - np.maximum(np.minimum(c[:, axis], d[:, axis]), lo)
-        if np.any(collinear & (overlap > 0)):
-            return True
-        touches = (s1 * s2 <= 0) & (s3 * s4 <= 0) & ~collinear
-        same_ring = ring_of[others] == ring_of[k]
-        gap = np.abs(rank[others] - rank[k])
-        neighbours = (gap == 1) | (gap == sizes[ring_of[k]] - 1)
-        if np.any(touches & same_ring & ~neighbours):
+        allowed = _may_touch(ring_of[k], ring_of[others], rank[k], rank[others], size_of[k])
+        if len(others) and _conflict(np.broadcast_to(edges[k], (len(others), 4)), edges[others], allowed).any():
             return True
     return False
 
 
-def valid_polygon(rings) -> bool:
-    """Closed rings of four points or more, no self-crossing or overlap, no repeated passage through a place
-    within a ring, rings meeting in single points only. Nesting is free, as rings carry no shell or hole role."""
-    if rings is None or len(rings) == 0:
-        return False
-    arrays = rings
-    edges, ring_of, rank, sizes = [], [], [], []
-    for number, ring in enumerate(arrays):
-        if len(ring) < 4 or not np.isfinite(ring).all() or np.any(ring[0] != ring[-1]):
-            return False
-        ring = ring[np.r_[True, np.any(ring[1:] != ring[:-1], axis=1)]]
+def _polygon_edges(rings: list[np.ndarray] | None):
+    """(edges, ring number, place in the ring, edges of the ring), None when a ring is not closed or too short."""
+    if not rings:
+        return None
+    edges, ring_of, rank, size_of = [], [], [], []
+    for number, ring in enumerate(rings):
+        if len(ring) < 4 or not np.isfinite(ring).all() or (ring[0] != ring[-1]).any():
+            return None
+        ring = ring[np.r_[True, (ring[1:] != ring[:-1]).any(axis=1)]]
         if len(ring) < 4:
-            return False
+            return None
+        n = len(ring) - 1
         edges.append(np.hstack([ring[:-1], ring[1:]]))
-        ring_of.append(np.full(len(ring) - 1, number))
-        rank.append(np.arange(len(ring) - 1))
-        sizes.append(len(ring) - 1)
-    return not _segments_conflict(np.vstack(edges), np.concatenate(ring_of), np.concatenate(rank), np.array(sizes))
+        ring_of.append(np.full(n, number))
+        rank.append(np.arange(n))
+        size_of.append(np.full(n, n))
+    return np.vstack(edges), np.concatenate(ring_of), np.concatenate(rank), np.concatenate(size_of)
+
+
+def valid_polygons(rows: list[list[np.ndarray] | None]) -> np.ndarray:
+    """Closed rings of four points or more, no crossing or overlap, no repeated passage through a place within a
+    ring, rings meeting in single points only. Nesting is free, as rings carry no shell or hole role."""
+    valid = np.zeros(len(rows), bool)
+    by_size = defaultdict(list)
+    for number, rings in enumerate(rows):
+        made = _polygon_edges(rings)
+        if made is not None:
+            by_size[len(made[0])].append((number, *made))
+    for count, group in by_size.items():
+        if count > SMALL_EDGES:
+            for number, *parts in group:
+                valid[number] = not _edges_conflict(*parts)
+            continue
+        i, j = np.triu_indices(count, 1)
+        step = max(1, PAIRS_AT_ONCE // len(i))
+        for start in range(0, len(group), step):
+            numbers, edges, ring_of, rank, size_of = (np.array(column) for column in zip(*group[start : start + step]))
+            allowed = _may_touch(ring_of[:, i], ring_of[:, j], rank[:, i], rank[:, j], size_of[:, i])
+            valid[numbers] = ~_conflict(edges[:, i], edges[:, j], allowed).any(axis=1)
+    return valid
 
 
 @F.arrow_udf(T.BooleanType())
 def is_valid(rings: pa.Array) -> pa.Array:
-    return pa.array([valid_polygon(r) for r in _nested(rings, ["x", "y"])], pa.bool_())
+    return pa.array(valid_polygons(_nested(rings, ["x", "y"])), pa.bool_())
 
 
 # --- overlay --------------------------------------------------------------------------------------------------

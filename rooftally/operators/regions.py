@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from rooftally import fixed_values as fixed
 from rooftally.functions import text
-from rooftally.session import lookup_join
+from rooftally.session import lookup_join, stage
 
 
 # --- overrides ------------------------------------------------------------------------------------------------
@@ -73,11 +73,11 @@ def admin_name_keys(layer: DataFrame, fields: list[str], row: str = "row_pos", s
 
 def value_name_keys(values: DataFrame, column: str, country: bool = False) -> DataFrame:
     """Distinct values of ``column`` with their lookup keys: ``value, name_key``."""
-    value = F.col(column)
-    forms = text.name_forms(value)
+    distinct = values.select(F.col(column).alias("value")).distinct()
+    forms = text.name_forms(F.col("value"))
     if country:
-        forms = F.array_union(forms, F.array(text.normalize_country(value)))
-    rows = values.select(value.alias("value")).distinct().select("value", F.explode(forms).alias("form"))
+        forms = F.array_union(forms, F.array(text.normalize_country(F.col("value"))))
+    rows = distinct.select("value", F.explode(forms).alias("form"))
     return rows.select("value", text.normalize_name("form").alias("name_key")).distinct()
 
 
@@ -100,18 +100,37 @@ def match_admin1(values: DataFrame, column: str, admin1: DataFrame) -> DataFrame
     return hits.groupBy("value").agg(F.min("row_pos").alias("admin1_pos")).withColumnRenamed("value", column)
 
 
-def _admin_names(admin0: DataFrame) -> DataFrame:
-    fields = [F.nullif(F.col(f), F.lit("")) for f in ("NAME", "ADMIN", "SOVEREIGNT", "NAME_LONG") if f in admin0.columns]
-    return admin0.select(F.col("row_pos").alias("admin0_pos"), F.explode(F.array_compact(F.array(*fields))).alias("admin")).distinct()
+def _matched_pairs(tasks: DataFrame, admin0: DataFrame, admin1: DataFrame) -> DataFrame:
+    """Distinct (country, city) with the rows their names lead to.
 
-
-def match_admin1_within(pairs: DataFrame, admin0: DataFrame, admin1: DataFrame) -> DataFrame:
-    """First region of the country itself that carries the city name, per distinct (admin0_pos, city)."""
-    names = admin_name_keys(admin1, fixed.ADMIN1_NAME_FIELDS, strip_suffix=True)
-    hits = match_names(value_name_keys(pairs, "city"), names).withColumnRenamed("value", "city")
-    regions = hits.join(admin1.select("row_pos", "admin"), "row_pos")
-    own = pairs.select("admin0_pos", "city").distinct().join(_admin_names(admin0), "admin0_pos")
-    return own.join(regions, ["city", "admin"]).groupBy("admin0_pos", "city").agg(F.min("row_pos").alias("own_pos"))
+    ``admin0_pos``: the country's row; ``own_pos``: region of that country named like the city; ``city_pos``,
+    ``country_pos``: any region named like the city or the country; ``named_pos``: country named like the city.
+    All names are normalised once, and the few intermediate tables are written so that every use reads them.
+    """
+    pairs = stage(tasks.select("country", "city").distinct())
+    values = pairs.select(F.col("country").alias("value")).union(pairs.select(F.col("city").alias("value"))).distinct()
+    alias_form = F.struct(text.normalize_country(F.col("value")).alias("form"), F.lit(True).alias("alias"))
+    plain_forms = F.transform(text.name_forms(F.col("value")), lambda f: F.struct(f.alias("form"), F.lit(False).alias("alias")))
+    spelled = values.select("value", F.explode(F.concat(plain_forms, F.array(alias_form))).alias("f")).select("value", "f.*")
+    keys = stage(spelled.select("value", text.normalize_name("form").alias("name_key"), "alias").distinct())
+    names0 = stage(admin_name_keys(admin0, fixed.ADMIN0_NAME_FIELDS))
+    names1 = stage(admin_name_keys(admin1, fixed.ADMIN1_NAME_FIELDS, strip_suffix=True))
+    country_of = stage(lookup_join(keys, names0, ["name_key"]).groupBy("value").agg(F.min("row_pos").alias("pos")))
+    hits = stage(lookup_join(keys.filter("not alias"), names1, ["name_key"]).select("value", "row_pos").distinct())
+    region_of = stage(hits.groupBy("value").agg(F.min("row_pos").alias("pos")))
+
+    def found(pairs: DataFrame, table: DataFrame, column: str, name: str) -> DataFrame:
+        return lookup_join(pairs, table.select(F.col("value").alias(column), F.col("pos").alias(name)), [column], "left")
+
+    pairs = found(pairs, country_of, "country", "admin0_pos")
+    spellings = [F.nullif(F.col(f), F.lit("")) for f in ("NAME", "ADMIN", "SOVEREIGNT", "NAME_LONG") if f in admin0.columns]
+    admin_names = admin0.select(F.col("row_pos").alias("admin0_pos"), F.explode(F.array_compact(F.array(*spellings))).alias("admin")).distinct()
+    regions = hits.join(admin1.select("row_pos", "admin"), "row_pos").withColumnRenamed("value", "city")
+    within = pairs.join(admin_names, "admin0_pos").join(regions, ["city", "admin"])
+    own = within.groupBy("country", "city").agg(F.min("row_pos").alias("own_pos"))
+    pairs = pairs.join(own, ["country", "city"], "left")
+    pairs = found(found(pairs, region_of, "city", "city_pos"), region_of, "country", "country_pos")
+    return found(pairs, country_of, "city", "named_pos")
 
 
 def match_local_boundary(tasks: DataFrame, admin0: DataFrame, admin1: DataFrame) -> DataFrame:
@@ -120,11 +139,7 @@ def match_local_boundary(tasks: DataFrame, admin0: DataFrame, admin1: DataFrame)
     A known country gives itself when the city has the same name, else its region of that name, else any region
     of that name. An unknown country is looked up as a region, then the city is.
     """
-    pairs = tasks.select("country", "city").distinct().join(match_admin0(tasks, admin0), "country", "left")
-    pairs = pairs.join(match_admin1_within(pairs.filter("admin0_pos is not null"), admin0, admin1), ["admin0_pos", "city"], "left")
-    by_city = match_admin1(pairs, "city", admin1).withColumnRenamed("admin1_pos", "city_pos")
-    by_country = match_admin1(pairs.filter("admin0_pos is null"), "country", admin1).withColumnRenamed("admin1_pos", "country_pos")
-    pairs = pairs.join(by_city, "city", "left").join(by_country, "country", "left")
+    pairs = _matched_pairs(tasks, admin0, admin1)
     same = text.task_key(F.col("city")) == text.task_key(F.col("country"))
     known = F.col("admin0_pos").isNotNull()
     level = (
@@ -141,23 +156,17 @@ def match_local_boundary(tasks: DataFrame, admin0: DataFrame, admin1: DataFrame)
     name = F.when(F.col("level") == "admin0", F.coalesce(F.nullif("_n0", F.lit("")), "country")).when(
         F.col("level").isNotNull(), F.coalesce(F.nullif("_n1", F.lit("")), fallback)
     )
-    answers = pairs.select("country", "city", "level", name.alias("matched_name"), "admin0_pos", "admin1_pos")
+    answers = stage(pairs.select("country", "city", "level", name.alias("matched_name"), "admin0_pos", "admin1_pos"))
     return lookup_join(tasks, answers, ["country", "city"], "left")
 
 
 def chinese_names(tasks: DataFrame, admin0: DataFrame, admin1: DataFrame) -> DataFrame:
     """Tasks with ``country_zh`` and ``city_zh`` ('' when unknown); a city may also be named like a country."""
-    pairs = tasks.select("country", "city").distinct().join(match_admin0(tasks, admin0), "country", "left")
-    pairs = pairs.join(match_admin1_within(pairs.filter("admin0_pos is not null"), admin0, admin1), ["admin0_pos", "city"], "left")
-    pairs = pairs.join(match_admin1(pairs, "city", admin1).withColumnRenamed("admin1_pos", "city_pos"), "city", "left")
-    as_country = match_admin0(pairs.select(F.col("city").alias("country")), admin0).select(
-        F.col("country").alias("city"), F.col("admin0_pos").alias("named_pos")
-    )
-    pairs = pairs.join(as_country, "city", "left")
     zh0 = admin0.select("row_pos", text.clean_translation(F.col("NAME_ZH")).alias("zh"))
     zh1 = admin1.select("row_pos", text.clean_translation(F.col("name_zh")).alias("zh"))
     pairs = (
-        pairs.withColumn("region_pos", F.coalesce("own_pos", "city_pos"))
+        _matched_pairs(tasks, admin0, admin1)
+        .withColumn("region_pos", F.coalesce("own_pos", "city_pos"))
         .join(zh0.select(F.col("row_pos").alias("admin0_pos"), F.col("zh").alias("_country")), "admin0_pos", "left")
         .join(zh1.select(F.col("row_pos").alias("region_pos"), F.col("zh").alias("_region")), "region_pos", "left")
         .join(zh0.select(F.col("row_pos").alias("named_pos"), F.col("zh").alias("_named")), "named_pos", "left")
@@ -165,7 +174,7 @@ def chinese_names(tasks: DataFrame, admin0: DataFrame, admin1: DataFrame) -> Dat
     country_zh = F.coalesce("_country", F.lit(""))
     same = text.task_key(F.col("city")) == text.task_key(F.col("country"))
     city_zh = F.when(same, country_zh).otherwise(F.coalesce(F.nullif("_region", F.lit("")), "_named", F.lit("")))
-    answers = pairs.select("country", "city", country_zh.alias("country_zh"), city_zh.alias("city_zh"))
+    answers = stage(pairs.select("country", "city", country_zh.alias("country_zh"), city_zh.alias("city_zh")))
     return lookup_join(tasks, answers, ["country", "city"], "left")
 
 

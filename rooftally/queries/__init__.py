@@ -1,6 +1,6 @@
 """All registered queries and their oracles."""
 
-from rooftally.queries import spatial  # noqa: F401
+from rooftally.queries import index, quality, regions, spatial, tiling  # noqa: F401
 from rooftally.queries.registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]

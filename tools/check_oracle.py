@@ -81,7 +81,7 @@ def main() -> int:
         try:
             ok, message, seconds = compare(spark, con, sf_dir, name)
         except Exception as error:  # the report goes on with the next query
-            ok, message, seconds = False, f"{type(error).__name__}: {str(error)[:1500]}", 0.0
+            ok, message, seconds = False, f"{type(error).__name__}: {str(error)[:400]}", 0.0
         bad += not ok
         print(f"{'ok  ' if ok else 'FAIL'} {name:32s} {seconds:6.2f}s  {message}", flush=True)
     print(f"{bad} of {len(arguments or QUERIES)} failed")
