@@ -133,7 +133,7 @@ def front_insert(tasks: DataFrame, new: DataFrame) -> DataFrame:
 def next_order(table: DataFrame, new: DataFrame, *order: str) -> DataFrame:
     """New rows with ``queue_order`` continuing after the largest of the table."""
     last = table.agg(F.max("queue_order")).first()[0] or 0
-    return with_position(new, *order, name="_nth").withColumn("queue_order", F.lit(last) + F.col("_nth")).drop("_nth")
+    return with_position(new, *order, name="_order_no").withColumn("queue_order", F.lit(last) + F.col("_order_no")).drop("_order_no")
 
 
 # --- events ---------------------------------------------------------------------------------------------------

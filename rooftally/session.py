@@ -104,15 +104,15 @@ def with_position(df: DataFrame, *order: Column | str, name: str = "position", p
     stamped = stage(
         df.repartitionByRange(count, *keys)
         .sortWithinPartitions(*keys)
-        .withColumn("_part", F.spark_partition_id())
-        .withColumn("_nth", F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)))
+        .withColumn("_wp_part", F.spark_partition_id())
+        .withColumn("_wp_nth", F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)))
     )
     # One row per partition: the running sum sees no more than ``count`` rows.
-    sizes = stamped.groupBy("_part").agg(F.count(F.lit(1)).alias("_size"))
-    earlier = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select("_part", F.coalesce(F.sum("_size").over(earlier), F.lit(0)).alias("_before"))
+    sizes = stamped.groupBy("_wp_part").agg(F.count(F.lit(1)).alias("_wp_size"))
+    earlier = Window.orderBy("_wp_part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select("_wp_part", F.coalesce(F.sum("_wp_size").over(earlier), F.lit(0)).alias("_wp_before"))
     return (
-        stamped.join(F.broadcast(offsets), "_part")
-        .withColumn(name, F.col("_before") + F.col("_nth") + 1)
-        .drop("_part", "_nth", "_before")
+        stamped.join(F.broadcast(offsets), "_wp_part")
+        .withColumn(name, F.col("_wp_before") + F.col("_wp_nth") + 1)
+        .drop("_wp_part", "_wp_nth", "_wp_before")
     )
