@@ -12,10 +12,11 @@ from rooftally.functions import kernels
 
 # --- projections ----------------------------------------------------------------------------------------------
 
-def normalize_columns(df: DataFrame) -> DataFrame:
+def normalize_columns(df: DataFrame, keep: list[str] | None = None) -> DataFrame:
     """Raw feature properties to the delivered names; only columns that exist, in the fixed order.
 
-    Numbers that cannot be read become NULL, identifiers are text, and a missing identifier stays NULL.
+    Numbers that cannot be read become NULL, identifiers are text, and a missing identifier stays NULL. ``keep``
+    names technical columns to carry along.
     """
     made: dict[str, Column] = {}
     for raw, name, kind in [
@@ -26,7 +27,7 @@ def normalize_columns(df: DataFrame) -> DataFrame:
             made[name] = F.col(raw).try_cast(kind) if kind == "double" else F.col(raw).cast("string")
     carried = {c: F.col(c) for c in (*fixed.LAYER_COLUMNS, "rings") if c in df.columns and c not in made}
     chosen = {**made, **carried}
-    return df.select(*[chosen[c].alias(c) for c in (*fixed.LAYER_COLUMNS, "rings") if c in chosen])
+    return df.select(*[chosen[c].alias(c) for c in (*fixed.LAYER_COLUMNS, "rings") if c in chosen], *(keep or []))
 
 
 def with_tile_id(df: DataFrame, tile_id: str | Column) -> DataFrame:

@@ -52,15 +52,9 @@ def needs_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tasks.split_runnable(tasks.select_processing(view(spark, sf_dir, "ptasks")))[1].select("dataset_key", "shp_count")
 
 
-@query("find_task", with_views("SELECT task_id FROM tasks WHERE lower(continent)='asia' AND lower(country) LIKE 'nation%' AND lower(city)='t1000'", "tasks"))
+@query("find_task", with_views("SELECT task_id, status FROM tasks WHERE lower(continent)='africa' AND lower(country)='nation_15' AND lower(city)='t0'", "tasks"))
 def find_task(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = view(spark, sf_dir, "tasks")
-    nations = [r["n_name"] for r in table(spark, sf_dir, "nation").collect()]  # 25 fixed names
-    found = None
-    for name in nations:
-        hit = tasks.find_task(rows, " ASIA", f"  {name.lower()} ", "t1000")
-        found = hit if found is None else found.unionByName(hit)
-    return found.select("task_id")
+    return tasks.find_task(view(spark, sf_dir, "tasks"), " Africa", "  nation_15 ", "t0").select("task_id", "status")
 
 
 @query("queue_order", with_views(f"SELECT task_id, row_number() OVER (ORDER BY {QUEUE}) AS position FROM tasks", "tasks"))
