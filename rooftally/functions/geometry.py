@@ -187,6 +187,23 @@ def boxes_meet(a: dict[str, Column], b: dict[str, Column]) -> Column:
     )
 
 
+def is_box(rings: Column) -> Column:
+    """One ring that is an axis-aligned rectangle from its lower left corner, counter-clockwise."""
+    ring = F.get(rings, F.lit(0))
+
+    def corner(i: int, axis: str) -> Column:
+        return F.get(ring, F.lit(i))[axis]
+
+    test = (
+        (F.size(rings) == 1) & (F.size(ring) == 5)
+        & (corner(0, "x") < corner(1, "x")) & (corner(1, "x") == corner(2, "x"))
+        & (corner(3, "x") == corner(0, "x")) & (corner(4, "x") == corner(0, "x"))
+        & (corner(0, "y") == corner(1, "y")) & (corner(1, "y") < corner(2, "y"))
+        & (corner(3, "y") == corner(2, "y")) & (corner(4, "y") == corner(0, "y"))
+    )
+    return F.coalesce(test, F.lit(False))
+
+
 # --- derived points and projections ---------------------------------------------------------------------------
 
 def interior_point(rings: Column) -> Column:
@@ -229,7 +246,9 @@ def interior_point(rings: Column) -> Column:
         found = let(scan_line(box), lambda scan: let(edges_of(rings), lambda edges: widest_span(edges, scan)))
         return let(found, point_of)
 
-    return F.when(has_geometry(rings), let(bounds_of(rings), choose))
+    low, high = F.get(F.get(rings, F.lit(0)), F.lit(0)), F.get(F.get(rings, F.lit(0)), F.lit(2))
+    box_centre = point((low["x"] + high["x"]) / 2, (low["y"] + high["y"]) / 2)
+    return F.when(is_box(rings), box_centre).when(has_geometry(rings), let(bounds_of(rings), choose))
 
 
 def mercator_x(lon: Column) -> Column:

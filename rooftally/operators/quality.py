@@ -88,19 +88,8 @@ def drop_invalid_geometry(df: DataFrame, rings: str = "rings") -> DataFrame:
 
 def valid_geometry(rings: Column) -> Column:
     """Validity test; plain rectangles are decided without leaving the JVM."""
-    ring = F.get(rings, F.lit(0))
-
-    def corner(i: int, axis: str) -> Column:
-        return F.get(ring, F.lit(i))[axis]
-
-    one_box = (
-        (F.size(rings) == 1) & (F.size(ring) == 5)
-        & (corner(0, "x") < corner(1, "x")) & (corner(1, "x") == corner(2, "x"))
-        & (corner(3, "x") == corner(0, "x")) & (corner(4, "x") == corner(0, "x"))
-        & (corner(0, "y") == corner(1, "y")) & (corner(1, "y") < corner(2, "y"))
-        & (corner(3, "y") == corner(2, "y")) & (corner(4, "y") == corner(0, "y"))
-    )
-    return F.coalesce(one_box, F.lit(False)) | kernels.is_valid(F.when(~F.coalesce(one_box, F.lit(False)), rings))
+    box = geo.is_box(rings)
+    return box | kernels.is_valid(F.when(~box, rings))
 
 
 def split_by_validity(df: DataFrame, rings: str = "rings") -> tuple[DataFrame, DataFrame]:

@@ -229,7 +229,9 @@ def layer_bounds(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def distinct_buildings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One feature per id (the geometry depends on the id alone)."""
-    return buildings(spark, sf_dir).groupBy("id", "rings", "minx", "miny", "maxx", "maxy").agg(F.max("height").alias("height"))
+    unique = view(spark, sf_dir, "bld").groupBy("id", "x0", "y0", "w", "h").agg(F.max("height").alias("height"))
+    box = [F.col("x0"), F.col("y0"), F.col("x0") + F.col("w"), F.col("y0") + F.col("h")]
+    return unique.select("id", "height", geo.box_rings(*box).alias("rings"))
 
 
 @query(

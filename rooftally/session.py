@@ -67,15 +67,17 @@ def lookup_join(
     max_rows: int = BROADCAST_ROWS,
     condition: Column | None = None,
     salt_by: list[str] | None = None,
+    small_rows: int | None = None,
 ) -> DataFrame:
     """Equi-join ``big`` with a side that is usually small.
 
     The small side is broadcast when a count proves it small. Otherwise the rows of ``big`` are spread over
     ``SALTS`` buckets per key, and the other side is copied once per bucket, so that one hot key is shared
     by many tasks. Both ways give the same rows. ``how`` is ``inner``, ``left``, ``left_semi`` or ``left_anti``.
+    ``small_rows`` gives the size of the small side where the caller has counted it already.
     """
     small_names = [c for c in small.columns if c not in on]
-    if has_at_most(small, max_rows):
+    if has_at_most(small, max_rows) if small_rows is None else small_rows <= max_rows:
         left, right, keys = big, F.broadcast(small), list(on)
     else:
         spread = salt_by or [f.name for f in big.schema.fields if f.dataType.typeName() not in ("map", "variant")]
