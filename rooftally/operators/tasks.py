@@ -197,7 +197,10 @@ def apply_status(table: DataFrame, updates: DataFrame, key: str, legal: list[str
 def reset_running(
     tasks: DataFrame, ids: DataFrame | None = None, key: str = "task_id", event: str = "BATCH_REQUEUE", detail: str = "", stamp: Column | None = None
 ) -> tuple[DataFrame, DataFrame]:
-    """(table, events): running rows, all or the listed ones, wait again with their run data cleared."""
+    """(table, events): running rows, all or the listed ones, wait again with their run data cleared.
+
+    Attempts and queue position stay; ``stamp`` is the time of the change (now by default).
+    """
     running = F.col("status") == "RUNNING"
     if ids is None:
         marked = tasks.withColumn("_hit", running)
@@ -213,7 +216,9 @@ def reset_running(
     if "last_error" in tasks.columns:
         new["last_error"] = F.when(F.col("_hit"), F.lit(detail or None)).otherwise(F.col("last_error"))
     if "updated_at" in tasks.columns:
-        new["updated_at"] = F.when(F.col("_hit"), at).otherwise(F.col("updated_at"))
+        textual = tasks.schema["updated_at"].dataType.typeName() == "string"
+        changed = F.date_format(at, "yyyy-MM-dd'T'HH:mm:ss") if textual else at
+        new["updated_at"] = F.when(F.col("_hit"), changed).otherwise(F.col("updated_at"))
     table = marked.select(*[new.get(c, F.col(c)).alias(c) for c in tasks.columns])
     events = marked.filter("_hit").select(key, F.lit(event).alias("event"), F.lit(detail).alias("detail"), at.alias("created_at"))
     return table, events

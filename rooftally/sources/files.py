@@ -115,18 +115,32 @@ def file_checksums(files: DataFrame) -> DataFrame:
 # --- control files --------------------------------------------------------------------------------------------
 
 def _read_csv(spark: SparkSession, path: str) -> DataFrame:
-    """CSV with header, all text, UTF-8 (with or without mark) or GBK; ``row_no`` counts from 2 as in the file."""
-    for encoding in ("UTF-8", "GBK"):
-        reader = spark.read.option("header", "true").option("multiLine", "true").option("escape", '"').option("encoding", encoding)
-        df = reader.csv(path)
-        df = df.toDF(*[c.lstrip("﻿") for c in df.columns])
+    """CSV with header, all text, UTF-8 (with or without mark) or GBK; ``row_no`` counts from 2 as in the file.
+
+    The file is split byte by byte (Latin-1), which is safe because the second byte of a GBK character is never a
+    comma, quote or line end; then all cells are read as UTF-8 if every one of them is valid, else as GBK.
+    """
+    reader = spark.read.option("header", "true").option("multiLine", "true").option("escape", '"')
+    raw = reader.option("encoding", "ISO-8859-1").csv(path)
+    names = [c.encode("latin-1") for c in raw.columns]
+    cells = raw.select(*[F.encode(f"`{c}`", "ISO-8859-1").alias(f"_{i}") for i, c in enumerate(raw.columns)])
+    # a control file is one partition, so the running id counts its rows
+    cells = cells.withColumn("row_no", F.monotonically_increasing_id() + 2)
+    columns = [f"_{i}" for i in range(len(names))]
+
+    def has_any(test: list[Column]) -> bool:
         broken = F.lit(False)
-        for column in df.columns:
-            broken = broken | F.coalesce(F.col(f"`{column}`").contains("�"), F.lit(False))
-        if "�" not in "".join(df.columns) and has_at_most(df.filter(broken), 0):
-            # a control file is one partition, so the running id counts its rows
-            return df.withColumn("row_no", F.monotonically_increasing_id() + 2)
-    raise ValueError(f"{path} is neither UTF-8 nor GBK")
+        for column in test:
+            broken = broken | F.coalesce(column, F.lit(False))
+        return not has_at_most(cells.filter(broken), 0)
+
+    if has_any([~F.is_valid_utf8(F.col(c).cast("string")) for c in columns]):
+        if has_any([decode_gbk(c).contains("\ufffd") for c in columns]):
+            raise ValueError(f"{path} is neither UTF-8 nor GBK")
+        made, header = [decode_gbk(c) for c in columns], [n.decode("gbk") for n in names]
+    else:
+        made, header = [F.col(c).cast("string") for c in columns], [n.decode("utf-8-sig") for n in names]
+    return cells.select("row_no", *[m.alias(h) for m, h in zip(made, header)])
 
 
 def read_task_manifest(spark: SparkSession, path: str) -> DataFrame:
