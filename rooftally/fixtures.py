@@ -30,6 +30,11 @@ VIEWS = {
                CAST(100 AS DOUBLE)+CAST(48*(n_nationkey%5) AS DOUBLE)/10 AS bx,
                CAST(18 AS DOUBLE)+CAST(48*FLOOR(n_nationkey/5) AS DOUBLE)/10 AS bt
         FROM {nation}""",
+    # the same shapes, one per supplier, scattered and overlapping
+    "sbnd": """
+        SELECT s_suppkey AS boundary_id, CAST(95 AS DOUBLE)+CAST((s_suppkey*7919)%2800 AS DOUBLE)/100 AS bx,
+               CAST(10 AS DOUBLE)+CAST((s_suppkey*104729)%3100 AS DOUBLE)/100 AS bt
+        FROM {supplier}""",
     # footprint index, boxes in metres
     "idx": """
         SELECT r_name AS continent, n_name AS country, concat('City_',CAST(s_suppkey%3 AS STRING)) AS city,

@@ -94,17 +94,14 @@ def paged_json(rows: DataFrame, item: Column, order: list[str], page_size: int =
 
     All items come out; a result that fits one page is one document, an empty one is ``{"list":[]}``.
     """
+    if has_at_most(rows, 0):
+        return rows.sparkSession.createDataFrame([(0, 0, '{"list":[]}')], "page long, n long, document string")
     numbered = with_position(rows.select(*order, item.alias("_item")), *order, name="_position")
     pages = numbered.groupBy(F.floor((F.col("_position") - 1) / page_size).alias("page")).agg(
         F.count(F.lit(1)).alias("n"),
         F.transform(F.array_sort(F.collect_list(F.struct("_position", "_item"))), lambda s: s["_item"]).alias("list"),
     )
-    document = F.to_json(F.struct(F.col("list")))
-    empty = rows.sparkSession.range(1).select(
-        F.lit(0).cast("long").alias("page"), F.lit(0).cast("long").alias("n"), F.lit('{"list":[]}').alias("document")
-    )
-    made = pages.select("page", "n", document.alias("document"))
-    return made.unionByName(empty.join(F.broadcast(made.limit(1).select(F.lit(1).alias("_any"))), F.lit(True), "left_anti"))
+    return pages.select("page", "n", F.to_json(F.struct(F.col("list"))).alias("document"))
 
 
 def shard_list_json(index: DataFrame, page_size: int = 10_000) -> DataFrame:

@@ -192,7 +192,7 @@ def resolve_boundary(
     matched = match_local_boundary(match_override(tasks, overrides), admin0, admin1)
     matched = matched.join(cached.select("task_id", F.lit(not refresh).alias("_cached")).distinct(), "task_id", "left")
     places = _first_place(tasks, gazetteer)
-    matched = matched.join(places, ["country", "city"], "left")
+    matched = lookup_join(matched, stage(places), ["country", "city"], "left")
     kind, cached_range = F.col("override_kind"), F.coalesce("_cached", F.lit(False))
     source = (
         F.when(kind == "skip", "override_skip")
@@ -295,7 +295,7 @@ def conflict_lookup(candidates: DataFrame, tasks: DataFrame, owners: DataFrame)
         F.min("dataset_key").alias("prefix_owner")
     )
     keyed = candidates.withColumns({"_" + c: F.lower(c) for c in names} | {"_prefix": F.lower("process_name_prefix")})
-    joined = keyed.join(taken, ["_" + c for c in names], "left").join(owned, "_prefix", "left")
+    joined = lookup_join(keyed.join(taken, ["_" + c for c in names], "left"), owned, ["_prefix"], "left")
     return joined.select(
         *candidates.columns, F.col("_t.task_id").alias("existing_task"), F.col("_t.status").alias("existing_status"), "prefix_owner"
     )
@@ -315,11 +315,11 @@ def append_manifest_rows(manifest: DataFrame, new: DataFrame) -> tuple[DataFrame
     )
     old_tasks = manifest.select(F.lower(F.concat_ws("|", *[text.collapse_spaces(F.col(c)) for c in fields[:3]])).alias("_task"), F.lit(True).alias("_known")).distinct()
     old_prefixes = manifest.select(F.lower(text.collapse_spaces(F.col("process_name_prefix"))).alias("_prefix"), F.lit(True).alias("_used")).distinct()
-    joined = checked.join(old_tasks, "_task", "left").join(old_prefixes, "_prefix", "left")
+    joined = stage(lookup_join(lookup_join(checked, old_tasks, ["_task"], "left"), old_prefixes, ["_prefix"], "left"))
     good = joined.filter("problem is null and _known is null and _used is null")
     first_task = good.groupBy("_task").agg(F.min("row_no").alias("_first_task"))
     first_prefix = good.groupBy("_prefix").agg(F.min("row_no").alias("_first_prefix"))
-    judged = joined.join(first_task, "_task", "left").join(first_prefix, "_prefix", "left")
+    judged = lookup_join(lookup_join(joined, first_task, ["_task"], "left"), first_prefix, ["_prefix"], "left")
     reason = F.coalesce(
         "problem",
         F.when(F.col("_known"), "task exists"),
@@ -352,10 +352,10 @@ def match_existing_datasets(datasets: DataFrame, tasks: DataFrame, country_keys:
     """
     countries = tasks.select("country").distinct().withColumn("_ck", text.normalize_name("country")).filter(F.col("_ck").isin(country_keys))
     cities = tasks.select("city").distinct().withColumn("name_key", text.normalize_name("city"))
-    eligible = tasks.join(countries.select("country"), "country", "left_semi").join(cities, "city")
+    eligible = lookup_join(lookup_join(tasks, countries.select("country"), ["country"], "left_semi"), cities, ["city"])
     first = eligible.groupBy("name_key").agg(F.min_by("task_id", F.struct("order_no", "task_id")).alias("task_id"))
     named = datasets.withColumn("name_key", text.normalize_name(text.file_name(F.col("directory"))))
-    return named.join(first, "name_key", "left").drop("name_key")
+    return lookup_join(named, first, ["name_key"], "left").drop("name_key")
 
 
 def classify_by_prefix(files: DataFrame, groups: DataFrame, name: str = "file_name") -> DataFrame:
@@ -371,4 +371,4 @@ def classify_by_prefix(files: DataFrame, groups: DataFrame, name: str = "file_na
     asked = files.select(name).distinct().select(name, F.explode(heads).alias("group_key"))
     hits = lookup_join(asked, groups.select("pos", "group_key", "group_name"), ["group_key"])
     best = hits.groupBy(name).agg(F.min_by("group_name", "pos").alias("_group"))
-    return files.join(best, name, "left").withColumn("group_name", F.coalesce("_group", F.lit("unclassified"))).drop("_group")
+    return lookup_join(files, best, [name], "left").withColumn("group_name", F.coalesce("_group", F.lit("unclassified"))).drop("_group")

@@ -94,25 +94,21 @@ def split4(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     "box_measures",
     with_views(
-        """WITH p AS (SELECT a.shp_name, a.minx AS a0, a.miny AS a1, a.maxx AS a2, a.maxy AS a3, b.minx AS b0, b.miny AS b1, b.maxx AS b2, b.maxy AS b3
-                      FROM idx a JOIN idx b ON a.country=b.country AND a.city=b.city AND b.shp_name>a.shp_name)
-           SELECT shp_name, count(*) AS pairs, round(min(sqrt(greatest(a0-b2,b0-a2,0)**2+greatest(a1-b3,b1-a3,0)**2)),6) AS nearest,
-                  round(min((greatest(a2,b2)-least(a0,b0))*(greatest(a3,b3)-least(a1,b1))/((a2-a0)*(a3-a1)+(b2-b0)*(b3-b1))),9) AS best_ratio
-           FROM p GROUP BY shp_name""",
+        """WITH b AS (SELECT minx-20011 AS k, minx AS b0, miny AS b1, maxx AS b2, maxy AS b3 FROM idx)
+           SELECT shp_name, round(sqrt(greatest(minx-b2,b0-maxx,0)**2+greatest(miny-b3,b1-maxy,0)**2),6) AS gap,
+                  round((greatest(maxx,b2)-least(minx,b0))*(greatest(maxy,b3)-least(miny,b1))/((maxx-minx)*(maxy-miny)+(b2-b0)*(b3-b1)),9) AS ratio
+           FROM idx JOIN b ON minx=k""",
         "idx",
     ),
 )
 def box_measures(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Gap and expansion ratio between shards of one city."""
+    """Gap and expansion ratio between each shard and the next one."""
     shards = view(spark, sf_dir, "idx")
-    other = shards.select("country", "city", F.col("shp_name").alias("_o"), *[F.col(c).alias("b" + c) for c in ("minx", "miny", "maxx", "maxy")])
-    pairs = shards.join(other, ["country", "city"]).filter("_o > shp_name")
-    a = {c: F.col(c) for c in ("minx", "miny", "maxx", "maxy")}
-    b = {c: F.col("b" + c) for c in a}
-    return pairs.groupBy("shp_name").agg(
-        F.count(F.lit(1)).alias("pairs"), F.round(F.min(geo.box_gap(a, b)), 6).alias("nearest"),
-        F.round(F.min(geo.expansion_ratio(a, b)), 9).alias("best_ratio"),
-    )
+    names = ("minx", "miny", "maxx", "maxy")
+    following = shards.select((F.col("minx") - 20011).alias("_k"), *[F.col(c).alias("b" + c) for c in names])
+    pairs = shards.join(following, F.col("minx") == F.col("_k"))
+    a, b = {c: F.col(c) for c in names}, {c: F.col("b" + c) for c in names}
+    return pairs.select("shp_name", F.round(geo.box_gap(a, b), 6).alias("gap"), F.round(geo.expansion_ratio(a, b), 9).alias("ratio"))
 
 
 @query(

@@ -29,14 +29,14 @@ def buildings(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def boundaries(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The ``bnd`` view as L-shaped polygons."""
+def boundaries(spark: SparkSession, sf_dir: str, name: str = "bnd") -> DataFrame:
+    """The ``bnd`` (or ``sbnd``) view as L-shaped polygons."""
     x, y = F.col("bx"), F.col("bt")
     outline = [
         (x, y), (x + 4.8, y), (x + 4.8, y + 2.0), (x + 2.0, y + 2.0), (x + 2.0, y + 4.8), (x, y + 4.8), (x, y),
     ]
     rings = F.array(F.array(*[geo.point(a, b) for a, b in outline]))
-    return view(spark, sf_dir, "bnd").withColumn("rings", rings)
+    return view(spark, sf_dir, name).withColumn("rings", rings)
 
 
 BOX_KEY = ["x0", "y0", "w", "h"]
@@ -118,7 +118,7 @@ def bbox_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
     "grid_cells",
     with_views(
         """
-        WITH d AS (SELECT boundary_id, bx, bt, bx+4.8 AS ex, bt+4.8 AS et FROM bnd),
+        WITH d AS (SELECT boundary_id, bx, bt, bx+4.8 AS ex, bt+4.8 AS et FROM sbnd),
         r AS (SELECT *, CAST(floor((CAST(CAST(bx AS VARCHAR) AS DECIMAL(30,20))+180)*2) AS INT) AS i0,
                         CAST(ceil((CAST(CAST(ex AS VARCHAR) AS DECIMAL(30,20))+180)*2)-1 AS INT) AS i1,
                         CAST(floor((CAST(CAST(bt AS VARCHAR) AS DECIMAL(30,20))+90)*2) AS INT) AS j0,
@@ -130,11 +130,11 @@ def bbox_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
                0.5::DOUBLE AS grid_size, minx, miny, maxx, maxy
         FROM m WHERE (minx<=ex AND maxx>=bx AND miny<=bt+2.0 AND maxy>=bt)
                   OR (minx<=bx+2.0 AND maxx>=bx AND miny<=et AND maxy>=bt)""",
-        "bnd",
+        "sbnd",
     ),
 )
 def grid_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spatial.boundary_to_grid(boundaries(spark, sf_dir), 0.5)
+    return spatial.boundary_to_grid(boundaries(spark, sf_dir, "sbnd"), 0.5)
 
 
 @query(
@@ -163,7 +163,7 @@ def grid_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     "shared_cells",
     with_views(
         """
-        WITH d AS (SELECT boundary_id, bx, bt, bx+4.8 AS ex, bt+4.8 AS et FROM bnd),
+        WITH d AS (SELECT boundary_id, bx, bt, bx+4.8 AS ex, bt+4.8 AS et FROM sbnd),
         c AS (SELECT *, unnest(generate_series(CAST(floor((CAST(CAST(bx AS VARCHAR) AS DECIMAL(30,20))+180)*2) AS INT),
                                                CAST(ceil((CAST(CAST(ex AS VARCHAR) AS DECIMAL(30,20))+180)*2)-1 AS INT))) AS i FROM d),
         g AS (SELECT *, unnest(generate_series(CAST(floor((CAST(CAST(bt AS VARCHAR) AS DECIMAL(30,20))+90)*2) AS INT),
@@ -171,12 +171,12 @@ def grid_index(spark: SparkSession, sf_dir: str) -> DataFrame:
         m AS (SELECT * FROM g WHERE (i*0.5-180<=ex AND (i+1)*0.5-180>=bx AND j*0.5-90<=bt+2.0 AND (j+1)*0.5-90>=bt)
                                  OR (i*0.5-180<=bx+2.0 AND (i+1)*0.5-180>=bx AND j*0.5-90<=et AND (j+1)*0.5-90>=bt))
         SELECT printf('GBA_%03d_I%04d_J%04d', 50, i, j) AS grid_id, count(*) AS n FROM m GROUP BY i, j HAVING count(*) > 1""",
-        "bnd",
+        "sbnd",
     ),
 )
 def shared_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Cells that belong to more than one boundary."""
-    cells = spatial.boundary_to_grid(boundaries(spark, sf_dir), 0.5)
+    cells = spatial.boundary_to_grid(boundaries(spark, sf_dir, "sbnd"), 0.5)
     return cells.groupBy("grid_id").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -25,21 +26,25 @@ def _start(writer, trigger: dict) -> StreamingQuery:
     return writer.trigger(**trigger).start()
 
 
-def run_latest_state(stream: DataFrame, table_path: str, checkpoint: str, key: str = "dataset_key", trigger: dict | None = None) -> StreamingQuery:
-    """Keep a table of the last event per key; every micro-batch replaces the keys it changed.
+def run_latest_state(
+    stream: DataFrame, table_path: str, checkpoint: str, key: str = "dataset_key", buckets: int = 64, trigger: dict | None = None
+) -> StreamingQuery:
+    """Keep a table of the last event per key, in ``buckets`` folders by key.
 
-    A batch that is run again after a failure writes the same version folder again, so nothing is applied twice.
+    A micro-batch reads and rewrites only the folders of the keys it changed. Merging keeps the larger event id,
+    so a batch that runs again after a failure gives the same rows.
     """
 
-    def upsert(batch: DataFrame, number: int) -> None:
+    def upsert(batch: DataFrame, _number: int) -> None:
         spark = batch.sparkSession
-        changed = stage(batch)
-        before = f"{table_path}/version={number - 1}"
-        target = f"{table_path}/version={number}"
-        if number:
-            old = spark.read.schema(changed.schema).parquet(before)
-            changed = old.join(changed.select(key), key, "left_anti").unionByName(changed)
-        changed.write.mode("overwrite").parquet(target)
+        changed = stage(batch.withColumn("bucket", F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")))
+        touched = [r["bucket"] for r in changed.select("bucket").distinct().collect()]  # at most ``buckets`` numbers
+        try:
+            old = spark.read.schema(changed.schema).parquet(table_path).filter(F.col("bucket").isin(touched))
+        except AnalysisException:
+            old = changed.limit(0)
+        merged = stage(events.latest_state(old.unionByName(changed), key))
+        sinks.write_parts(merged, table_path, ["bucket"])
 
     latest = events.latest_state(stream, key)
     writer = latest.writeStream.outputMode("update").option("checkpointLocation", checkpoint).foreachBatch(upsert)
@@ -47,7 +52,12 @@ def run_latest_state(stream: DataFrame, table_path: str, checkpoint: str, key: s
 
 
 def read_latest_state(spark: SparkSession, table_path: str) -> DataFrame:
-    """The newest version of a table kept by ``run_latest_state``."""
+    """The table kept by ``run_latest_state``."""
+    return spark.read.parquet(table_path).drop("bucket")
+
+
+def read_progress(spark: SparkSession, table_path: str) -> DataFrame:
+    """The newest version of the table kept by ``run_stage_progress``."""
     versions = spark.read.parquet(table_path)
     newest = versions.agg(F.max("version")).first()[0]
     return versions.filter(F.col("version") == newest).drop("version")

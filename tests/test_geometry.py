@@ -262,3 +262,14 @@ def test_wkb_and_wkt(spark):
     assert df.filter("id = 0").select(geo.bbox_wkt(F.lit(10020011.0), F.lit(0.5), F.lit(2.0), F.lit(3.25)).alias("w")).first()["w"] == (
         "POLYGON((10020011.0 0.5,2.0 0.5,2.0 3.25,10020011.0 3.25,10020011.0 0.5))"
     )
+
+
+def test_cells_of_in_sql(spark):
+    from rooftally.functions import tables
+
+    tables.register(spark)
+    rows = spark.sql("SELECT * FROM cells_of(119.34238D, 26.01709D, 119.37546D, 26.04441D, 0.5D)").collect()
+    assert [tuple(r) for r in rows] == [("GBA_050_I0598_J0232", 598, 232)]
+    spark.createDataFrame([(1, 0.1, 0.1, 0.6, 0.5), (2, 179.9, 89.9, 180.0, 90.0)], "id int, a double, b double, c double, d double").createOrReplaceTempView("boxes")
+    rows = spark.sql("SELECT id, grid_i, grid_j FROM boxes, LATERAL cells_of(a, b, c, d, 0.5D)").collect()
+    assert sorted(map(tuple, rows)) == [(1, 360, 180), (1, 361, 180), (2, 719, 359)]

@@ -84,7 +84,7 @@ def test_stage_progress(spark, tmp_path):
     spark.createDataFrame(lines, schema).write.parquet(path)
     table = str(tmp_path / "progress")
     jobs.run_stage_progress(jobs.read_event_stream(spark, path, schema), table, str(tmp_path / "cp"), trigger={"availableNow": True}).awaitTermination()
-    r = jobs.read_latest_state(spark, table).first()
+    r = jobs.read_progress(spark, table).first()
     assert (r["stage"], r["tiles_total"]) == ("CLEAN", 4)
 
 
