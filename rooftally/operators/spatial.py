@@ -32,6 +32,16 @@ def with_bounds(df: DataFrame, rings: str = "rings") -> DataFrame:
     )
 
 
+def once(df: DataFrame, made: Column, drop: list[str] | None = None) -> DataFrame:
+    """Add the fields of the struct ``made``, computed one time per row even if later filters use them.
+
+    A filter on a computed column is pushed below the projection, which repeats a costly expression; it is not
+    pushed below a generator.
+    """
+    kept = [c for c in df.columns if c not in (drop or [])]
+    return df.select(*kept, F.inline(F.array(made)))
+
+
 # --- filters --------------------------------------------------------------------------------------------------
 
 def scan_bbox(df: DataFrame, minx: float, miny: float, maxx: float, maxy: float) -> DataFrame:
@@ -143,22 +153,15 @@ def cover_cells(
     bottom = F.col("cell_j") * F.lit(float(size)) + F.lit(float(WORLD_MIN_Y))
     cells = cells.withColumns({"_x": left, "_y": bottom})
     pad = F.col("_margin")
-    on_outline = F.exists(
-        "band",
-        lambda e: geo.edge_meets_box(
-            e, F.col("_x") - pad, F.col("_y") - pad, F.col("_x") + F.lit(size) + pad, F.col("_y") + F.lit(size) + pad
-        ),
-    )
+    padded = [F.col("_x") - pad, F.col("_y") - pad, F.col("_x") + F.lit(size) + pad, F.col("_y") + F.lit(size) + pad]
+    on_outline = F.exists("band", lambda e: geo.edge_meets_box(e, *padded))
     centre_inside = geo.odd_crossings(F.col("band"), F.col("_x") + F.lit(size / 2), F.col("_y") + F.lit(size / 2))
     near = F.filter("band", lambda e: F.greatest(e["x1"], e["x2"]) >= F.col("_x") - pad)
-    return (
-        cells.withColumns({"_outline": on_outline, "_inside": centre_inside})
-        .filter(F.col("_outline") | F.col("_inside"))
-        .select(
-            key, "_poly", "cell_i", "cell_j",
-            (~F.col("_outline")).alias("fully_inside"),
-            F.when(F.col("_outline") | F.lit(edges_everywhere), near).alias("edges"),
-        )
+    tested = once(cells, F.struct(on_outline.alias("_outline"), centre_inside.alias("_inside")))
+    return tested.filter(F.col("_outline") | F.col("_inside")).select(
+        key, "_poly", "cell_i", "cell_j",
+        (~F.col("_outline")).alias("fully_inside"),
+        F.when(F.col("_outline") | F.lit(edges_everywhere), near).alias("edges"),
     )
 
 
@@ -258,10 +261,13 @@ def _needed(edges: Column) -> Column:
 def _with_mask_parts(features: DataFrame, masks: DataFrame, size: float, feature_key: str) -> DataFrame:
     """Features near the mask with ``parts``: the mask edges around them, one array per mask polygon.
 
-    Nearly all features lie in one cell and get the parts of that cell by a plain join. Those that span several
-    cells are exploded, and the edges of their cells put together.
+    Nearly all features lie in one cell and get the parts of that cell by a plain join. Only those that span
+    several cells are copied per cell and grouped again by their key.
     """
-    cover = stage(cover_cells(masks.withColumn("_mask", F.lit(0)), size, "_mask", edges_everywhere=True).drop("_mask"))
+    cover = cover_cells(masks.withColumn("_mask", F.lit(0)), size, "_mask", edges_everywhere=True)
+    by_cell = stage(
+        cover.groupBy("cell_i", "cell_j").agg(F.collect_list(F.struct("_poly", "edges")).alias("_found"))
+    )
     spans = features.withColumns(
         {
             "cell_i": grid.join_cell(F.col("minx"), WORLD_MIN_X, size), "_i1": grid.join_cell(F.col("maxx"), WORLD_MIN_X, size),
@@ -269,25 +275,24 @@ def _with_mask_parts(features: DataFrame, masks: DataFrame, size: float, feature
         }
     )
     one_cell = (F.col("cell_i") == F.col("_i1")) & (F.col("cell_j") == F.col("_j1"))
-    by_cell = cover.groupBy("cell_i", "cell_j").agg(F.collect_list("edges").alias("parts"))
-    single = lookup_join(spans.filter(one_cell).drop("_i1", "_j1"), by_cell, ["cell_i", "cell_j"])
-    single = single.withColumn("parts", F.transform("parts", _needed)).drop("cell_i", "cell_j")
-    several = spans.filter(~one_cell)
-    cells = (
-        several.select(feature_key, "minx", "miny", "maxx", "maxy", "cell_i", "cell_j", "_i1", "_j1")
-        .withColumn("cell_j", F.explode(F.sequence("cell_j", "_j1")))
-        .withColumn("cell_i", F.explode(F.sequence("cell_i", "_i1")))
-        .drop("_i1", "_j1")
-    )
-    hit = lookup_join(cells, cover, ["cell_i", "cell_j"])
-    gathered = (
-        hit.groupBy(feature_key, "_poly")
-        .agg(F.array_distinct(F.flatten(F.collect_list(_needed(F.col("edges"))))).alias("edges"))
-        .groupBy(feature_key)
-        .agg(F.collect_list("edges").alias("parts"))
+    helpers = ["cell_i", "cell_j", "_i1", "_j1", "_found"]
+    single = lookup_join(spans.filter(one_cell), by_cell, ["cell_i", "cell_j"])
+    single = single.withColumn("parts", F.transform("_found", lambda p: p["edges"])).drop(*helpers)
+    spread = spans.filter(~one_cell).withColumn("cell_j", F.explode(F.sequence("cell_j", "_j1")))
+    spread = spread.withColumn("cell_i", F.explode(F.sequence("cell_i", "_i1")))
+    hit = lookup_join(spread, by_cell, ["cell_i", "cell_j"])
+    others = [c for c in features.columns if c != feature_key]
+    gathered = hit.groupBy(feature_key).agg(
+        F.first(F.struct(*others)).alias("_row"), F.flatten(F.collect_list("_found")).alias("_found")
     )
-    joined = several.drop("cell_i", "cell_j", "_i1", "_j1").join(gathered, feature_key)
-    return single.unionByName(joined)
+
+    def edges_of_polygon(polygon: Column) -> Column:
+        pieces = F.filter("_found", lambda p: p["_poly"] == polygon)
+        return F.array_distinct(F.flatten(F.transform(pieces, lambda p: p["edges"])))
+
+    polygons = F.array_distinct(F.transform("_found", lambda p: p["_poly"]))
+    several = gathered.select(feature_key, "_row.*", F.transform(polygons, edges_of_polygon).alias("parts"))
+    return single.unionByName(several)
 
 
 def clip(features: DataFrame, masks: DataFrame, size: float = 0.25, feature_key: str = "feature_id") -> DataFrame:
@@ -302,9 +307,14 @@ def clip(features: DataFrame, masks: DataFrame, size: float = 0.25, feature_key:
     near = _with_mask_parts(bounded, masks, size, feature_key)
     box = [F.col("minx") - SLACK, F.col("miny") - SLACK, F.col("maxx") + SLACK, F.col("maxy") + SLACK]
     first = F.get(F.get("rings", F.lit(0)), F.lit(0))
-    reached = F.exists("parts", lambda edges: F.exists(edges, lambda e: geo.edge_meets_box(e, *box)))
-    inside = F.exists("parts", lambda edges: geo.odd_crossings(edges, first["x"], first["y"]))
-    kept = near.withColumns({"_reached": reached, "_inside": inside}).filter("_reached or _inside")
+
+    def examine(parts: Column) -> Column:
+        reached = F.exists(parts, lambda edges: F.exists(edges, lambda e: geo.edge_meets_box(e, *box)))
+        inside = F.exists(parts, lambda edges: geo.odd_crossings(edges, first["x"], first["y"]))
+        return F.struct(parts.alias("parts"), reached.alias("_reached"), inside.alias("_inside"))
+
+    examined = once(near, geo.let(F.transform("parts", _needed), examine), drop=["parts"])
+    kept = examined.filter("_reached or _inside")
     asked = [F.when(F.col("_reached"), F.col(c)) for c in ("rings", "parts")]
     cut = kept.withColumn("_cut", kernels.common_part(*asked)).filter("not _reached or _cut.geom_type is not null")
     result = cut.withColumns(
