@@ -31,7 +31,7 @@ def _nested(column: pa.ListArray, fields: list[str]) -> list[list[np.ndarray] |
     ]
 
 
-def _as_rings(rows: list[list[np.ndarray] | None]) -> pa.ListArray:
+def rings_to_arrow(rows: list[list[np.ndarray] | None]) -> pa.ListArray:
     """The other way round: lists of point arrays to an Arrow ``array<array<struct<x, y>>>``."""
     rings = [ring for row in rows if row for ring in row]
     points = np.vstack(rings) if rings else np.empty((0, 2))
@@ -311,7 +311,7 @@ def common_part(rings: pa.Array, parts: pa.Array) -> pa.Array:
     shapes, masks = _nested(rings, ["x", "y"]), _nested(parts, ["x1", "y1", "x2", "y2"])
     cuts = [(s is not None and overlay(s, m)) or (None, None) for s, m in zip(shapes, masks)]
     kinds = pa.array([kind for kind, _ in cuts], pa.string())
-    return pa.StructArray.from_arrays([kinds, _as_rings([r for _, r in cuts])], ["geom_type", "rings"])
+    return pa.StructArray.from_arrays([kinds, rings_to_arrow([r for _, r in cuts])], ["geom_type", "rings"])
 
 
 # --- binary form ----------------------------------------------------------------------------------------------
@@ -354,4 +354,4 @@ def polygon_from_wkb(data: bytes | None) -> list[np.ndarray] | None:
 
 @F.arrow_udf(RINGS_TYPE)
 def from_wkb(data: pa.Array) -> pa.Array:
-    return _as_rings([polygon_from_wkb(d.as_py()) for d in data])
+    return rings_to_arrow([polygon_from_wkb(d.as_py()) for d in data])

@@ -25,13 +25,6 @@ def box_columns(prefix: str = "") -> dict[str, Column]:
     return {n: F.col(prefix + n) for n in ("minx", "miny", "maxx", "maxy")}
 
 
-def with_bounds(df: DataFrame, rings: str = "rings") -> DataFrame:
-    """Add ``minx, miny, maxx, maxy`` from the geometry."""
-    return df.withColumn("_b", geo.bounds_of(F.col(rings))).select(
-        *[c for c in df.columns if c not in ("minx", "miny", "maxx", "maxy")], "_b.*"
-    )
-
-
 def once(df: DataFrame, made: Column, drop: list[str] | None = None) -> DataFrame:
     """Add the fields of the struct ``made``, computed one time per row even if later filters use them.
 
@@ -42,6 +35,11 @@ def once(df: DataFrame, made: Column, drop: list[str] | None = None) -> DataFram
     return df.select(*kept, F.inline(F.array(made)))
 
 
+def with_bounds(df: DataFrame, rings: str = "rings") -> DataFrame:
+    """Add ``minx, miny, maxx, maxy`` from the geometry."""
+    return once(df, geo.bounds_of(F.col(rings)), drop=["minx", "miny", "maxx", "maxy"])
+
+
 # --- filters --------------------------------------------------------------------------------------------------
 
 def scan_bbox(df: DataFrame, minx: float, miny: float, maxx: float, maxy: float) -> DataFrame:

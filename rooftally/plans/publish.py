@@ -97,7 +97,7 @@ def backfill_volumes(tasks_table: DataFrame, layers_by_task: DataFrame, order: l
     rows = layers_by_task.join(finished, "task_id", "left_semi")
     numbered = with_position(rows, "task_id", *order, name="_position")
     first = numbered.groupBy("task_id").agg(F.min("_position").alias("_first"))
-    placed = lookup_join(numbered, first, ["task_id"])
+    placed = lookup_join(numbered, stage(first), ["task_id"])
     return placed.withColumn("part", (F.floor((F.col("_position") - F.col("_first")) / max_features) + 1).cast("int")).drop("_position", "_first")
 
 

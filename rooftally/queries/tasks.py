@@ -374,9 +374,11 @@ def discover_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 def fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     key, order = F.col("o_custkey").cast("string"), F.col("o_orderkey")
     suffix = F.when(order % 2 == 0, ".shp").otherwise(".dbf")
+    # whatever the time zone of the session is
+    whole_seconds = F.datediff("o_orderdate", F.lit("1970-01-01")).cast("long") * 86_400 + F.hour("o_orderdate") * 3600 + F.minute("o_orderdate") * 60 + F.second("o_orderdate")
     files = table(spark, sf_dir, "orders").select(
         F.col("o_custkey").alias("dataset_key"), F.concat(F.lit("data/c"), key, F.lit("/p"), order.cast("string"), suffix).alias("path"),
-        F.floor("o_totalprice").alias("size"), (F.unix_micros(F.col("o_orderdate").cast("timestamp")) * 1000).alias("mtime_ns"),
+        F.floor("o_totalprice").alias("size"), (whole_seconds * 1_000_000_000).alias("mtime_ns"),
     )
     return tasks.source_fingerprint(files)
 

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from rooftally import schemas
 from rooftally.functions import geometry as geo
 from rooftally.functions import kernels, text
+from rooftally.functions.kernels import rings_to_arrow
 from rooftally.operators.quality import to_srid
 from rooftally.sources.files import list_files, open_file
 
@@ -143,7 +144,7 @@ def _read_ranges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array([row["path"]] * len(chosen)), pa.array(numbers[chosen], pa.int64()),
-                    pa.array([kinds[i] for i in chosen], pa.string()), kernels._as_rings([shapes[i] for i in chosen]),
+                    pa.array([kinds[i] for i in chosen], pa.string()), rings_to_arrow([shapes[i] for i in chosen]),
                     pa.array([list(attributes[i].items()) for i in chosen], pa.map_(pa.string(), pa.string())),
                 ],
                 names=["path", "record_no", "geom_type", "rings", "attributes"],
