@@ -1,6 +1,7 @@
 """Time the headline queries and print one JSON line.
 
-``BENCH_SF_DIR`` names the tables (default sf0.1), ``BENCH_CPUS`` the local cores.
+``BENCH_SF_DIR`` names the tables (default sf0.1), ``BENCH_CPUS`` the local cores. The smallest tables next to
+them are run through once before the clock starts, so that the times are those of a running session.
 """
 
 from __future__ import annotations
@@ -60,12 +61,16 @@ def main() -> None:
         **{"spark.sql.shuffle.partitions": cpus, "spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false", "spark.driver.memory": "16g"},
     )
     spark.sparkContext.setLogLevel("ERROR")
-    table(spark, sf_dir, "lineitem").count()  # start the executors before the clock
+    small = Path(sf_dir).parent / "sf0.001"
+    warm = small.is_dir() and str(small) != sf_dir
+    if warm:
+        run(spark, str(small))
+    table(spark, sf_dir, "lineitem").count()
     seconds = run(spark, sf_dir)
     rows = table(spark, sf_dir, "lineitem").count()
     result = {
         "metric": "headline queries, total", "value": round(sum(seconds.values()), 3), "unit": "sec", "queries": seconds,
-        "sf": Path(sf_dir).name.removeprefix("sf"), "buildings": rows,
+        "sf": Path(sf_dir).name.removeprefix("sf"), "buildings": rows, "warm": warm,
         "process_layer_rows_per_sec": round(rows / seconds["process_layer"]),
         "boundary_stats_rows_per_sec": round(rows / seconds["boundary_stats"]),
     }
