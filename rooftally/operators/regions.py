@@ -41,14 +41,14 @@ def match_override(tasks: DataFrame, overrides: DataFrame) -> DataFrame:
     Every task asks for the eight combinations of its own value or blank, as an equi-join.
     """
     fields = ["continent", "country", "city"]
-    own = [text.task_key(F.col(c)) for c in fields]
+    keyed = tasks.select("task_id", *[text.task_key(F.col(c)).alias("_own_" + c) for c in fields])
     combos = F.array(
         *[
-            F.struct(*[(o if take else F.lit("")).alias("_" + c) for o, take, c in zip(own, mask, fields)])
+            F.struct(*[(F.col("_own_" + c) if take else F.lit("")).alias("_" + c) for take, c in zip(mask, fields)])
             for mask in product([True, False], repeat=3)
         ]
     )
-    asked = tasks.select("task_id", F.explode(F.array_distinct(combos)).alias("k")).select("task_id", "k.*")
+    asked = keyed.select("task_id", F.explode(F.array_distinct(combos)).alias("k")).select("task_id", "k.*")
     first = overrides.groupBy(*fields).agg(F.min(F.struct("pos", "kind", "value", "note")).alias("o"))
     table = first.select(*[F.col(c).alias("_" + c) for c in fields], "o")
     hits = lookup_join(asked, table, ["_" + c for c in fields]).groupBy("task_id").agg(F.min("o").alias("o"))
