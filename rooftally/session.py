@@ -8,8 +8,9 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-# A side of a join is broadcast only after a count has shown that it has no more rows than this.
+# A side of a join is broadcast only after one pass over it has shown that it has no more rows and bytes than this.
 BROADCAST_ROWS = 200_000
+BROADCAST_BYTES = 200 << 20
 # Copies made of the small side, and buckets of the large side, when a join has to be salted.
 SALTS = 16
 
@@ -59,6 +60,25 @@ def has_at_most(df: DataFrame, rows: int) -> bool:
     return df.limit(rows + 1).count() <= rows
 
 
+def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES) -> bool:
+    """Whether ``df`` is small enough to be sent to every executor, by rows and by (estimated) bytes.
+
+    Texts count with their length and nested values with the length of their JSON form, which is above their size
+    in memory for numbers of more than a few digits; no more than ``max_rows`` rows and one are looked at.
+    """
+    weight = F.lit(16 * len(df.columns)).cast("long")
+    for field in df.schema.fields:
+        kind = field.dataType.typeName()
+        if kind in ("string", "binary"):
+            weight = weight + F.coalesce(F.octet_length(field.name), F.lit(0))
+        elif kind in ("array", "struct", "map"):
+            weight = weight + F.length(F.to_json(F.struct(field.name)))
+    # only one number per row reaches the task that adds them up
+    weights = df.select(weight.cast("long").alias("weight")).limit(max_rows + 1)
+    found = weights.agg(F.count(F.lit(1)).alias("rows"), F.sum("weight").alias("bytes")).first()
+    return found["rows"] <= max_rows and (found["bytes"] or 0) <= max_bytes
+
+
 def lookup_join(
     big: DataFrame,
     small: DataFrame,
@@ -71,13 +91,13 @@ def lookup_join(
 ) -> DataFrame:
     """Equi-join ``big`` with a side that is usually small.
 
-    The small side is broadcast when a count proves it small. Otherwise the rows of ``big`` are spread over
+    The small side is broadcast when one pass over it proves it small (rows and bytes). Otherwise the rows of ``big`` are spread over
     ``SALTS`` buckets per key, and the other side is copied once per bucket, so that one hot key is shared
     by many tasks. Both ways give the same rows. ``how`` is ``inner``, ``left``, ``left_semi`` or ``left_anti``.
     ``small_rows`` gives the size of the small side where the caller has counted it already.
     """
     small_names = [c for c in small.columns if c not in on]
-    if has_at_most(small, max_rows) if small_rows is None else small_rows <= max_rows:
+    if fits_broadcast(small, max_rows) if small_rows is None else small_rows <= max_rows:
         left, right, keys = big, F.broadcast(small), list(on)
     else:
         spread = salt_by or [f.name for f in big.schema.fields if f.dataType.typeName() not in ("map", "variant")]

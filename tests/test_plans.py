@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from rooftally.operators import index, quality, spatial, tasks
-from rooftally.session import lookup_join, shared_folder, stage
+from rooftally.session import fits_broadcast, lookup_join, shared_folder, stage
 from tests.shapes import RINGS, box
 
 
@@ -30,6 +30,12 @@ def test_lookup_broadcasts_only_what_was_counted(spark):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
+def test_size_check_counts_nested_bytes(spark):
+    df = spark.range(10).withColumn("shape", F.transform(F.sequence(F.lit(1), F.lit(1000)), lambda i: i.cast("double")))
+    assert fits_broadcast(df) and not fits_broadcast(df, max_rows=9) and not fits_broadcast(df, max_bytes=20_000)
+    assert fits_broadcast(df.limit(0))
+
+
 def test_assignment_does_not_shuffle_the_features(spark):
     features = spark.createDataFrame([(i, i / 10, 0.5) for i in range(20)], "id int, rep_x double, rep_y double")
     unit = spark.createDataFrame([(1, box(0, 0, 1, 1))], f"boundary_id int, rings {RINGS}")
