@@ -5,9 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rooftally.llm.common import table
+from rooftally.llm.common import held_out, table
+from rooftally.llm.language import identify_language
+from rooftally.llm.nearest import nearest_neighbours
 from rooftally.llm.packing import pack_documents
 from rooftally.llm.registry import ORACLES, QUERIES, query
+from rooftally.llm.topk import top_inner_products
 
 __all__ = ["ORACLES", "QUERIES"]
 
@@ -23,3 +26,30 @@ def tokenizer_file(name: str) -> str:
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     packed = pack_documents(table(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_50k.json"))
     return packed.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset", "bucket")
+
+
+@query("op7_language_id")
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    predicted = identify_language(docs, docs.filter(~held_out(F.col("doc_id"))))
+    return predicted.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
+
+
+@query("op8_nearest_neighbours")
+def op8_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest_neighbours(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
+@query(
+    "op9_exact_top_k",
+    """
+    WITH v AS (SELECT vec_id, [CAST(floor(CAST(x AS DOUBLE) * 256) AS BIGINT) FOR x IN embedding] AS c FROM embeddings
+               WHERE embedding IS NOT NULL AND len([x FOR x IN embedding IF x IS NULL OR isnan(x) OR isinf(x)]) = 0 AND len(embedding) > 0),
+         s AS (SELECT q.vec_id AS query_id, d.vec_id, list_sum([p[1] * p[2] FOR p IN list_zip(q.c, d.c)]) AS score
+               FROM v q JOIN v d ON q.vec_id <> d.vec_id AND len(q.c) = len(d.c) WHERE q.vec_id % 50 = 0),
+         r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
+    SELECT query_id, rank, vec_id, CAST(score AS BIGINT) AS score FROM r WHERE rank <= 5
+    """,
+)
+def op9_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return top_inner_products(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
