@@ -11,6 +11,8 @@ from rooftally.llm.nearest import nearest_neighbours
 from rooftally.llm.packing import pack_documents
 from rooftally.llm.registry import ORACLES, QUERIES, query
 from rooftally.llm.topk import top_inner_products
+from rooftally.llm.urls import Rule, judge_urls
+from rooftally.llm.wordbpe import encode_words
 
 __all__ = ["ORACLES", "QUERIES"]
 
@@ -28,6 +30,15 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset", "bucket")
 
 
+# The rules that the task fixes.
+URL_RULES = [Rule("net/", "block"), Rule("example.net/en/", "allow"), Rule("example.com/de/", "block"), Rule("org/fr/", "allow")]
+
+
+@query("op6_url_filter")
+def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return judge_urls(table(spark, sf_dir, "pages"), URL_RULES)
+
+
 @query("op7_language_id")
 def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
@@ -53,3 +64,8 @@ def op8_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def op9_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_inner_products(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
+@query("op10_word_bpe")
+def op10_word_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return encode_words(table(spark, sf_dir, "documents"), tokenizer_file("word_bpe_49k.json"), with_ids=False)
