@@ -39,3 +39,33 @@ def map_batches(df: DataFrame, function: Callable[[pa.RecordBatch], pa.RecordBat
                 yield function(batch)
 
     return df.mapInArrow(run, schema)
+
+
+def map_sorted_groups(df: DataFrame, keys: list[str], partitions: int | None, function: Callable[[pa.Table], pa.Table], schema: str) -> DataFrame:
+    """``function`` over the rows of each distinct ``keys``, streamed through tasks sorted by them.
+
+    For very many small groups: a task starts no new Arrow stream per group, only the group at hand is held.
+    """
+    dealt = df.repartition(partitions, *keys) if partitions else df.repartition(*keys)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        last = None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            columns = [batch.column(k).to_pylist() for k in keys]
+            marks = list(zip(*columns))
+            start = 0
+            for i, mark in enumerate(marks):
+                if mark != last:
+                    if i > start:
+                        held.append(batch.slice(start, i - start))
+                    if held:
+                        yield from function(pa.Table.from_batches(held)).to_batches()
+                    held, start, last = [], i, mark
+            held.append(batch.slice(start))
+        if held:
+            yield from function(pa.Table.from_batches(held)).to_batches()
+
+    return dealt.sortWithinPartitions(*keys).mapInArrow(run, schema)

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from rooftally.llm.common import held_out, table
 from rooftally.llm.language import identify_language
 from rooftally.llm.nearest import nearest_neighbours
+from rooftally.llm.neardup import near_duplicates
 from rooftally.llm.packing import pack_documents
 from rooftally.llm.registry import ORACLES, QUERIES, query
 from rooftally.llm.topk import top_inner_products
@@ -24,6 +25,11 @@ def tokenizer_file(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+@query("op2_near_duplicates")
+def op2_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"))
+
+
 @query("op3_packing")
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     packed = pack_documents(table(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_50k.json"))
