@@ -24,23 +24,6 @@ def text_bytes(df: DataFrame, column: str) -> int:
     return df.agg(F.sum(F.octet_length(F.col(column)).cast("long"))).first()[0] or 0
 
 
-def with_columns_replaced(df: DataFrame, columns: dict[str, Column]) -> DataFrame:
-    """``df`` with ``columns`` last; input columns of the same name (case ignored) give way."""
-    taken = {c.lower() for c in columns}
-    return df.select(*[F.col(f"`{c}`") for c in df.columns if c.lower() not in taken], *[v.alias(k) for k, v in columns.items()])
-
-
-def map_batches(df: DataFrame, function: Callable[[pa.RecordBatch], pa.RecordBatch], schema: str) -> DataFrame:
-    """``function`` over each Arrow batch of ``df``; empty batches are passed over."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if batch.num_rows:
-                yield function(batch)
-
-    return df.mapInArrow(run, schema)
-
-
 def map_sorted_groups(df: DataFrame, keys: list[str], partitions: int | None, function: Callable[[pa.Table], pa.Table], schema: str) -> DataFrame:
     """``function`` over the rows of each distinct ``keys``, streamed through tasks sorted by them.
 

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from rooftally.llm.common import held_out, table
 from rooftally.llm.language import identify_language
 from rooftally.llm.nearest import nearest_neighbours
+from rooftally.llm.lines import remove_repeated_chunks
 from rooftally.llm.neardup import near_duplicates
 from rooftally.llm.packing import pack_documents
 from rooftally.llm.registry import ORACLES, QUERIES, query
@@ -36,6 +37,28 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset", "bucket")
 
 
+@query(
+    "op4_line_dedup",
+    """
+    WITH d AS (SELECT doc_id, text, string_split(text, chr(10)) AS lines FROM documents WHERE text IS NOT NULL),
+         l AS (SELECT doc_id, text, unnest(lines) AS line, generate_subscripts(lines, 1) - 1 AS i, len(lines) AS n FROM d),
+         h AS (SELECT *, CAST('0x' || substr(md5(line), 1, 8) AS BIGINT) AS h FROM l),
+         r AS (SELECT *, i = n - 1 OR (i >= 1 AND (h + 31 * lag(h) OVER w) % 3 = 0) AS ends FROM h WINDOW w AS (PARTITION BY doc_id ORDER BY i)),
+         p AS (SELECT *, coalesce(sum(CAST(ends AS INT)) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS place FROM r),
+         c AS (SELECT doc_id, place, count(*) AS size, string_agg(line, chr(10) ORDER BY i) AS chunk FROM p GROUP BY doc_id, place),
+         g AS (SELECT doc_id, place, size, size >= 2 AND row_number() OVER (PARTITION BY chunk, size >= 2 ORDER BY doc_id, place) > 1 AS gone FROM c),
+         s AS (SELECT doc_id, sum(size) AS n_lines, coalesce(sum(size) FILTER (WHERE gone), 0) AS n_removed_lines, count(*) FILTER (WHERE gone) AS n_removed_chunks FROM g GROUP BY doc_id),
+         k AS (SELECT doc_id, coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (WHERE NOT gone), '') AS kept FROM p JOIN g USING (doc_id, place) GROUP BY doc_id)
+    SELECT documents.doc_id, CAST(coalesce(n_lines, 0) AS BIGINT) AS n_lines, CAST(coalesce(n_removed_lines, 0) AS BIGINT) AS n_removed_lines,
+           CAST(coalesce(n_removed_chunks, 0) AS BIGINT) AS n_removed_chunks, md5(kept) AS kept_md5
+    FROM documents LEFT JOIN s USING (doc_id) LEFT JOIN k USING (doc_id)
+    """,
+)
+def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = remove_repeated_chunks(table(spark, sf_dir, "documents"))
+    return kept.select("doc_id", "n_lines", "n_removed_lines", "n_removed_chunks", F.md5("text").alias("kept_md5"))
+
+
 # The rules that the task fixes.
 URL_RULES = [Rule("net/", "block"), Rule("example.net/en/", "allow"), Rule("example.com/de/", "block"), Rule("org/fr/", "allow")]
 
