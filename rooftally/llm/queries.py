@@ -13,6 +13,7 @@ from rooftally.llm.neardup import near_duplicates
 from rooftally.llm.packing import pack_documents
 from rooftally.llm.registry import ORACLES, QUERIES, query
 from rooftally.llm.topk import top_inner_products
+from rooftally.llm.toxicity import score_toxicity
 from rooftally.llm.urls import Rule, judge_urls
 from rooftally.llm.wordbpe import encode_words
 
@@ -26,6 +27,18 @@ def tokenizer_file(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+#: Score from which a document counts as toxic.
+TOXIC_FROM = 0.7
+
+
+@query("op1_toxicity")
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    learnable = ~held_out(F.col("doc_id"))
+    scored = score_toxicity(docs, docs.filter(learnable), labels.filter(learnable))
+    return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= TOXIC_FROM).cast("int").alias("predicted"))
+
+
 @query("op2_near_duplicates")
 def op2_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
