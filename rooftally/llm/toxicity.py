@@ -41,6 +41,7 @@ LOOKS_LIKE = {
 # Costs in nats: a look-alike, a letter repeated, a separator dropped, a mask for any letter, a boundary.
 COST_LOOK, COST_REPEAT, COST_DROP, COST_MASK, COST_SPACE = 1.0, 3.0, 0.7, 3.5, 2.0
 SEPARATORS = " .-_*~,'"
+PLAIN_EDGES = ".,;:?\"()%&#"
 
 LETTERS = "abcdefghijklmnopqrstuvwxyz"
 SYMBOLS = 28  # boundary, a to z, any other letter
@@ -165,8 +166,12 @@ class Features:
         if found is None:
             if len(self.known) > REMEMBERED:
                 self.known.clear()
-            words = set(_WORDS.findall(token.lower()))
-            core = _EDGE.sub("", token)
+            core = token.strip(PLAIN_EDGES)
+            if core.isalpha():
+                words = {core.lower()}
+            else:
+                words = set(_WORDS.findall(core.lower()))
+                core = _EDGE.sub("", core)
             if obfuscated(core):
                 words.update(_WORDS.findall(self.restore.run(core)))
             found = tuple(e for w in words for e in self.of_word(w))
