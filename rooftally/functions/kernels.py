@@ -168,27 +168,60 @@ def is_valid(rings: pa.Array) -> pa.Array:
 
 # --- overlay --------------------------------------------------------------------------------------------------
 
+def _meeting(edge: np.ndarray, others: np.ndarray) -> np.ndarray:
+    """Where ``edge`` meets each of ``others`` in one point; NaN where it does not.
+
+    A pair is always computed from the smaller of its two edges, both taken from their smaller end, so the point is the
+    same to the last bit whichever of the two is cut. A meeting at an end is that end itself.
+    """
+    mine = np.broadcast_to(edge, others.shape)
+    turned = [np.where(_after(e)[:, None], e[:, [2, 3, 0, 1]], e) for e in (mine, others)]
+    swap = _larger(turned[0], turned[1])[:, None]
+    a, b = np.where(swap, turned[1], turned[0]), np.where(swap, turned[0], turned[1])
+    dx, dy, ex, ey = a[:, 2] - a[:, 0], a[:, 3] - a[:, 1], b[:, 2] - b[:, 0], b[:, 3] - b[:, 1]
+    det, ox, oy = _cross(dx, dy, ex, ey), b[:, 0] - a[:, 0], b[:, 1] - a[:, 1]
+    with np.errstate(divide="ignore", invalid="ignore"):
+        t, u = _cross(ox, oy, ex, ey) / det, _cross(ox, oy, dx, dy) / det
+        points = np.column_stack([a[:, 0] + t * dx, a[:, 1] + t * dy])
+        for at, ends in ((t == 0, a[:, :2]), (t == 1, a[:, 2:]), (u == 0, b[:, :2]), (u == 1, b[:, 2:])):
+            points = np.where(at[:, None], ends, points)
+        meets = (det != 0) & (t >= 0) & (t <= 1) & (u >= 0) & (u <= 1)
+    return np.where(meets[:, None], points, np.nan)
+
+
+def _larger(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Whether each row of ``a`` comes after that of ``b`` in the order of its numbers."""
+    differs = a != b
+    first = differs.argmax(axis=1)
+    row = np.arange(len(a))
+    return differs.any(axis=1) & (a[row, first] > b[row, first])
+
+
+def _after(edges: np.ndarray) -> np.ndarray:
+    return _larger(edges[:, :2], edges[:, 2:])
+
+
 def _cut_points(edges: np.ndarray, others: np.ndarray) -> list[np.ndarray]:
     """For each edge its pieces' end points: own ends plus every meeting point with ``others``."""
     result = []
-    for x1, y1, x2, y2 in edges:
-        dx, dy = x2 - x1, y2 - y1
-        ts = [np.array([0.0, 1.0])]
+    for edge in edges:
+        start, end = edge[:2], edge[2:]
+        d = end - start
+        found = [start[None], end[None]]
         if len(others):
+            points = _meeting(edge, others)
+            found.append(points[~np.isnan(points[:, 0])])
             ex, ey = others[:, 2] - others[:, 0], others[:, 3] - others[:, 1]
-            det = _cross(dx, dy, ex, ey)
-            ox, oy = others[:, 0] - x1, others[:, 1] - y1
-            with np.errstate(divide="ignore", invalid="ignore"):
-                t, u = _cross(ox, oy, ex, ey) / det, _cross(ox, oy, dx, dy) / det
-            ts.append(t[(det != 0) & (t >= 0) & (t <= 1) & (u >= 0) & (u <= 1)])
-            flat = (det == 0) & (_cross(ox, oy, dx, dy) == 0)
-            for ends in (others[flat, :2], others[flat, 2:]):
-                along = ((ends[:, 0] - x1) * dx + (ends[:, 1] - y1) * dy) / (dx * dx + dy * dy)
-                ts.append(along[(along > 0) & (along < 1)])
-        t = np.unique(np.concatenate(ts))
-        points = np.column_stack([x1 + t * dx, y1 + t * dy])
-        points[0], points[-1] = (x1, y1), (x2, y2)
-        result.append(points)
+            ox, oy = others[:, 0] - start[0], others[:, 1] - start[1]
+            flat = (_cross(d[0], d[1], ex, ey) == 0) & (_cross(ox, oy, d[0], d[1]) == 0)
+            found += [others[flat, :2], others[flat, 2:]]
+        points = np.vstack(found)
+        along = ((points - start) @ d) / (d @ d)
+        inside = (along > 0) & (along < 1)
+        inside[:2] = True
+        points, along = points[inside], along[inside]
+        along[:2] = (0.0, 1.0)
+        result.append(points[np.argsort(along, kind="stable")])
     return result
 
 
@@ -199,8 +232,12 @@ def _pieces(edges: np.ndarray, others: np.ndarray, digits: int) -> np.ndarray:
     return pieces[np.any(pieces[:, :2] != pieces[:, 2:], axis=1)]
 
 
+class OpenRing(ValueError):
+    """The pieces of an outline do not close."""
+
+
 def _link(pieces: np.ndarray) -> list[list[tuple[float, float]]]:
-    """Join undirected pieces to closed rings; every node has an even number of pieces."""
+    """Join undirected pieces to closed rings; every node has an even number of pieces, else ``OpenRing``."""
     at = defaultdict(list)
     for number, (x1, y1, x2, y2) in enumerate(pieces):
         at[(x1, y1)].append((number, (x2, y2)))
@@ -214,23 +251,41 @@ def _link(pieces: np.ndarray) -> list[list[tuple[float, float]]]:
         while here != ring[0]:
             step = next(((n, p) for n, p in at[here] if n not in used), None)
             if step is None:
-                break
+                raise OpenRing(f"an outline ends at {here}")
             used.add(step[0])
             here = step[1]
             ring.append(here)
-        if here == ring[0] and len(ring) >= 4:
+        if len(ring) >= 4:
             rings.append(ring)
     return rings
 
 
-def overlay(rings: list[np.ndarray], masks: list[np.ndarray], digits: int = 12) -> tuple[str, list[np.ndarray]] | None:
+def overlay(rings: list[np.ndarray], masks: list[np.ndarray], digits: int | None = None, spans: list[np.ndarray] | None = None) -> tuple[str, list[np.ndarray]] | None:
     """Common part of a polygon and the union of edge-set polygons; NULL when they do not meet.
 
+    Points are rounded to ``digits`` decimals, by default 15 significant digits of the largest coordinate less two, so
+    that meetings that fall into one place do so for both outlines. Where an outline still does not close, the polygon
+    is taken again two and four digits coarser; if that fails too it is an error, never a loss.
+    """
+    if digits is None:
+        digits = 13 - int(np.ceil(np.log10(max(1.0, max(np.abs(r).max() for r in rings)))))
+    for coarser in (0, 2):
+        try:
+            return _overlay(rings, masks, digits - coarser, spans)
+        except OpenRing:
+            pass
+    return _overlay(rings, masks, digits - 4, spans)
+
+
+def _overlay(rings: list[np.ndarray], masks: list[np.ndarray], digits: int, spans: list[np.ndarray] | None) -> tuple[str, list[np.ndarray]] | None:
+    """``overlay`` at one precision.
+
     Kept outline: pieces of the polygon inside the mask, and pieces of a mask part inside the polygon but in no
     other part. Pieces on both outlines count once, when both interiors lie on the same side.
     """
     shape = _edge_array(rings)
     masks = [m[np.any(m[:, :2] != m[:, 2:], axis=1)] for m in masks]
+    numbers = list(range(len(masks)))
     low, high = shape[:, :2].min(axis=0), shape[:, :2].max(axis=0)
     near = [
         m[(np.minimum(m[:, 0], m[:, 2]) <= high[0]) & (np.maximum(m[:, 0], m[:, 2]) >= low[0])
@@ -246,10 +301,17 @@ def overlay(rings: list[np.ndarray], masks: list[np.ndarray], digits: int = 12)
     def beside(p: np.ndarray) -> np.ndarray:
         d = p[:, 2:] - p[:, :2]
         normal = np.column_stack([-d[:, 1], d[:, 0]]) / np.hypot(d[:, 0], d[:, 1])[:, None]
-        return middle(p) + normal * np.minimum(np.hypot(d[:, 0], d[:, 1]) / 1000, 1e-7)[:, None]
+        return middle(p) + normal * np.minimum(np.hypot(d[:, 0], d[:, 1]) / 1000, 10.0 ** (3 - digits))[:, None]
+
+    def in_part(points: np.ndarray, part: int, slack: float = 0.0) -> np.ndarray:
+        where = _locate(points, masks[part], slack)
+        if spans is not None:
+            y = points[:, 1:]
+            where[~((y >= spans[part][:, 0]) & (y <= spans[part][:, 1])).any(axis=1)] = -1
+        return where
 
     def in_mask(points: np.ndarray) -> np.ndarray:
-        where = [_locate(points, m, tolerance) for m in masks]
+        where = [in_part(points, k, tolerance) for k in numbers]
         return np.max(where, axis=0) if where else np.full(len(points), -1)
 
     own = _pieces(shape, all_near, digits)
@@ -257,11 +319,11 @@ def overlay(rings: list[np.ndarray], masks: list[np.ndarray], digits: int = 12)
     kept = [own[where == 1]]
     edge = own[where == 0]
     if len(edge):
-        outer = np.array([_locate(beside(edge), m) for m in masks]).max(axis=0)
+        outer = np.array([in_part(beside(edge), k) for k in numbers]).max(axis=0)
         same_side = (_locate(beside(edge), shape) == 1) == (outer == 1)
         # a piece on a seam between two parts lies inside the union although it is on an outline of each
         other_side = np.hstack([edge[:, 2:], edge[:, :2]])
-        both = (outer == 1) & (np.array([_locate(beside(other_side), m) for m in masks]).max(axis=0) == 1)
+        both = (outer == 1) & (np.array([in_part(beside(other_side), k) for k in numbers]).max(axis=0) == 1)
         kept.append(edge[same_side | both])
         contact = edge[~(same_side | both)]
     else:
@@ -273,18 +335,18 @@ def overlay(rings: list[np.ndarray], masks: list[np.ndarray], digits: int = 12)
         pieces = pieces[_locate(middle(pieces), shape, tolerance) == 1]
         if not len(pieces):
             continue
-        others = [m for k, m in enumerate(masks) if k != number]
+        others = [k for k in numbers if k != number]
         if others:
-            spots = np.array([_locate(middle(pieces), m, tolerance) for m in others])
+            spots = np.array([in_part(middle(pieces), k, tolerance) for k in others])
             covered = (spots == 1).any(axis=0)
             # on a seam the union has no outline unless both parts lie on the same side; then the first keeps it
             seam = (spots == 0).any(axis=0) & ~covered
-            left = np.array([_locate(beside(pieces), m) for m in masks])
+            left = np.array([in_part(beside(pieces), k) for k in numbers])
             flipped = np.hstack([pieces[:, 2:], pieces[:, :2]])
-            right = np.array([_locate(beside(flipped), m) for m in masks])
+            right = np.array([in_part(beside(flipped), k) for k in numbers])
             inner_seam = seam & ((left == 1).any(axis=0) & (right == 1).any(axis=0))
             doubled = seam & ~inner_seam & np.array(
-                [any(k < number and spot[i] == 0 for k, spot in zip([k for k in range(len(masks)) if k != number], spots))
+                [any(k < number and spot[i] == 0 for k, spot in zip(others, spots))
                  for i in range(len(pieces))]
             )
             pieces = pieces[~(covered | inner_seam | doubled)]
@@ -306,10 +368,13 @@ def overlay(rings: list[np.ndarray], masks: list[np.ndarray], digits: int = 12)
 
 
 @F.arrow_udf(CUT_TYPE)
-def common_part(rings: pa.Array, parts: pa.Array) -> pa.Array:
-    """``rings`` cut to the union of the mask ``parts`` (each an array of edges); NULL members without contact."""
-    shapes, masks = _nested(rings, ["x", "y"]), _nested(parts, ["x1", "y1", "x2", "y2"])
-    cuts = [(s is not None and overlay(s, m)) or (None, None) for s, m in zip(shapes, masks)]
+def common_part(rings: pa.Array, parts: pa.Array, spans: pa.Array) -> pa.Array:
+    """``rings`` cut to the union of the mask ``parts`` (each an array of edges); NULL members without contact.
+
+    ``spans``: per part the ranges of y (low, high) in which its edges are complete.
+    """
+    shapes, masks, ranges = _nested(rings, ["x", "y"]), _nested(parts, ["x1", "y1", "x2", "y2"]), _nested(spans, ["low", "high"])
+    cuts = [(s is not None and overlay(s, m, spans=r)) or (None, None) for s, m, r in zip(shapes, masks, ranges)]
     kinds = pa.array([kind for kind, _ in cuts], pa.string())
     return pa.StructArray.from_arrays([kinds, rings_to_arrow([r for _, r in cuts])], ["geom_type", "rings"])
 

@@ -257,7 +257,10 @@ def _needed(edges: Column) -> Column:
 
 
 def _with_mask_parts(features: DataFrame, masks: DataFrame, size: float, feature_key: str) -> DataFrame:
-    """Features near the mask with ``parts``: the mask edges around them, one array per mask polygon.
+    """Features near the mask with ``parts``: the mask edges around them, one array per mask polygon, and ``part_rows``.
+
+    ``part_rows`` holds the rows of cells whose edges each part knows; in all other rows of the feature the polygon
+    covers nothing, whatever edges reach there from the known ones.
 
     Nearly all features lie in one cell and get the parts of that cell by a plain join. Only those that span
     several cells are copied per cell and grouped again by their key.
@@ -275,10 +278,12 @@ def _with_mask_parts(features: DataFrame, masks: DataFrame, size: float, feature
     one_cell = (F.col("cell_i") == F.col("_i1")) & (F.col("cell_j") == F.col("_j1"))
     helpers = ["cell_i", "cell_j", "_i1", "_j1", "_found"]
     single = lookup_join(spans.filter(one_cell), by_cell, ["cell_i", "cell_j"])
-    single = single.withColumn("parts", F.transform("_found", lambda p: p["edges"])).drop(*helpers)
+    own_row = F.transform("_found", lambda p: F.array("cell_j"))
+    single = single.withColumns({"parts": F.transform("_found", lambda p: p["edges"]), "part_rows": own_row}).drop(*helpers)
     spread = spans.filter(~one_cell).withColumn("cell_j", F.explode(F.sequence("cell_j", "_j1")))
     spread = spread.withColumn("cell_i", F.explode(F.sequence("cell_i", "_i1")))
     hit = lookup_join(spread, by_cell, ["cell_i", "cell_j"])
+    hit = hit.withColumn("_found", F.transform("_found", lambda p: p.withField("row", F.col("cell_j"))))
     others = [c for c in features.columns if c != feature_key]
     gathered = hit.groupBy(feature_key).agg(
         F.first(F.struct(*others)).alias("_row"), F.flatten(F.collect_list("_found")).alias("_found")
@@ -288,8 +293,12 @@ def _with_mask_parts(features: DataFrame, masks: DataFrame, size: float, feature
         pieces = F.filter("_found", lambda p: p["_poly"] == polygon)
         return F.array_distinct(F.flatten(F.transform(pieces, lambda p: p["edges"])))
 
+    def rows_of_polygon(polygon: Column) -> Column:
+        return F.array_distinct(F.transform(F.filter("_found", lambda p: p["_poly"] == polygon), lambda p: p["row"]))
+
     polygons = F.array_distinct(F.transform("_found", lambda p: p["_poly"]))
-    several = gathered.select(feature_key, "_row.*", F.transform(polygons, edges_of_polygon).alias("parts"))
+    parts = {"parts": F.transform(polygons, edges_of_polygon), "part_rows": F.transform(polygons, rows_of_polygon)}
+    several = gathered.select(feature_key, "_row.*", *[c.alias(n) for n, c in parts.items()])
     return single.unionByName(several)
 
 
@@ -308,12 +317,15 @@ def clip(features: DataFrame, masks: DataFrame, size: float = 0.25, feature_key:
 
     def examine(parts: Column) -> Column:
         reached = F.exists(parts, lambda edges: F.exists(edges, lambda e: geo.edge_meets_box(e, *box)))
-        inside = F.exists(parts, lambda edges: geo.odd_crossings(edges, first["x"], first["y"]))
+        known = F.zip_with(parts, "part_rows", lambda edges, rows: F.struct(edges.alias("edges"), rows.alias("rows")))
+        row = grid.join_cell(first["y"], WORLD_MIN_Y, size)
+        inside = F.exists(known, lambda p: F.array_contains(p["rows"], row) & geo.odd_crossings(p["edges"], first["x"], first["y"]))
         return F.struct(parts.alias("parts"), reached.alias("_reached"), inside.alias("_inside"))
 
     examined = once(near, geo.let(F.transform("parts", _needed), examine), drop=["parts"])
     kept = examined.filter("_reached or _inside")
-    asked = [F.when(F.col("_reached"), F.col(c)) for c in ("rings", "parts")]
+    spans = F.transform("part_rows", lambda rows: F.transform(rows, lambda j: F.struct((j * size + WORLD_MIN_Y).alias("low"), ((j + 1) * size + WORLD_MIN_Y).alias("high"))))
+    asked = [F.when(F.col("_reached"), c) for c in (F.col("rings"), F.col("parts"), spans)]
     cut = kept.withColumn("_cut", kernels.common_part(*asked)).filter("not _reached or _cut.geom_type is not null")
     result = cut.withColumns(
         {
@@ -321,7 +333,7 @@ def clip(features: DataFrame, masks: DataFrame, size: float = 0.25, feature_key:
             "geom_type": F.when(F.col("_reached"), F.col("_cut.geom_type")).otherwise(F.lit("POLYGON")),
         }
     )
-    return with_bounds(result.drop("parts", "_reached", "_inside", "_cut"))
+    return with_bounds(result.drop("parts", "part_rows", "_reached", "_inside", "_cut"))
 
 
 def clip_boxes(features: DataFrame, minx: float, miny: float, maxx: float, maxy: float) -> DataFrame:

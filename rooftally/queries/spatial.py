@@ -259,6 +259,30 @@ def clip_mask(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cut.select("feature_id", "height", F.round(F.lit(1e8) * area, 4).alias("area"))
 
 
+@query(
+    "clip_slanted",
+    # what a half-plane leaves of a rectangle, in closed form; s is the distance of the lower left corner from the line
+    with_views(
+        """
+        WITH f AS (SELECT id, max(x0) AS a, max(y0) AS b, max(w) AS w, max(h) AS h FROM bld GROUP BY id),
+        g AS (SELECT id, 1-(a-90)/40-(b-10)/50 AS s, w/40 AS u, h/50 AS v FROM f),
+        p AS (SELECT id, CASE WHEN s>=u+v THEN 1 ELSE (s*s-greatest(s-u,0)*greatest(s-u,0)-greatest(s-v,0)*greatest(s-v,0))/(2*u*v) END AS part
+              FROM g WHERE s>0)
+        SELECT id AS feature_id, round(CAST(part AS DOUBLE),4) AS part FROM p WHERE part>=0.001""",
+        "bld",
+    ),
+)
+def clip_slanted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Buildings cut by one long slanted edge, in degrees; the share of each that is left."""
+    features = distinct_buildings(spark, sf_dir).withColumnRenamed("id", "feature_id")
+    corners = [(90.0, 10.0), (130.0, 10.0), (90.0, 60.0), (90.0, 10.0)]
+    mask = spark.range(1).select(F.array(F.array(*[F.struct(F.lit(x).alias("x"), F.lit(y).alias("y")) for x, y in corners])).alias("rings"))
+    whole = features.withColumn("whole", F.abs(geo.signed_area(F.col("rings")[0])))
+    cut = spatial.clip(whole, mask).filter("geom_type = 'POLYGON'")
+    area = F.aggregate("rings", F.lit(0.0), lambda total, ring: total + F.abs(geo.signed_area(ring)))
+    return cut.select("feature_id", F.round(area / F.col("whole"), 4).alias("part")).filter("part >= 0.001")
+
+
 @query(
     "clip_boxes",
     with_views(

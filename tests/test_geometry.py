@@ -218,6 +218,29 @@ def test_overlay_point_sets(seed):
         assert inside(rings, x, y) == want
 
 
+@pytest.mark.parametrize(("x", "y", "length", "width"), [(1.2e7, 3e6, 5e5, 20.0), (1.2e5, 3e5, 1e4, 20.123), (100.0, 20.0, 50.0, 0.001)])
+def test_slanted_edge_keeps_all_area(x, y, length, width):
+    """Boxes on a long slanted mask edge, in metres and degrees, against the closed formula for a half-plane."""
+    rng = random.Random(5)
+    u, v = 0.8 * length, 0.6 * length  # the mask lies left of the edge from (x, y) to (x + u, y + v)
+    mask = edges([ring((x, y), (x + u, y + v), (x - v, y + u))])
+    for _ in range(400):
+        s = rng.uniform(0.05, 0.95)
+        a, b = x + u * s + rng.uniform(-1.2, 0.2) * width, y + v * s + rng.uniform(-1.2, 0.2) * width
+        cut = kernels.overlay([np.array(box(a, b, a + width, b + width)[0])], [mask])
+        rings = [r - r[0] for r in cut[1]] if cut and cut[0] == "POLYGON" else []
+        # distances of the corners from the edge, in units of the box
+        far = (0.8 * (b + width - y) - 0.6 * (a - x)) / width
+        above = [max(0.0, far - i * 0.6 - j * 0.8) ** 2 for i in (0, 1) for j in (0, 1)]
+        want = (above[0] - above[1] - above[2] + above[3]) / (2 * 0.6 * 0.8)
+        assert area(rings) / width**2 == pytest.approx(want, abs=1e-4)
+
+
+def test_an_outline_that_does_not_close_is_an_error():
+    with pytest.raises(kernels.OpenRing):
+        kernels._link(np.array([[0.0, 0.0, 1.0, 0.0], [1.0, 0.0, 1.0, 1.0]]))
+
+
 @pytest.mark.parametrize("limit", [200_000, 0])
 def test_clip_equals_overlay_of_everything(spark, monkeypatch, limit):
     import rooftally.operators.spatial as module
