@@ -243,9 +243,9 @@ def range_plan(tasks: DataFrame, overrides: DataFrame, admin0: DataFrame, admin1
 def province_aliases(spark: SparkSession) -> DataFrame:
     """``alias_key, slug, place`` of the built-in provinces (a fixed small table)."""
     rows = [
-        (name, slug, f"{place}, China")
-        for slug, place, local in fixed.PROVINCES
-        for name in (slug, place, *local.split())
+        (name, slug, place)
+        for slug, place, names in fixed.PROVINCES
+        for name in (slug, *names)
     ]
     table = spark.createDataFrame(rows, "name string, slug string, place string")
     return table.select(text.province_key(F.col("name")).alias("alias_key"), "slug", "place").distinct()

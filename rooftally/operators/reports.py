@@ -86,14 +86,16 @@ def recent_done(tasks: DataFrame, limit: int = 10, offset: int = 0, key: str = "
 
 
 def recent_failed(tasks: DataFrame, k: int = 10, at: str = "updated_at", key: str = "task_id") -> DataFrame:
-    """Newest failed rows with their error cut; the key breaks ties."""
+    """Newest failed rows with their whole error; the key breaks ties."""
     failed = tasks.filter(F.col("status") == "FAILED").orderBy(F.col(at).desc_nulls_last(), F.col(key)).limit(k)
-    return failed.withColumn("last_error", F.left(F.coalesce("last_error", F.lit("")), F.lit(fixed.ERROR_TEXT_LIMIT)))
+    return failed.withColumn("last_error", F.coalesce("last_error", F.lit("")))
 
 
-def listed(tasks: DataFrame, status: str, *order: Column, limit: int = fixed.LIST_LIMIT) -> DataFrame:
-    """Rows of one state in an order, at most the list limit."""
-    return tasks.filter(F.col("status") == status).orderBy(*order).limit(limit)
+def listed(tasks: DataFrame, status: str, *order: Column, limit: int | None = None, offset: int = 0) -> DataFrame:
+    """Rows of one state in an order: all of them, or the page that ``limit`` and ``offset`` name."""
+    rows = tasks.filter(F.col("status") == status).orderBy(*order)
+    rows = rows.offset(offset) if offset else rows
+    return rows if limit is None else rows.limit(limit)
 
 
 # --- progress -------------------------------------------------------------------------------------------------

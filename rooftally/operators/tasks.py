@@ -154,14 +154,15 @@ def recent_events(events: DataFrame, n: int = 10, key: str = "dataset_key") -> D
     return events.withColumn("nth", rank).filter(F.col("nth") <= n)
 
 
-def tail_lines(lines: DataFrame, n: int = 3, key: str = "path", max_chars: int = 500) -> DataFrame:
-    """Last ``n`` non-blank lines per file in one text, joined by `` | `` and cut."""
+def tail_lines(lines: DataFrame, n: int = 3, key: str = "path", max_chars: int | None = None) -> DataFrame:
+    """Last ``n`` non-blank lines per file in one text, joined by `` | ``; ``max_chars`` cuts it for display."""
     stripped = F.regexp_replace("line", r"(?U)^\s+|\s+$", "")
     kept = lines.select(key, "line_no", stripped.alias("line")).filter("line <> ''")
     rank = F.row_number().over(Window.partitionBy(key).orderBy(F.col("line_no").desc()))
     last = kept.withColumn("_n", rank).filter(F.col("_n") <= n)
     ordered = F.transform(F.array_sort(F.collect_list(F.struct("line_no", "line"))), lambda s: s["line"])
-    return last.groupBy(key).agg(F.left(F.concat_ws(" | ", ordered), F.lit(max_chars)).alias("tail"))
+    tail = F.concat_ws(" | ", ordered)
+    return last.groupBy(key).agg((tail if max_chars is None else F.left(tail, F.lit(max_chars))).alias("tail"))
 
 
 # --- state changes --------------------------------------------------------------------------------------------
@@ -171,14 +172,20 @@ def checked_status(status: Column, legal: list[str]) -> Column:
     return F.when(status.isin(legal), status).otherwise(problem)
 
 
-def apply_status(table: DataFrame, updates: DataFrame, key: str, legal: list[str] | None = None, stamp: Column | None = None) -> DataFrame:
-    """Keyed partial update. ``updates``: key, ``status`` and any of the allowed fields; one row per key.
+def refused_fields(fields: list[str], columns: list[str], allowed: list[str] | None = None) -> list[str]:
+    """Those of ``fields`` that an update must not set: not in the list of task fields, or not in the table."""
+    settable = fixed.TASK_FIELDS if allowed is None else allowed
+    return [c for c in fields if c not in settable or c not in columns]
 
-    A field column overwrites, NULL included; fields not given stay. Illegal states fail the job, fields that
-    must not be set are refused. ``stamp`` goes to ``updated_at`` of the changed rows.
+
+def apply_status(table: DataFrame, updates: DataFrame, key: str, legal: list[str] | None = None, stamp: Column | None = None, allowed: list[str] | None = None) -> DataFrame:
+    """Keyed partial update. ``updates``: key, ``status`` and any of ``allowed`` fields of the table; one row per key.
+
+    A field column overwrites, NULL included; fields not given stay. Illegal states and fields that must not be set
+    fail the job. ``stamp`` goes to ``updated_at`` of the changed rows.
     """
     fields = [c for c in updates.columns if c not in (key, "status")]
-    unknown = [c for c in fields if c not in table.columns or c == "updated_at"]
+    unknown = refused_fields(fields, table.columns, allowed)
     if unknown:
         raise ValueError(f"fields that cannot be updated: {sorted(unknown)}")
     changes = updates.select(

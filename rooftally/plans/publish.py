@@ -116,10 +116,10 @@ def process_one(df: DataFrame, key: str, table: DataFrame, out: str, **limits) -
         values = {"status": "OK", "feature_count": totals["features"], "tile_count": totals["tiles"], "last_error": None}
     except Exception as error:  # the queue goes on with the next dataset
         report = None
-        values = {"status": "FAILED", "feature_count": None, "tile_count": None, "last_error": str(error)[: fixed.ERROR_TEXT_LIMIT]}
+        values = {"status": "FAILED", "feature_count": None, "tile_count": None, "last_error": str(error)}
     kinds = "dataset_key string, status string, feature_count long, tile_count long, last_error string"
     updates = df.sparkSession.createDataFrame([(key, *values.values())], kinds)
-    return tasks.apply_status(table, updates, "dataset_key", fixed.PROCESS_STATUSES, stamp), report
+    return tasks.apply_status(table, updates, "dataset_key", fixed.PROCESS_STATUSES, stamp, fixed.PROCESS_FIELDS), report
 
 
 def sync_processing(table: DataFrame, candidates: DataFrame, listing: DataFrame, manifest: DataFrame, tokens: list[str] | None = None) -> DataFrame:
@@ -169,7 +169,7 @@ def clip_layers(layers_by_name: dict[str, tuple[DataFrame, int | None]], masks:
             sinks.write_merged(spatial.clip(layer, mask, size=size), f"{out}/{name}")
             result[name] = "OK"
         except Exception as error:  # reported per layer
-            result[name] = f"FAILED: {str(error)[: fixed.ERROR_TEXT_LIMIT]}"
+            result[name] = f"FAILED: {error}"
     return result
 
 

@@ -293,7 +293,7 @@ def range_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # --- aliases and files ----------------------------------------------------------------------------------------
 
-ALIAS_VALUES = ", ".join(f"('{name}','{slug}','{place}, China')" for slug, place, local in fixed.PROVINCES for name in (slug, place, *local.split()))
+ALIAS_VALUES = ", ".join(f"('{name}','{slug}','{place}')" for slug, place, names in fixed.PROVINCES for name in (slug, *names))
 TOKENS = """CASE c_custkey%7 WHEN 0 THEN ' Inner Mongolia ' WHEN 1 THEN '四川省' WHEN 2 THEN 'inner-mongolia' WHEN 3 THEN 'TIBET' WHEN 4 THEN '上海'
             WHEN 5 THEN concat('place',CAST(c_custkey AS STRING)) ELSE 'Xizang' END"""
 

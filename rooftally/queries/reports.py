@@ -96,7 +96,7 @@ def recent_done(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     "recent_failed",
     with_views(
-        """SELECT task_id, "left"(repeat(task_id, 20), 300) AS last_error FROM tasks WHERE status='FAILED' ORDER BY finished_at DESC NULLS LAST, task_id LIMIT 30""", "tasks"
+        """SELECT task_id, repeat(task_id, 20) AS last_error FROM tasks WHERE status='FAILED' ORDER BY finished_at DESC NULLS LAST, task_id LIMIT 30""", "tasks"
     ),
 )
 def recent_failed(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -106,12 +106,19 @@ def recent_failed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "blocked_list",
-    with_views("SELECT dataset_key FROM ptasks WHERE status='BLOCKED_NO_SHP' ORDER BY dataset_key LIMIT 500", "ptasks"),
+    with_views("SELECT dataset_key FROM ptasks WHERE status='BLOCKED_NO_SHP' ", "ptasks"),
 )
 def blocked_list(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reports.listed(view(spark, sf_dir, "ptasks"), "BLOCKED_NO_SHP", F.col("dataset_key")).select("dataset_key")
 
 
+@query("pending_list", with_views("SELECT task_id, queue_order FROM tasks WHERE status='PENDING'", "tasks"))
+def pending_list(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All waiting tasks, thousands of rows: the list has no limit of its own."""
+    order = [F.col("queue_order").asc_nulls_last(), F.col("task_id")]
+    return reports.listed(view(spark, sf_dir, "tasks"), "PENDING", *order).select("task_id", "queue_order")
+
+
 @query(
     "progress_eta",
     """WITH p AS (SELECT event_id, user_id%7 AS done, event_id%13 AS total, CASE WHEN event_id%5=0 THEN NULL ELSE greatest(0, epoch_us(TIMESTAMP '2024-01-15 12:00:00')-epoch_us(ts))//1000000 END AS elapsed FROM events)

@@ -129,7 +129,7 @@ def recent_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     "tail_lines",
     """WITH s AS (SELECT conv_id, turn, regexp_replace(text, '^[\\s\\p{Z}]+|[\\s\\p{Z}]+$', '', 'g') AS line FROM conversations),
             r AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn DESC) AS rn FROM s WHERE line<>'')
-       SELECT conv_id, "left"(string_agg(line, ' | ' ORDER BY turn), 500) AS tail FROM r WHERE rn<=3 GROUP BY conv_id""",
+       SELECT conv_id, string_agg(line, ' | ' ORDER BY turn) AS tail FROM r WHERE rn<=3 GROUP BY conv_id""",
 )
 def tail_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = table(spark, sf_dir, "conversations").select("conv_id", F.col("turn").alias("line_no"), F.col("text").alias("line"))

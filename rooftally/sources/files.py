@@ -189,12 +189,12 @@ def _records(spark: SparkSession, path: str, record: str, wrapper: str | None) -
 
 
 def read_marks(spark: SparkSession, path: str) -> DataFrame:
-    """Delivery marks: ``dataset_key, updated, updated_at, note`` with texts cut to their limits."""
+    """Delivery marks: ``dataset_key, updated, updated_at, note`` texts whole."""
     rows = _records(spark, path, schemas.MARK, "rows")
     return rows.select(
         "dataset_key", F.coalesce("r.updated", F.lit(False)).alias("updated"),
-        F.left(F.coalesce("r.updated_at", F.lit("")), F.lit(fixed.STAMP_LIMIT)).alias("updated_at"),
-        F.left(F.coalesce("r.note", F.lit("")), F.lit(fixed.NOTE_LIMIT)).alias("note"),
+        F.coalesce("r.updated_at", F.lit("")).alias("updated_at"),
+        F.coalesce("r.note", F.lit("")).alias("note"),
     )
 
 

@@ -218,6 +218,8 @@ def test_status_changes(rows):
         tasks.apply_status(table, rows("task_id string, status string", [("a", "DONE")]), "task_id").collect()
     with pytest.raises(ValueError):
         tasks.apply_status(table, rows("task_id string, status string, colour string", [("a", "OK", "x")]), "task_id")
+    with pytest.raises(ValueError):  # a column of the table that is no task field
+        tasks.apply_status(table.withColumn("continent", F.lit("x")), rows("task_id string, status string, continent string", [("a", "OK", "x")]), "task_id")
     changed = tasks.apply_status(table, rows("task_id string, status string, last_error string", [("a", "FAILED", None)]), "task_id", stamp=F.lit("t1"))
     assert {tuple(r) for r in changed.collect()} == {("a", "FAILED", 2, None, "t1"), ("b", "OK", 1, None, "t0")}
     table, log = tasks.reset_running(table, detail="stopped")
@@ -323,3 +325,20 @@ def test_progress(rows):
     times = rows("t string", [("2024-01-01T00:00:00",), ("2024-01-03T00:00:00",), ("soon",), (None,)])
     seconds = times.select(reports.seconds_since(F.col("t"), F.lit("2024-01-02 00:00:01").cast("timestamp")))
     assert [r[0] for r in seconds.collect()] == [86401, 0, None, None]
+
+
+def test_names_fold_like_plain_unicode(rows):
+    """Letters of the Latin, Greek and Cyrillic scripts, Chinese signs, marks and punctuation against plain Python."""
+    import re
+    import unicodedata
+
+    def plain(value):
+        letters = [c for c in unicodedata.normalize("NFKD", value) if unicodedata.category(c) != "Mn" and c not in "'’"]
+        return " ".join(re.split(r"[\W_]+", "".join(letters))).strip().casefold()
+
+    signs = [chr(c) for c in [*range(32, 0x250), *range(0x370, 0x530), *range(0x1E00, 0x2000), 0x4E2D, 0x56FD, 0x2019] if unicodedata.category(chr(c))[0] != "C"]
+    names = [f"a{c}B {c}" for c in signs] + ["", "São_Tomé-Príncipe", "Côte d'Ivoire", "  中国 "]
+    out = rows("v string", [(n,) for n in names]).select("v", text.normalize_name("v").alias("n")).collect()
+    different = [(r.v, r.n, plain(r.v)) for r in out if r.n != plain(r.v)]
+    assert not [d for d in different if not any(unicodedata.category(c) == "Lm" or 0x1F80 <= ord(c) < 0x2000 or c == "ͅ" or c == "ͺ" for c in d[0])], different[:5]
+    assert rows("v string", [(None,)]).select(text.normalize_name("v").alias("n")).first().n == ""

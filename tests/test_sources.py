@@ -138,7 +138,7 @@ def test_records(spark, tmp_path):
     marks = {"version": 1, "rows": {"a": {"updated": True, "updated_at": "t" * 60, "note": "n" * 300}, "b": 5, "c": {"note": None}}}
     (tmp_path / "marks.json").write_text(json.dumps(marks))
     out = {r["dataset_key"]: r for r in files.read_marks(spark, str(tmp_path / "marks.json")).collect()}
-    assert sorted(out) == ["a", "c"] and out["a"]["updated"] and len(out["a"]["updated_at"]) == 40 and len(out["a"]["note"]) == 200 and out["c"]["updated"] is False
+    assert sorted(out) == ["a", "c"] and out["a"]["updated"] and len(out["a"]["updated_at"]) == 60 and len(out["a"]["note"]) == 300 and out["c"]["updated"] is False
     (tmp_path / "copies.json").write_text(json.dumps({"rows": {"a": {"state": "done", "copied": 3, "total": 3}}}))
     assert files.read_copy_records(spark, str(tmp_path / "copies.json")).first()["copied"] == 3
     (tmp_path / "imports.json").write_text(json.dumps({"a": {"state": "ok", "deleted": 1}, "b": []}))
