@@ -92,12 +92,16 @@ def valid_geometry(rings: Column) -> Column:
     return box | kernels.is_valid(F.when(~box, rings))
 
 
-def split_by_validity(df: DataFrame, rings: str = "rings") -> tuple[DataFrame, DataFrame]:
-    """Valid and invalid features as two DataFrames with the same columns.
+def flag_validity(df: DataFrame, name: str = "_valid", rings: str = "rings") -> DataFrame:
+    """``df`` with the validity of each feature, in two branches: plain rectangles never reach Python."""
+    box = F.coalesce(geo.is_box(F.col(rings)), F.lit(False))
+    plain = df.filter(box).withColumn(name, F.lit(True))
+    return plain.unionByName(df.filter(~box).withColumn(name, kernels.is_valid(rings)))
 
-    Rectangles never reach Python: only the rest goes through the Arrow kernel.
-    """
-    flagged = df.withColumn("_valid", valid_geometry(F.col(rings)))
+
+def split_by_validity(df: DataFrame, rings: str = "rings") -> tuple[DataFrame, DataFrame]:
+    """Valid and invalid features as two DataFrames with the same columns."""
+    flagged = flag_validity(df, "_valid", rings)
     return flagged.filter("_valid").drop("_valid"), flagged.filter("not _valid").drop("_valid")
 
 

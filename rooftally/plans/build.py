@@ -147,10 +147,10 @@ def process_layer(
     ``df`` holds whole layers in degrees with ``dataset``, a unique ``row_id`` (input order), ``rings`` and
     attributes. The report has one row per chunk. Duplicates are removed within a chunk, after invalid geometry.
     """
-    chunked = tiling.spatial_chunks(df, row_id, dataset, **limits)
     scope = [dataset, "chunk_name"]
     name = height or quality.height_column(df.columns)
-    shaped = chunked.withColumn("_ok", quality.valid_geometry(F.col("rings")))
+    # stored once: the layer and the report both start from the chunks with their validity
+    shaped = stage(tiling.spatial_chunks(quality.flag_validity(df, "_ok"), row_id, dataset, **limits))
     valid = shaped.filter("_ok").drop("_ok")
     clean = valid if name is None else valid.filter(~quality.non_positive(F.col(name)))
     unique = quality.dedup_geometry(clean, [row_id], within=scope)
