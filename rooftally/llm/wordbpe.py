@@ -12,6 +12,7 @@ import hashlib
 import json
 import sys
 import zlib
+from array import array
 
 import numpy as np
 import pyarrow as pa
@@ -20,13 +21,15 @@ from pyspark.sql import functions as F
 
 from rooftally.llm.blocks import BLOCK_BYTES, answer, ask, in_blocks, meet
 from rooftally.llm.common import text_bytes
-
-_BLANKS = str.maketrans("\t\n\r", "   ")
+#: Words that the library encodes in one call, which bounds what it holds.
+ENCODED_TOGETHER = 4_000
+#: Buckets of words that one task answers, so that the tokenizer is loaded for each task and not for each bucket.
+BUCKETS_PER_TASK = 4
 
 
 def words_of(text: str) -> list[str]:
     """What lies between blanks, tabs and line ends; other white space stays inside a word."""
-    return [w for w in text.translate(_BLANKS).split(" ") if w]
+    return list(filter(None, text.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ")))
 
 
 def check_cut_at_blanks(path: str) -> list[str]:
@@ -75,44 +78,54 @@ def encode_words(docs: DataFrame, tokenizer: str, doc_id: str = "doc_id", text:
             words.update(words_of(value.as_py() or ""))
         return [(bucket, zlib.compress(b"\n".join(found), 1)) for bucket, found in by_bucket(words, count).items()]
 
-    def reply(bodies: list[bytes]) -> list[bytes]:
-        from tokenizers import Tokenizer
+    held: dict[str, object] = {}  # a task's tokenizer, and its pieces
+
+    def library():
+        if "library" not in held:
+            from tokenizers import Tokenizer
+
+            held["library"] = Tokenizer.from_file(tokenizer)
+            held["library"].no_truncation()
+            held["library"].no_padding()
+        return held["library"]
 
-        library = Tokenizer.from_file(tokenizer)
-        library.no_truncation()
-        library.no_padding()
+    def reply(bodies: list[bytes]) -> list[bytes]:
         asked = [zlib.decompress(body).split(b"\n") for body in bodies]
         distinct = sorted(set().union(*asked))
-        ids: dict[bytes, np.ndarray] = {}
-        for at in range(0, len(distinct), 20_000):
-            part = distinct[at : at + 20_000]
-            for word, encoded in zip(part, library.encode_batch([w.decode("utf-8") for w in part], add_special_tokens=False)):
-                ids[word] = np.array(encoded.ids, "<u4")
+        ids: dict[bytes, bytes] = {}
+        for at in range(0, len(distinct), ENCODED_TOGETHER):
+            part = distinct[at : at + ENCODED_TOGETHER]
+            for word, encoded in zip(part, library().encode_batch([w.decode("utf-8") for w in part], add_special_tokens=False)):
+                ids[word] = array("I", encoded.ids).tobytes()
+        del distinct
         out = []
         for words in asked:
             found = [ids[w] for w in words]
-            sizes = np.array([len(x) for x in found], "<u4")
-            out.append(zlib.compress(sizes.tobytes() + (np.concatenate(found) if found else np.empty(0, "<u4")).tobytes(), 1))
+            body = array("I", [len(x) >> 2 for x in found]).tobytes() + b"".join(found)
+            # the four bytes of all numbers in turn: the upper ones, mostly zero, pack to nothing
+            out.append(zlib.compress(np.frombuffer(body, np.uint8).reshape(-1, 4).T.tobytes(), 1))
         return out
 
     def use(table: pa.Table, found: dict[int, bytes]) -> pa.Table:
-        pieces = check_cut_at_blanks(tokenizer)
-        texts = [words_of(value.as_py() or "") for value in table["text"]]
-        known: dict[str, tuple[bytes, str]] = {}
-        for bucket, words in by_bucket(set().union(*texts), count).items():
-            body = np.frombuffer(zlib.decompress(found[bucket]), "<u4")
-            ends = np.cumsum(body[: len(words)], dtype=np.int64)
-            ids = body[len(words) :]
-            shown = [pieces[i] for i in ids.tolist()]
+        if "pieces" not in held:
+            held["pieces"] = check_cut_at_blanks(tokenizer)
+        pieces = held["pieces"]
+        distinct: set[str] = set()
+        for value in table["text"]:
+            distinct.update(words_of(value.as_py() or ""))
+        known: dict[str, bytes] = {}
+        for bucket, words in by_bucket(distinct, count).items():
+            body = np.ascontiguousarray(np.frombuffer(zlib.decompress(found.pop(bucket)), np.uint8).reshape(4, -1).T).view("<u4").ravel()
+            ids = body[len(words) :].tobytes()
             at = 0
-            for word, end in zip(words, ends.tolist()):
-                known[word.decode("utf-8")] = (ids[at:end].tobytes(), " ".join(shown[at:end]))
-                at = end
+            for word, size in zip(words, body[: len(words)].tolist()):
+                known[word.decode("utf-8")] = ids[at : at + 4 * size]
+                at += 4 * size
+        del distinct
         counts, digests, decoded_digests, bodies, decoded_texts = [], [], [], [], []
-        for words in texts:
-            parts = [known[w] for w in words]
-            raw = b"".join([p[0] for p in parts])
-            decoded = " ".join([p[1] for p in parts if p[0]])
+        for value in table["text"]:
+            raw = b"".join([known[w] for w in words_of(value.as_py() or "")])
+            decoded = " ".join([pieces[i] for i in np.frombuffer(raw, "<u4").tolist()])
             counts.append(len(raw) // 4)
             digests.append(hashlib.sha256(raw).hexdigest())
             decoded_digests.append(hashlib.sha256(decoded.encode("utf-8")).hexdigest())
@@ -122,7 +135,7 @@ def encode_words(docs: DataFrame, tokenizer: str, doc_id: str = "doc_id", text:
         out = {"doc_id": table["doc_id"], "n_tokens": pa.array(counts, pa.int64()), "ids_sha256": pa.array(digests, pa.string()), "decoded_sha256": pa.array(decoded_digests, pa.string())}
         return pa.table(out | ({"ids": pa.array(bodies, pa.binary()), "decoded": pa.array(decoded_texts, pa.string())} if with_ids else {}))
 
-    if sys.byteorder != "little":
-        raise NotImplementedError("ids are packed as little-endian integers in memory")
+    if sys.byteorder != "little" or array("I").itemsize != 4:
+        raise NotImplementedError("ids are packed as little-endian integers of four bytes")
     schema = f"doc_id {kind}, n_tokens bigint, ids_sha256 string, decoded_sha256 string" + ", ids binary, decoded string" * with_ids
-    return meet(blocks, answer(ask(blocks, request), count, reply), use, schema)
+    return meet(blocks, answer(ask(blocks, request), -(-count // BUCKETS_PER_TASK), reply), use, schema)
