@@ -12,6 +12,7 @@ from rooftally.llm.lines import remove_repeated_chunks
 from rooftally.llm.neardup import near_duplicates
 from rooftally.llm.packing import pack_documents
 from rooftally.llm.registry import ORACLES, QUERIES, query
+from rooftally.llm.suffixes import remove_repeated_strings
 from rooftally.llm.topk import top_inner_products
 from rooftally.llm.toxicity import score_toxicity
 from rooftally.llm.urls import Rule, judge_urls
@@ -72,6 +73,11 @@ def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_lines", "n_removed_lines", "n_removed_chunks", F.md5("text").alias("kept_md5"))
 
 
+@query("op5_suffix_dedup")
+def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeated_strings(table(spark, sf_dir, "documents"), with_text=False)
+
+
 # The rules that the task fixes.
 URL_RULES = [Rule("net/", "block"), Rule("example.net/en/", "allow"), Rule("example.com/de/", "block"), Rule("org/fr/", "allow")]
 

@@ -271,17 +271,17 @@ def measure(rows: DataFrame, model, columns: str, with_restored: bool = False) -
     return rows.mapInArrow(run, f"{columns}, x1 double, x2 double, x3 double" + ", restored string" * with_restored)
 
 
-def score_toxicity(docs: DataFrame, train_docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", limit: int = TRAIN_DOCUMENTS, with_restored: bool = False) -> DataFrame:
+def score_toxicity(docs: DataFrame, train_docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", limit: int = TRAIN_DOCUMENTS, with_restored: bool = False, carry: list[str] | None = None) -> DataFrame:
     """Score every whole text of ``docs`` for toxicity as ``labels`` (doc_id, toxic) of ``train_docs`` mark it.
 
     The character model is counted over all texts of ``train_docs``. The lexicon comes from one half of the chosen labelled
-    documents, the weights of the score from the other half. Returns ``doc_id``, ``score`` (0 to 1) and, ``with_restored``,
-    ``restored``. NULL and empty texts score as texts without any entry. Without labels of both kinds the score is
+    documents, the weights of the score from the other half. Returns ``doc_id``, ``score`` (0 to 1), ``with_restored`` also
+    ``restored``, and the columns that ``carry`` names, unless they are named like one of these. NULL and empty texts score as texts without any entry. Without labels of both kinds the score is
     the share of toxic labels (0 without any). NULL and repeated ids are kept row by row; other input columns are not read.
     """
     spark = docs.sparkSession
-    kind = dict(docs.dtypes)[doc_id]
-    rows = docs.select(F.col(text).cast("string").alias("text"), F.col(doc_id).alias("doc_id"))
+    kinds, carry = dict(docs.dtypes), [c for c in carry or [] if c.lower() not in ("doc_id", "score", *["restored"] * with_restored)]
+    rows = docs.select(F.col(text).cast("string").alias("text"), F.col(doc_id).alias("doc_id"), *[F.col(f"`{c}`").alias(f"_c{i}") for i, c in enumerate(carry)])
     learn = train_docs.select(F.col(text).cast("string").alias("text"), F.col(doc_id).alias("doc_id"))
     costs = trigram_costs(trigram_counts(learn.select("text")))
     shared_costs = spark.sparkContext.broadcast(costs)
@@ -304,11 +304,12 @@ def score_toxicity(docs: DataFrame, train_docs: DataFrame, labels: DataFrame, do
     y = np.array([r["toxic"] for r in fit_rows], float)
     everyone = sum(sizes.values())
     share = (sum(n for (t, _), n in sizes.items() if t == 1) / everyone) if everyone else 0.0
-    scored = measure(rows, model, f"doc_id {kind}", with_restored)
+    columns = f"doc_id {kinds[doc_id]}" + "".join(f", _c{i} {kinds[c]}" for i, c in enumerate(carry))
+    scored = measure(rows, model, columns, with_restored)
     if len(y) and 0 < y.sum() < len(y):
         w = fit_logistic(np.array([[r["x1"], r["x2"], r["x3"]] for r in fit_rows]), y)
         linear = F.lit(float(w[0])) + F.col("x1") * float(w[1]) + F.col("x2") * float(w[2]) + F.col("x3") * float(w[3])
         score = 1 / (1 + F.exp(-linear))
     else:
         score = F.lit(float(share))
-    return scored.select("doc_id", score.alias("score"), *["restored"] * with_restored)
+    return scored.select("doc_id", score.alias("score"), *["restored"] * with_restored, *[F.col(f"_c{i}").alias(c) for i, c in enumerate(carry)])
