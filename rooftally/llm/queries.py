@@ -40,7 +40,22 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= TOXIC_FROM).cast("int").alias("predicted"))
 
 
-@query("op2_near_duplicates")
+@query(
+    "op2_near_duplicates",
+    """
+    WITH RECURSIVE
+         w AS (SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') AS words FROM documents),
+         s AS (SELECT DISTINCT doc_id, unnest(CASE WHEN len(words) = 0 THEN [] WHEN len(words) < 5 THEN [array_to_string(words, ' ')]
+                               ELSE [array_to_string(words[i:i + 4], ' ') FOR i IN range(1, len(words) - 3)] END) AS shingle FROM w WHERE words IS NOT NULL),
+         n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+         p AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS inter FROM s a JOIN s b ON a.shingle = b.shingle AND a.doc_id < b.doc_id GROUP BY ALL),
+         l AS (SELECT x, y FROM p JOIN n nx ON nx.doc_id = x JOIN n ny ON ny.doc_id = y WHERE 100 * inter >= 85 * (nx.n + ny.n - inter)),
+         e AS (SELECT x, y FROM l UNION ALL SELECT y, x FROM l),
+         r AS (SELECT doc_id AS d, doc_id AS m FROM documents UNION SELECT e.y, r.m FROM r JOIN e ON r.d = e.x),
+         c AS (SELECT d, min(m) AS component_id FROM r GROUP BY d)
+    SELECT d AS doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_shingles, component_id, d = component_id AS kept FROM c LEFT JOIN n ON d = doc_id
+    """,
+)
 def op2_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
