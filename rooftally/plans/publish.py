@@ -16,9 +16,14 @@ from rooftally.sources import files, layers, sinks
 # --- index ----------------------------------------------------------------------------------------------------
 
 def index_rows(spark: SparkSession, root: str) -> DataFrame:
-    """One box in EPSG:3857 per shapefile below ``root/continent/country/city``; NULL box for an empty file."""
+    """One box in EPSG:3857 per shapefile below ``root/continent/country/city``; NULL box for an empty file.
+
+    A file without ``.prj`` is in degrees; one whose system is not recognised fails the job.
+    """
     tree = files.scan_region_tree(spark, root).withColumn("path", F.regexp_replace("path", r"\.[^./\\]*$", ""))
-    systems = layers.read_shard_stats(spark, root).select("path", quality.assume_srid(F.col("srid")).alias("srid"))
+    unknown = F.raise_error(F.concat(F.lit("coordinate system not recognised: "), "path")).cast("int")
+    known_srid = F.when(F.col("prj_bytes").isNull(), F.lit(4326)).otherwise(F.coalesce("srid", unknown))
+    systems = layers.read_shard_stats(spark, root).select("path", known_srid.alias("srid"))
     boxes = spatial.with_bounds(layers.read_shapefiles(spark, root)).groupBy("path").agg(
         *[F.min(c).alias(c) for c in ("minx", "miny")], *[F.max(c).alias(c) for c in ("maxx", "maxy")]
     )
@@ -36,8 +41,14 @@ def index_rows(spark: SparkSession, root: str) -> DataFrame:
 
 
 def refresh_index(table: DataFrame, root: str, regions_to_refresh: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(index, counts): boxes of the given regions recomputed from their files and put in place of the old rows."""
+    """(index, counts): boxes of the given regions recomputed from their files and put in place of the old rows.
+
+    A region without any shapefile is an error, not an empty region.
+    """
     rows = stage(index_rows(table.sparkSession, root))
+    absent = regions_to_refresh.select(*index.REGION_KEY).distinct().join(rows.select(*index.REGION_KEY).distinct(), index.REGION_KEY, "left_anti").take(5)
+    if absent:
+        raise ValueError(f"no shapefile in {[tuple(r) for r in absent]}")
     counts = index.replace_counts(table, rows, regions_to_refresh)
     usable = rows.filter("minx is not null").select(*[c for c in table.columns if c in rows.columns])
     return index.replace_region(table, usable, regions_to_refresh), counts

@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rooftally.fixtures import view, with_views
 from rooftally.functions import geometry as geo
-from rooftally.functions import text
 from rooftally.operators import index
+from rooftally.plans import publish
 from rooftally.queries.registry import query
 from rooftally.queries.spatial import BOX_KEY, KEEP_FIRST, MERCATOR_Y, buildings
+from rooftally.session import shared_folder
 
 KEYS = "continent, country, city, shp_name"
 BOXES = "minx, miny, maxx, maxy"
@@ -133,10 +136,10 @@ def distinct_tasks(spark: SparkSession, sf_dir: str) -> DataFrame:
     ),
 )
 def export_tasks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = index.distinct_tasks(view(spark, sf_dir, "idx"))
-    checked = index.assert_unique(rows, index.REGION_KEY, "prefixes of a task", allow_empty=False)
-    folder = text.plain_download_dir(*[F.col(c) for c in index.REGION_KEY])
-    return checked.select(*index.REGION_KEY, folder.alias("download_dir"), "process_name_prefix")
+    """The task list as the job writes it, read back from its CSV files."""
+    path = f"{shared_folder(spark).rstrip('/')}/tasks-{uuid.uuid4().hex}"
+    publish.export_tasks(view(spark, sf_dir, "idx"), path)
+    return spark.read.option("header", "true").option("escape", '"').csv(path)
 
 
 @query(
@@ -170,19 +173,22 @@ def shard_list(spark: SparkSession, sf_dir: str) -> DataFrame:
     "feature_collection",
     with_views(
         f"""WITH p AS (SELECT shp_name, (row_number() OVER (ORDER BY shp_name)-1)//{PAGE} AS page,
-                   concat('{{"type":"Feature","geometry":{{"type":"Polygon","coordinates":[[[',CAST(minx AS BIGINT),',',CAST(miny AS BIGINT),']]]}},"properties":{{"country":"',
-                          country,'","shp_name":"',shp_name,'"}}}}') AS f FROM idx)
+                   concat('{{"type":"Feature","geometry":{{"type":"Polygon","coordinates":[[[',a,',',b,'],[',c,',',b,'],[',c,',',d,'],[',a,',',d,'],[',a,',',b,']]]}},"properties":{{"country":"',
+                          country,'","shp_name":"',shp_name,'"}}}}') AS f
+                   FROM (SELECT *, CAST(minx AS BIGINT) AS a, CAST(miny AS BIGINT) AS b, CAST(maxx AS BIGINT) AS c, CAST(maxy AS BIGINT) AS d FROM idx) q)
             SELECT page, count(*) AS n, concat('{{"type":"FeatureCollection","crs":{{"type":"name","properties":{{"name":"EPSG:3857"}}}},"features":[',
                    string_agg(f, ',' ORDER BY shp_name), ']}}') AS document FROM p GROUP BY page""",
         "idx",
     ),
 )
 def feature_collection(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents of a fixed number of features; the lower left corner stands for the geometry here."""
-    rows = view(spark, sf_dir, "idx").select("country", "shp_name", "minx", "miny")
-    corner = F.array(F.array(F.array(F.col("minx").cast("long"), F.col("miny").cast("long"))))
-    geometry = F.to_json(F.struct(F.lit("Polygon").alias("type"), corner.alias("coordinates")))
-    return index.to_feature_collection(rows, geometry, ["minx", "miny"], ["shp_name"], page_size=PAGE)
+    """Documents of a fixed number of features with their boxes as rings, in whole metres."""
+    edges = ["minx", "miny", "maxx", "maxy"]
+    rows = view(spark, sf_dir, "idx").select("country", "shp_name", *edges)
+    corners = [("minx", "miny"), ("maxx", "miny"), ("maxx", "maxy"), ("minx", "maxy"), ("minx", "miny")]
+    ring = F.array(*[F.array(F.col(x).cast("long"), F.col(y).cast("long")) for x, y in corners])
+    geometry = F.to_json(F.struct(F.lit("Polygon").alias("type"), F.array(ring).alias("coordinates")))
+    return index.to_feature_collection(rows, geometry, edges, ["shp_name"], page_size=PAGE)
 
 
 # --- upkeep ---------------------------------------------------------------------------------------------------

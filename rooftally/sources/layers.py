@@ -101,14 +101,17 @@ def shard_table(spark: SparkSession, root: str, pattern: str = "*") -> DataFrame
 
 
 def read_shard_stats(spark: SparkSession, root: str) -> DataFrame:
-    """Record count and SRID per shapefile without reading it: index size and the short ``.prj`` text."""
+    """Record count and SRID per shapefile without reading it: index size and the short ``.prj`` text beside it.
+
+    ``srid`` is NULL without a ``.prj`` (``prj_bytes`` is NULL then) and for a system that is not recognised.
+    """
     shards = shard_table(spark, root)
-    texts = spark.read.text(root, wholetext=True, pathGlobFilter="*.prj", recursiveFileLookup=True)
-    systems = texts.select(text.file_stem(F.col("_metadata.file_path")).alias("stem"), "value")
+    found = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.[pP][rR][jJ]").load(root)
+    systems = found.select(F.regexp_replace("path", r"\.[^./\\]*$", "").alias("path"), F.col("content").cast("string").alias("value"))
     metric = F.col("value").rlike("(?i)3857|pseudo.?mercator|web.?mercator")
     degrees = F.col("value").rlike("(?i)^\\s*GEOGCS") | F.col("value").contains("4326")
-    systems = systems.groupBy("stem").agg(F.max(F.when(metric, 3857).when(degrees, 4326)).alias("srid"))
-    return shards.withColumn("stem", text.file_name(F.col("path"))).join(systems, "stem", "left")
+    systems = systems.groupBy("path").agg(F.max(F.when(metric, 3857).when(degrees, 4326)).alias("srid"))
+    return shards.withColumn("stem", text.file_name(F.col("path"))).join(systems, "path", "left")
 
 
 def verify_output(stats: DataFrame) -> DataFrame:

@@ -6,7 +6,7 @@ stream. State stays one row per key (or per open window), kept in the state stor
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from rooftally.functions import text
@@ -50,5 +50,7 @@ def activity_sessions(events: DataFrame, gap: str = "10 minutes", key: str = "da
 def dedup_geometry(features: DataFrame, key: list[str], at: str, delay: str) -> DataFrame:
     """First arrival of every geometry within the watermark delay."""
     if not features.isStreaming:
-        return features.dropDuplicates(key)
+        others = [F.col(c).asc_nulls_last() for c in features.columns if c != at and c not in key]
+        rank = F.row_number().over(Window.partitionBy(F.xxhash64(*key), *key).orderBy(F.col(at).asc_nulls_last(), *others))
+        return features.withColumn("_rank", rank).filter("_rank = 1").drop("_rank")
     return features.withWatermark(at, delay).dropDuplicatesWithinWatermark(key)

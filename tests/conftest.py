@@ -1,4 +1,5 @@
 import sys
+import tempfile
 from pathlib import Path
 
 import pytest
@@ -12,7 +13,8 @@ from rooftally.session import build_session  # noqa: E402
 def spark():
     session = build_session(
         "tests", "local[8]",
-        **{"spark.sql.shuffle.partitions": "4", "spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false", "spark.driver.memory": "8g"},
+        **{"spark.sql.shuffle.partitions": "4", "spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false", "spark.driver.memory": "8g",
+           "spark.checkpoint.dir": tempfile.mkdtemp(prefix="run-", dir="/tmp")},
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session

@@ -13,6 +13,7 @@ from rooftally.plans import build, publish
 from rooftally.sources import files, layers, sinks
 from tests.shapes import RINGS, box, ring, write_shapefile
 
+DEGREES = 'GEOGCS["GCS_WGS_1984",DATUM["D_WGS_1984",SPHEROID["WGS_1984",6378137.0,298.257223563]]]'
 METRIC = 'PROJCS["WGS 84 / Pseudo-Mercator",AUTHORITY["EPSG","3857"]]'
 
 
@@ -325,3 +326,21 @@ def test_report_bundles(spark):
 
 def test_ring_helper():
     assert ring((0, 0), (1, 0), (1, 1))[0] == ring((0, 0), (1, 0), (1, 1))[-1]
+
+
+def test_systems_belong_to_their_own_path(spark, tmp_path):
+    """Equal file names in two folders keep their systems; an unknown one fails the index, a missing one is degrees."""
+    for country, wkt in (("a", METRIC), ("b", DEGREES), ("c", None)):
+        folder = tmp_path / "Asia" / country / "x"
+        folder.mkdir(parents=True)
+        write_shapefile(folder / "same", [[ring((1, 1), (2, 1), (2, 2))]], [5], wkt)
+    stats = {r["path"].rsplit("/", 3)[1]: r["srid"] for r in layers.read_shard_stats(spark, str(tmp_path)).collect()}
+    assert stats == {"a": 3857, "b": 4326, "c": None}
+    boxes = {r["country"]: r["maxx"] for r in publish.index_rows(spark, str(tmp_path)).collect()}
+    assert boxes["a"] == 2 and boxes["b"] == boxes["c"] == pytest.approx(222638.98, abs=0.1)
+    table = spark.createDataFrame([("Asia", "z", "x", "old", 0.0, 0.0, 1.0, 1.0)], "continent string, country string, city string, shp_name string, minx double, miny double, maxx double, maxy double")
+    with pytest.raises(ValueError, match="no shapefile"):
+        publish.refresh_index(table, str(tmp_path), table)
+    (tmp_path / "Asia" / "a" / "x" / "same.prj").write_text('PROJCS["Local grid"]')
+    with pytest.raises(Exception, match="not recognised"):
+        publish.index_rows(spark, str(tmp_path)).collect()
