@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from rooftally.operators import tiling
 from rooftally.plans import build
 from rooftally.session import lookup_join, with_position
-from tests.shapes import RINGS, box
+from tests.shapes import RINGS, box, ring
 
 
 def leaves(points, target, depth=0, path=""):
@@ -197,3 +197,12 @@ def test_cover_gives_up_at_the_smallest_span(spark):
         tiling.adaptive_cover(spots, area, 2)
     loose = tiling.adaptive_cover(spots, area, 2, strict=False)
     assert loose.filter("leaf and n > 2").count() > 0
+
+
+@pytest.mark.parametrize("target", [2, 100])
+def test_rows_without_a_dataset_stay(spark, target):
+    boxes = [(i, None if i % 3 else "d", [ring((i, i), (i + 1, i), (i + 1, i + 1))]) for i in range(12)]
+    df = spark.createDataFrame(boxes, f"row_id long, dataset string, rings {RINGS}")
+    out = tiling.spatial_chunks(df, "row_id", target=target, minimum=0).collect()
+    assert sorted((r["row_id"], r["dataset"]) for r in out) == [(i, d) for i, d, _ in boxes]
+    assert all("\0" not in r["chunk_name"] for r in out)
