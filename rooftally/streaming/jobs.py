@@ -80,21 +80,28 @@ def run_stage_progress(lines: DataFrame, table_path: str, checkpoint: str, key:
 
 
 def run_incremental_tiles(stream: DataFrame, cells: DataFrame, tiles_path: str, ledger_path: str, checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
-    """Write arriving tiles (rows with ``TILE_ID``) that have no valid record yet, with their records.
+    """Write arriving tiles (rows with ``TILE_ID``) of the expected cells, with their records.
 
-    Rows of cells that are done, or that are not expected, are passed over. One micro-batch has to bring all rows
-    of a tile (one input folder per tile).
+    A micro-batch may bring any part of a tile: its new rows join those the tile holds already, and a newer record
+    replaces the tile's older one. A row that the tile holds changes nothing, so a batch that runs again after a failure,
+    or a tile that is delivered twice, gives the same rows. Rows of cells that are not expected are passed over.
     """
 
     def write(batch: DataFrame, _number: int) -> None:
-        from rooftally.plans.build import read_ledger, tile_coverage
-
-        arrived = stage(batch)
-        ids = arrived.select(F.col("TILE_ID").alias("grid_id")).distinct()
-        pending = tile_coverage(cells, read_ledger(batch.sparkSession, ledger_path))["pending"]
-        open_cells = stage(pending.join(ids, "grid_id", "left_semi"))
-        rows = arrived.join(open_cells.select(F.col("grid_id").alias("TILE_ID")), "TILE_ID", "left_semi")
-        sinks.write_tiles(rows, open_cells, tiles_path, ledger_path)
+        spark = batch.sparkSession
+        wanted = cells.select(F.col("grid_id").alias("TILE_ID")).distinct()
+        arrived = stage(batch.join(wanted, "TILE_ID", "left_semi").dropDuplicates())
+        touched = stage(arrived.select("TILE_ID").distinct())
+        try:
+            held = spark.read.schema(arrived.schema).parquet(tiles_path).select(arrived.columns).join(touched, "TILE_ID", "left_semi")
+        except AnalysisException:  # nothing is written yet
+            held = arrived.limit(0)
+        held = stage(held)
+        more = stage(arrived.exceptAll(held).select("TILE_ID").distinct())  # tiles that get a row they lack
+        rows = arrived.unionByName(held).join(more, "TILE_ID", "left_semi").dropDuplicates()
+        changed = cells.join(more.withColumnRenamed("TILE_ID", "grid_id"), "grid_id", "left_semi").dropDuplicates(["grid_id"])
+        now = F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
+        sinks.write_tiles(rows, stage(changed), tiles_path, ledger_path, now)
 
     writer = stream.writeStream.option("checkpointLocation", checkpoint).foreachBatch(write)
     return _start(writer, trigger or {"availableNow": True})

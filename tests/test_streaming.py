@@ -103,6 +103,8 @@ def test_incremental_tiles(spark, tmp_path):
     records = spark.read.parquet(ledger)
     assert [(r["grid_id"], r["feature_count"]) for r in records.collect()] == [(ids[0], 2)]
     assert sorted(r["grid_id"] for r in jobs.missing_after(cells, records).collect()) == ids[1:]
-    arrive([(ids[0], 9, 9.0), (ids[1], 1, 1.0)])  # the first cell is done and is passed over
-    assert spark.read.parquet(tiles).filter(F.col("TILE_ID") == ids[0]).count() == 2
+    arrive([(ids[0], 9, 9.0), (ids[0], 1, 1.0), (ids[1], 1, 1.0)])  # a late row of the first cell, and one that it holds
+    assert sorted(r["src_pos"] for r in spark.read.parquet(tiles).filter(F.col("TILE_ID") == ids[0]).collect()) == [1, 2, 9]
+    newest = spark.read.parquet(ledger).filter(F.col("grid_id") == ids[0]).orderBy(F.desc("finished_at")).first()
+    assert newest["feature_count"] == 3
     assert sorted(r["grid_id"] for r in jobs.missing_after(cells, spark.read.parquet(ledger)).collect()) == ids[2:]
