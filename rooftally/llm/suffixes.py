@@ -27,7 +27,7 @@ GRAM = 20
 #: Bits of an anchor's hash that blocks compare; a chance agreement costs one comparison of texts.
 KEY_BITS = 48
 #: Bytes of texts that are looked at together, which bounds a task's arrays.
-TOGETHER = 1 << 20
+TOGETHER = 1 << 18
 #: Bytes to which suffixes are sorted by multikey quicksort; beyond, blind tries order them.
 SHALLOW = 24
 
@@ -191,147 +191,141 @@ def _thick(body: bytes) -> np.ndarray:
     return np.ascontiguousarray(np.frombuffer(zlib.decompress(body), np.uint8).reshape(8, -1).T).view("<u8").ravel().astype(np.uint64)
 
 
+def equal_rows(rows: np.ndarray, before: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Order that brings equal byte rows together (earlier rows first), and where each run of equal rows starts in it.
+
+    ``before`` sorts first. Rows are ordered by a hash of their words; should two different rows share one, by all words.
+    """
+    words = as_words(rows)
+    value = np.zeros(len(words), np.uint64)
+    for column in words.T:
+        value = mixed(value * np.uint64(3) ^ column)
+    for keys in ((value,), tuple(words.T)):
+        order = np.lexsort((*keys, before)) if before is not None else np.lexsort(keys)
+        top = words[order]
+        new = (top[1:] != top[:-1]).any(axis=1)
+        other = np.zeros(len(new), bool) if before is None else before[order][1:] != before[order][:-1]
+        if not (new & ~other & (value[order][1:] == value[order][:-1])).any():
+            break
+    return order, np.flatnonzero(np.concatenate([[True], new | other])) if len(order) else np.empty(0, np.int64)
+
+
 class BlockWork:
     """What a block asks and does; ``buckets`` is the number of buckets, ids order the documents."""
 
-    def __init__(self, length: int, buckets: int):
+    def __init__(self, length: int, buckets: int, table: pa.Table):
         self.length, self.buckets = length, buckets
         self.reach = length - GRAM
         self.wide = length + self.reach  # bytes around an anchor that its strings can cover
-
-    def load(self, table: pa.Table) -> tuple[list[bytes], np.ndarray]:
-        """Texts and ids in the order of the ids; a NULL id is the largest."""
+        # texts in the order of their ids, a NULL id as the largest
         ids = table["doc_id"].fill_null(np.iinfo(np.int64).max).to_numpy()
         self.order = np.argsort(ids, kind="stable")
-        texts = [(table["text"][int(i)].as_py() or "").encode("utf-8") for i in self.order]
-        return texts, ids[self.order]
-
-    def anchors(self, texts: list[bytes], first: int, last: int, find: Anchors):
-        part = texts[first:last]
-        sizes = np.array([len(t) for t in part], np.int64)
-        ends = np.cumsum(sizes)
-        raw = np.frombuffer(b"".join(part), np.uint8)
-        return raw, ends - sizes, ends, find(raw, ends - sizes, ends)
-
-    def keys(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        self.ids = ids[self.order]
+        texts = table["text"].to_pylist()
+        self.texts = [(texts[i] or "").encode("utf-8") for i in self.order]
+        self.sizes = np.array([len(t) for t in self.texts], np.int64)
+        self.groups = text_groups(self.texts)
+        self._find()
+        self._sort_keys()
+
+    def _find(self) -> None:
+        """All anchors: group, place in it, hash, first and last string start, text."""
+        find, found = Anchors(self.length), []
+        for number, (first, last) in enumerate(self.groups):
+            ends = np.cumsum(self.sizes[first:last])
+            raw = np.frombuffer(b"".join(self.texts[first:last]), np.uint8)
+            at, hashes, low, high, text = find(raw, ends - self.sizes[first:last], ends)
+            found.append((np.full(len(at), number, np.int32), at, hashes, low - at, high - at, text + first))
+        empty = (np.empty(0, np.int32), np.empty(0, np.int64), np.empty(0, np.uint64), *[np.empty(0, np.int64)] * 3)
+        self.group, self.at, hashes, self.low, self.high, self.text = (np.concatenate(x) for x in zip(empty, *found))
         key = hashes >> np.uint64(64 - KEY_BITS)
-        return (key % np.uint64(self.buckets)).astype(np.int64), key // np.uint64(self.buckets)
-
-    def all_hashes(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        """Distinct hashes of the block, sorted by bucket and key, and whether more than one of its documents has them."""
-        find, hashes, owners = Anchors(self.length), [], []
-        for first, last in text_groups(texts):
-            _, _, _, (_, h, _, _, text) = self.anchors(texts, first, last, find)
-            hashes.append(h)
-            owners.append(text + first)
-        if not hashes:
-            return np.empty(0, np.uint64), np.empty(0, bool)
-        return np.concatenate(hashes), np.concatenate(owners)
-
-    def asked_keys(self, texts: list[bytes], ids: np.ndarray):
-        hashes, owners = self.all_hashes(texts)
-        bucket, key = self.keys(hashes)
-        who = ids[owners] if len(owners) else np.empty(0, np.int64)
-        order = np.lexsort((who, key, bucket))
-        bucket, key, who = bucket[order], key[order], who[order]
-        new = np.concatenate([[True], (bucket[1:] != bucket[:-1]) | (key[1:] != key[:-1])]) if len(key) else np.empty(0, bool)
-        starts = np.flatnonzero(new)
-        ends = np.append(starts[1:], len(key)) - 1
-        return bucket[starts], key[starts], (who[starts] != who[ends]) if len(starts) else np.empty(0, bool)
-
-    def ask_keys(self, table: pa.Table) -> list[tuple[int, bytes]]:
-        texts, ids = self.load(table)
-        bucket, key, _ = self.asked_keys(texts, ids)
-        return [(int(b), _thin(np.diff(key[bucket == b], prepend=np.uint64(0)))) for b in np.unique(bucket)]
-
-    def candidates(self, table: pa.Table, found: dict[int, bytes]):
-        """Texts, ids and, for every anchor that another document has: surroundings, string range, text and place."""
-        texts, ids = self.load(table)
-        bucket, key, shared = self.asked_keys(texts, ids)
-        for b in np.unique(bucket):
-            mine = np.flatnonzero(bucket == b)
-            elsewhere = np.unpackbits(np.frombuffer(zlib.decompress(found[int(b)]), np.uint8), count=len(mine)).astype(bool)
-            shared[mine] |= elsewhere
-        wanted = {int(b): key[(bucket == b) & shared] for b in np.unique(bucket)}
-        rows, low, high, owner, place, groups = [], [], [], [], [], []
-        find = Anchors(self.length)
-        for first, last in text_groups(texts):
-            raw, _, _, (at, h, lo, hi, text) = self.anchors(texts, first, last, find)
-            b, k = self.keys(h)
-            keep = np.zeros(len(at), bool)
-            for one in np.unique(b):
-                mine = np.flatnonzero(b == one)
-                keep[mine] = np.isin(k[mine], wanted[int(one)])
-            at, lo, hi, text, b = at[keep], lo[keep], hi[keep], text[keep], b[keep]
+        self.bucket = (key % np.uint64(self.buckets)).astype(np.int64)
+        # one number that sorts by bucket and then by what is left of the key
+        self.span = np.uint64((1 << KEY_BITS) // self.buckets + 1)
+        self.key = self.bucket.astype(np.uint64) * self.span + key // np.uint64(self.buckets)
+
+    def _sort_keys(self) -> None:
+        """Distinct keys in order, whether several documents have them, and each anchor's place among them."""
+        order = np.argsort(self.key, kind="stable")
+        keys, who = self.key[order], self.ids[self.text[order]]
+        starts = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])) if len(keys) else np.empty(0, np.int64)
+        ends = np.append(starts[1:], len(keys)) - 1
+        self.keys = keys[starts]
+        self.several = who[starts] != who[ends] if len(starts) else np.empty(0, bool)
+        self.key_of = np.empty(len(keys), np.int64)
+        self.key_of[order] = np.repeat(np.arange(len(starts)), np.diff(np.append(starts, len(keys))))
+
+    def slices(self, buckets: np.ndarray) -> list[tuple[int, slice]]:
+        """(bucket, its slice) of numbers of buckets in order."""
+        found, starts = np.unique(buckets, return_index=True)
+        return [(int(b), slice(x, y)) for b, x, y in zip(found, starts, np.append(starts[1:], len(buckets)))]
+
+    def key_slices(self) -> list[tuple[int, slice]]:
+        return self.slices((self.keys // self.span).astype(np.int64))
+
+    def ask_keys(self) -> list[tuple[int, bytes]]:
+        return [(b, _thin(np.diff(self.keys[part], prepend=np.uint64(b) * self.span))) for b, part in self.key_slices()]
+
+    def candidates(self, found: dict[int, bytes]) -> None:
+        """Keep the anchors that another document has too, with the text around them: distinct rows in order of their
+        buckets, their smallest id, and each anchor's row."""
+        shared = self.several.copy()
+        for b, part in self.key_slices():
+            shared[part] |= np.unpackbits(np.frombuffer(zlib.decompress(found[b]), np.uint8), count=part.stop - part.start).astype(bool)
+        keep = shared[self.key_of]
+        self.group, self.at, self.low, self.high, self.text, self.bucket = (x[keep] for x in (self.group, self.at, self.low, self.high, self.text, self.bucket))
+        around = np.zeros((len(self.at), self.wide + 2), np.uint8)
+        column = np.arange(self.wide)
+        for number, (first, last) in enumerate(self.groups):
+            part = slice(*np.searchsorted(self.group, [number, number + 1]))
+            if part.start == part.stop:
+                continue
+            raw = np.frombuffer(b"".join(self.texts[first:last]), np.uint8)
             padded = np.concatenate([np.zeros(self.reach, np.uint8), raw, np.zeros(self.wide, np.uint8)])
-            around = np.lib.stride_tricks.sliding_window_view(padded, self.wide)[at].copy()
-            column = np.arange(self.wide)
-            # only bytes of strings that have this anchor; the anchor stands at column ``reach``
-            around[(column < (lo - at + self.reach)[:, None]) | (column >= (hi - at + self.reach + self.length)[:, None])] = 0
-            rows.append(around)
-            low.append(lo - at + self.reach)
-            high.append(hi - at + self.reach)
-            owner.append(text + first)
-            place.append(at)
-            groups.append(b)
-        if not rows:
-            return texts, ids, np.empty((0, self.wide), np.uint8), *[np.empty(0, np.int64) for _ in range(5)]
-        return texts, ids, np.concatenate(rows), *[np.concatenate(x) for x in (low, high, owner, place, groups)]
-
-    def distinct(self, around: np.ndarray, low: np.ndarray, high: np.ndarray, bucket: np.ndarray, docs: np.ndarray):
-        """Distinct surroundings sorted by bucket: rows (bytes, low, high), bucket, smallest id; and each anchor's row."""
-        full = np.concatenate([bucket.astype(">u4").view(np.uint8).reshape(-1, 4), around, low.astype(np.uint8)[:, None], high.astype(np.uint8)[:, None]], axis=1)
-        flat = np.ascontiguousarray(full).view(np.dtype((np.void, full.shape[1]))).ravel()
-        order = np.lexsort((docs, flat_rank(flat)))
-        sorted_flat = flat[order]
-        starts = np.flatnonzero(np.concatenate([[True], sorted_flat[1:] != sorted_flat[:-1]])) if len(order) else np.empty(0, np.int64)
-        row_of = np.empty(len(order), np.int64)
-        row_of[order] = np.repeat(np.arange(len(starts)), np.diff(np.append(starts, len(order))))
-        picked = order[starts]
-        return full[picked, 4:], bucket[picked], docs[picked], row_of
-
-    def ask_texts(self, table: pa.Table, found: dict[int, bytes]) -> list[tuple[int, bytes]]:
-        _, ids, around, low, high, owner, _, bucket = self.candidates(table, found)
-        rows, bucket, docs, _ = self.distinct(around, low, high, bucket, ids[owner])
-        out = []
-        for b in np.unique(bucket):
-            mine = bucket == b
-            out.append((int(b), zlib.compress(docs[mine].astype("<i8").tobytes() + rows[mine].tobytes(), 1)))
-        return out
-
-    def strings_to_remove(self, table: pa.Table, found: dict[int, bytes]):
-        """Texts and, per text, the byte mask of what goes."""
-        texts, ids, around, low, high, owner, place, bucket = self.candidates(table, {b: x for b, x in found.items() if b < self.buckets})
-        gone = {}
-        if len(around):
-            rows, row_bucket, docs, row_of = self.distinct(around, low, high, bucket, ids[owner])
-            masks = np.zeros((len(rows), self.reach + 1), bool)
-            for b in np.unique(row_bucket):
-                mine = np.flatnonzero(row_bucket == b)
-                bits = np.frombuffer(zlib.decompress(found[int(b) + self.buckets]), np.uint8)
-                masks[mine] = np.unpackbits(bits, count=len(mine) * (self.reach + 1)).reshape(len(mine), -1).astype(bool)
-            column = np.arange(self.reach + 1)
-            own = masks[row_of]
-            earlier = ids[owner] > docs[row_of]
-            own[earlier] = (column >= low[earlier][:, None]) & (column <= high[earlier][:, None])
-            anchor, offset = np.nonzero(own)
-            start, text = place[anchor] + offset - self.reach, owner[anchor]
-            for first, last in text_groups(texts):
-                mine = (text >= first) & (text < last)
-                if not mine.any():
-                    continue
-                size = sum(map(len, texts[first:last]))
-                change = np.bincount(start[mine], minlength=size + 1) - np.bincount(start[mine] + self.length, minlength=size + 1)
-                mask, at = np.cumsum(change[:-1]) > 0, 0
-                for i in range(first, last):
-                    gone[i] = mask[at : at + len(texts[i])]
-                    at += len(texts[i])
-        return texts, gone
-
-
-def flat_rank(flat: np.ndarray) -> np.ndarray:
-    """Rank of byte strings among each other."""
-    return np.unique(flat, return_inverse=True)[1].ravel() if len(flat) else np.empty(0, np.int64)
+            rows = np.lib.stride_tricks.sliding_window_view(padded, self.wide)[self.at[part]]
+            # only bytes of strings that have this anchor, which stands at column ``reach``
+            inside = (column >= (self.low[part] + self.reach)[:, None]) & (column < (self.high[part] + self.reach + self.length)[:, None])
+            around[part, : self.wide] = rows * inside
+        around[:, self.wide] = self.low + self.reach
+        around[:, self.wide + 1] = self.high + self.reach
+        # anchors stand in the order of the ids, so the first of equal rows has the smallest
+        order, starts = equal_rows(around, self.bucket)
+        self.rows, self.row_bucket, self.row_id = around[order[starts]], self.bucket[order[starts]], self.ids[self.text[order[starts]]]
+        self.row_of = np.empty(len(order), np.int64)
+        self.row_of[order] = np.repeat(np.arange(len(starts)), np.diff(np.append(starts, len(order))))
+
+    def ask_texts(self, found: dict[int, bytes]) -> list[tuple[int, bytes]]:
+        self.candidates(found)
+        return [(b, zlib.compress(self.row_id[part].astype("<i8").tobytes() + self.rows[part].tobytes(), 1)) for b, part in self.slices(self.row_bucket)]
+
+    def to_remove(self, found: dict[int, bytes]) -> dict[int, np.ndarray]:
+        """By text the byte mask of what goes, for texts that lose something."""
+        self.candidates(found)
+        gone: dict[int, np.ndarray] = {}
+        starts = self.reach + 1
+        masks = np.zeros((len(self.rows), starts), bool)
+        for b, part in self.slices(self.row_bucket):
+            bits = np.frombuffer(zlib.decompress(found[b + self.buckets]), np.uint8)
+            masks[part] = np.unpackbits(bits, count=(part.stop - part.start) * starts).reshape(-1, starts)
+        own = masks[self.row_of]
+        earlier = np.flatnonzero(self.ids[self.text] > self.row_id[self.row_of])
+        column = np.arange(starts)
+        own[earlier] = (column >= (self.low[earlier] + self.reach)[:, None]) & (column <= (self.high[earlier] + self.reach)[:, None])
+        anchor, offset = np.nonzero(own)
+        start, group = self.at[anchor] + offset - self.reach, self.group[anchor]
+        for number, (first, last) in enumerate(self.groups):
+            part = start[slice(*np.searchsorted(group, [number, number + 1]))]
+            if not len(part):
+                continue
+            size = int(self.sizes[first:last].sum())
+            change = np.bincount(part, minlength=size + 1) - np.bincount(part + self.length, minlength=size + 1)
+            mask, at = np.cumsum(change[:-1]) > 0, 0
+            for i in range(first, last):
+                here = mask[at : at + self.sizes[i]]
+                if here.any():
+                    gone[i] = here
+                at += self.sizes[i]
+        return gone
 
 
 def reply_keys(bodies: list[bytes]) -> list[bytes]:
@@ -352,12 +346,12 @@ def reply_texts(bodies: list[bytes], length: int) -> list[bytes]:
         n = len(raw) // (8 + wide + 2)
         parts.append((np.frombuffer(raw, "<i8", n), np.frombuffer(raw, np.uint8, offset=8 * n).reshape(n, wide + 2)))
     docs, rows = np.concatenate([p[0] for p in parts]).astype(np.int64), np.concatenate([p[1] for p in parts])
-    flat = np.ascontiguousarray(rows).view(np.dtype((np.void, wide + 2))).ravel()
-    _, row_of = np.unique(flat, return_inverse=True)
-    row_of = row_of.ravel()
-    order = np.lexsort((docs, row_of))
-    firsts = order[np.flatnonzero(np.concatenate([[True], row_of[order][1:] != row_of[order][:-1]]))]
-    least, each = docs[firsts], rows[firsts]
+    by_id = np.argsort(docs, kind="stable")
+    order, starts = equal_rows(rows[by_id])
+    order = by_id[order]
+    row_of = np.empty(len(order), np.int64)
+    row_of[order] = np.repeat(np.arange(len(starts)), np.diff(np.append(starts, len(order))))
+    least, each = docs[order[starts]], rows[order[starts]]
     around, low, high = each[:, :wide], each[:, wide].astype(np.int64), each[:, wide + 1].astype(np.int64)
     # from here on in the order of the ids, so that the first of a class has the smallest
     by_doc = np.argsort(least, kind="stable")
@@ -411,22 +405,22 @@ def remove_repeated_strings(docs: DataFrame, length: int = 50, doc_id: str = "do
     blocks, buckets = in_blocks(rows, "doc_id", "text", text_bytes(rows, "text"), block_bytes)
 
     def first_request(table: pa.Table) -> list[tuple[int, bytes]]:
-        return BlockWork(length, buckets).ask_keys(table)
+        return BlockWork(length, buckets, table).ask_keys()
 
     def second_request(table: pa.Table, found: dict[int, bytes]) -> pa.Table:
         block = found.pop(-1)
-        return packed([(block, bucket, body) for bucket, body in BlockWork(length, buckets).ask_texts(table, found)])
+        return packed([(block, bucket, body) for bucket, body in BlockWork(length, buckets, table).ask_texts(found)])
 
     def finish(table: pa.Table, found: dict[int, bytes]) -> pa.Table:
         found.pop(-1)
-        work = BlockWork(length, buckets)
-        texts, gone = work.strings_to_remove(table, found)
+        work = BlockWork(length, buckets, table)
+        gone = work.to_remove(found)
         sizes, removed, spans, digests, kept_texts = [], [], [], [], []
-        for i, raw in enumerate(texts):
+        for i, raw in enumerate(work.texts):
             mask = gone.get(i)
             kept = raw
             sizes.append(len(raw))
-            if mask is None or not mask.any():
+            if mask is None:
                 removed.append(0)
                 spans.append(0)
                 kept_texts.append(raw.decode("utf-8"))
