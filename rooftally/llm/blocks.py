@@ -15,6 +15,8 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from rooftally.llm.common import give_back
+
 #: Bytes of text that a block holds on average; a longer text is a block's whole load.
 BLOCK_BYTES = 4 << 20
 
@@ -37,7 +39,10 @@ def in_blocks(docs: DataFrame, doc_id: str, text: str, total_bytes: int, block_b
             for run in runs.field("counts").to_pylist():
                 bodies.append(_serialized(rows.slice(at, run)))
                 at += run
-            yield pa.RecordBatch.from_arrays([runs.field("values"), pa.array(bodies, pa.binary())], names=["_blk", "_body"])
+            packs = pa.RecordBatch.from_arrays([runs.field("values"), pa.array(bodies, pa.binary())], names=["_blk", "_body"])
+            del batch, block, rows, order, bodies
+            yield packs
+            give_back()
 
     dealt = docs.select(F.pmod(F.xxhash64(F.col(doc_id), F.col(text)), F.lit(count)).alias("_blk"), "*").mapInArrow(pack, "_blk bigint, _body binary")
     return dealt.repartition(count, "_blk"), count
@@ -65,7 +70,9 @@ def ask(blocks: DataFrame, request: Callable[[pa.Table], list[tuple[int, bytes]]
 
     def one_block(key: tuple, packs: pa.Table) -> pa.Table:
         block = key[0].as_py()
-        return packed([(block, bucket, body) for bucket, body in request(unpacked(packs))])
+        out = packed([(block, bucket, body) for bucket, body in request(unpacked(packs))])
+        give_back()
+        return out
 
     return blocks.groupBy("_blk").applyInArrow(one_block, PACKED)
 
@@ -75,7 +82,9 @@ def answer(requests: DataFrame, partitions: int, reply: Callable[[list[bytes]],
 
     def one_bucket(key: tuple, rows: pa.Table) -> pa.Table:
         rows = rows.sort_by("_blk")
-        return packed(list(zip(rows["_blk"].to_pylist(), rows["_bkt"].to_pylist(), reply(rows["_body"].to_pylist()))))
+        out = packed(list(zip(rows["_blk"].to_pylist(), rows["_bkt"].to_pylist(), reply(rows["_body"].to_pylist()))))
+        give_back()
+        return out
 
     return requests.repartition(partitions, "_bkt").groupBy("_bkt").applyInArrow(one_bucket, PACKED)
 
@@ -84,6 +93,8 @@ def meet(blocks: DataFrame, answers: DataFrame, use: Callable[[pa.Table, dict[in
     """``use`` gets a block's documents and its answers by bucket (at -1 the block), and returns rows of ``schema``."""
 
     def one_block(key: tuple, packs: pa.Table, found: pa.Table) -> pa.Table:
-        return use(unpacked(packs), {-1: key[0].as_py()} | dict(zip(found["_bkt"].to_pylist(), found["_body"].to_pylist())))
+        out = use(unpacked(packs), {-1: key[0].as_py()} | dict(zip(found["_bkt"].to_pylist(), found["_body"].to_pylist())))
+        give_back()
+        return out
 
     return blocks.groupBy("_blk").cogroup(answers.groupBy("_blk")).applyInArrow(one_block, schema)

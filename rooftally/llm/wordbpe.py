@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import hashlib
 import json
+import os
 import sys
 import zlib
 from array import array
@@ -82,6 +83,7 @@ def encode_words(docs: DataFrame, tokenizer: str, doc_id: str = "doc_id", text:
 
     def library():
         if "library" not in held:
+            os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark has a task for every core
             from tokenizers import Tokenizer
 
             held["library"] = Tokenizer.from_file(tokenizer)
