@@ -16,6 +16,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from rooftally.llm.common import give_back
+
 #: Bytes of text that a language's automaton is built from, and documents that they are taken from at most.
 TRAIN_BYTES = 40_000
 TRAIN_DOCUMENTS = 200
@@ -187,5 +189,7 @@ def identify_language(docs: DataFrame, train: DataFrame, lang: str = "lang", doc
         for batch in batches:
             names, scores = parser.predict(batch.column(1).to_pylist())
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(names, pa.string()), pa.array(scores, pa.float64())], names=["doc_id", "lang_pred", "score"])
+        batch = None
+        give_back()
 
     return docs.select(F.col(doc_id).alias("doc_id"), F.col(text).cast("string").alias("text")).mapInArrow(predict, f"doc_id {kind}, lang_pred string, score double")

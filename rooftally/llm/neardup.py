@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rooftally.llm.common import map_sorted_groups
+from rooftally.llm.common import give_back, map_sorted_groups
 from rooftally.llm.graph import connected_components
 from rooftally.llm.shingles import OnePermutation, Shingler, mixed
 from rooftally.session import lookup_join, stage
@@ -67,6 +67,8 @@ def sketches(docs: DataFrame, words: int) -> DataFrame:
                 [batch.column(0), *[pa.array(x, pa.int64()) for x in (sizes, first, second)], pa.array(keys, pa.list_(pa.int64())), pa.array(signs, pa.binary())],
                 names=["doc_id", "n_shingles", "c1", "c2", "keys", "sig"],
             )
+        batch = shingler = permutation = keys = signs = None
+        give_back()
 
     return docs.mapInArrow(run, _SKETCH)
 
@@ -84,6 +86,8 @@ def set_rows(docs: DataFrame, words: int) -> DataFrame:
                     ids.append(rep)
                     sets.append(found.tobytes())
             yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(sets, pa.binary())], names=["rep", "shingles"])
+        batch = shingler = sets = None
+        give_back()
 
     return docs.mapInArrow(run, "rep bigint, shingles binary").dropDuplicates(["rep"])
 
@@ -109,6 +113,8 @@ def confirm_pairs(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
         for batch in batches:
             keep = [linked(x, y, percent) for x, y in zip(_sets(batch.column(2)), _sets(batch.column(3)))]
             yield batch.select([0, 1]).filter(pa.array(keep, pa.bool_()))
+        batch = None
+        give_back()
 
     own, other = sets.select(F.col("rep").alias("a"), F.col("shingles").alias("sa")), sets.select(F.col("rep").alias("b"), F.col("shingles").alias("sb"))
     return pairs.join(own, "a").join(other, "b").select("a", "b", "sa", "sb").mapInArrow(run, "a bigint, b bigint")

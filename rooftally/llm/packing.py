@@ -17,8 +17,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from rooftally.llm.common import give_back
+
 #: Distinct words remembered per task; when full the table is emptied, which costs time only.
-WORDS_REMEMBERED = 400_000
+WORDS_REMEMBERED = 150_000
 #: Longer words are encoded each time, so that the table stays small in bytes too.
 LONGEST_REMEMBERED = 64
 
@@ -139,6 +141,8 @@ def pack_documents(docs: DataFrame, tokenizer: str, max_len: int = 2048, end_id:
                     rows, starts, lengths, pieces, totals = [], [], [], [], []
             if rows:
                 yield _pieces(batch, rows, starts, lengths, pieces, totals)
+        encoder = batch = rows = starts = lengths = pieces = totals = None
+        give_back()
 
     cutted = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).cast("string").alias("text")).mapInArrow(
         cut, f"doc_id {kind}, start bigint, length bigint, ids binary, doc_tokens bigint"

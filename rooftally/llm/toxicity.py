@@ -18,6 +18,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from rooftally.llm.common import give_back
+
 #: Labelled documents that the lexicon and the weights are fitted on at most, half of them toxic if there are so many.
 TRAIN_DOCUMENTS = 40_000
 #: Entries of the lexicon at most, those in the most toxic documents first.
@@ -29,7 +31,7 @@ LEAST_WEIGHT = 1.5
 #: Lengths of word beginnings that are entries of their own.
 BEGINNINGS = (4, 5)
 #: Tokens remembered per task; when full the table is emptied, which costs time only.
-REMEMBERED = 300_000
+REMEMBERED = 150_000
 #: Longest run that is decoded as one; longer ones are decoded piece by piece.
 LONGEST_RUN = 60
 
@@ -70,6 +72,8 @@ def trigram_counts(docs: DataFrame) -> np.ndarray:
                 c = _FOLD[np.frombuffer(raw[max(0, at - 2) : at + (4 << 20)], np.uint8)]
                 if c.size > 2:
                     total += np.bincount((c[:-2] * SYMBOLS + c[1:-1]) * SYMBOLS + c[2:], minlength=SYMBOLS**3)
+        batch = raw = None
+        give_back()
         at = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(at, pa.int64()), pa.array(total[at], pa.int64())], names=["gram", "n"])
 
@@ -242,6 +246,8 @@ def count_entries(rows: DataFrame, costs, wanted=None) -> DataFrame:
             for value in batch.column(0):
                 counts.update(features.of_text(value.as_py() or "")[0])
         yield pa.RecordBatch.from_arrays([pa.array(list(counts), pa.string()), pa.array(list(counts.values()), pa.int64())], names=["entry", "n"])
+        features = counts = batch = None
+        give_back()
 
     return rows.select("text").mapInArrow(run, "entry string, n bigint").groupBy("entry").agg(F.sum("n").alias("n"))
 
@@ -267,6 +273,8 @@ def measure(rows: DataFrame, model, columns: str, with_restored: bool = False) -
             x = np.array(found, np.float64).reshape(-1, 3)
             arrays = [*batch.columns[1:], *[pa.array(x[:, i]) for i in range(3)], *([pa.array(restored, pa.string())] if with_restored else [])]
             yield pa.RecordBatch.from_arrays(arrays, names=[*batch.schema.names[1:], "x1", "x2", "x3", *["restored"] * with_restored])
+        features = batch = arrays = found = restored = x = None
+        give_back()
 
     return rows.mapInArrow(run, f"{columns}, x1 double, x2 double, x3 double" + ", restored string" * with_restored)
 
