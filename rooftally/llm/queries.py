@@ -57,7 +57,7 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """,
 )
 def op2_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_duplicates(table(spark, sf_dir, "documents"))
+    return near_duplicates(table(spark, sf_dir, "documents"), percent=85)
 
 
 @query("op3_packing")
