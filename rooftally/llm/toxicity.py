@@ -8,7 +8,9 @@ Restored texts are scored by words and word beginnings that labelled texts show
 
 from __future__ import annotations
 
+import itertools
 import math
+import os
 import re
 from collections import Counter
 from collections.abc import Callable, Iterator
@@ -32,8 +34,8 @@ LEAST_WEIGHT = 1.5
 BEGINNINGS = (4, 5)
 #: Tokens remembered per task; when full the table is emptied, which costs time only.
 REMEMBERED = 150_000
-#: Longest run that is decoded as one; longer ones are decoded piece by piece.
-LONGEST_RUN = 60
+#: Signs after which decoding writes down what all open paths agree on; bounds what it holds of a long run.
+SETTLE = 1024
 
 # Letters that a digit or sign is used for.
 LOOKS_LIKE = {
@@ -42,6 +44,8 @@ LOOKS_LIKE = {
 }
 # Costs in nats: a look-alike, a letter repeated, a separator dropped, a mask for any letter, a boundary.
 COST_LOOK, COST_REPEAT, COST_DROP, COST_MASK, COST_SPACE = 1.0, 3.0, 0.7, 3.5, 2.0
+# A blank dropped between two pieces of a split word.
+COST_JOIN = 3.0
 SEPARATORS = " .-_*~,'"
 PLAIN_EDGES = ".,;:?\"()%&#"
 
@@ -53,10 +57,10 @@ _FOLD[65:91] = np.arange(1, 27)
 _FOLD[128:] = 27
 
 _LOOKS = re.escape("".join(LOOKS_LIKE)) + r"*"
-_TRIPLE = re.compile(r"([^\W\d_])\1\1")
+_DOUBLE = re.compile(r"([a-z])\1+", re.IGNORECASE | re.ASCII)
 _LOOK_INSIDE = re.compile(rf"[^\W\d_][{_LOOKS}.\-_~]*[{_LOOKS}][{_LOOKS}.\-_~]*[^\W\d_]|(?<![{_LOOKS}])[{_LOOKS}][^\W\d_]{{2}}|[^\W\d_]{{2}}[{_LOOKS}](?![{_LOOKS}])")
-_DOTTED = re.compile(r"(?<![^\W\d_])[^\W\d_](?:[.\-_~*][^\W\d_]){3,}(?![^\W\d_])")
-_SPACED = re.compile(rf"(?<!\S)[^\W_{_LOOKS}](?: [\w{_LOOKS}]){{3,}}(?!\S)|(?<!\S)[{_LOOKS}](?: [\w{_LOOKS}]){{3,}}(?!\S)")
+_DOTTED = re.compile(r"(?<![^\W\d_])[^\W\d_](?:[.\-_~*,']+[^\W\d_])+(?![^\W\d_])")
+_SPACED = re.compile(rf"(?<!\w)(?:[^\W_]|(?<!\S)[{_LOOKS}])(?:[\s.\-_~*,']+[^\W_]|[\s.\-_~*,']+[{_LOOKS}](?=\s|$))+(?![{_LOOKS}]*\w)")
 _WORDS = re.compile(r"[^\W\d_]+")
 _EDGE = re.compile(r"^[^\w]+(?=[^\w])|(?<=[^\w])[^\w]+$")
 
@@ -119,38 +123,88 @@ class Restorer:
 
     def __call__(self, run: str) -> str:
         """The likeliest spelling; signs that are no letters of a to z stay as they are where they stand for themselves."""
-        paths: dict[tuple[int, int], tuple[float, str]] = {(0, 0): (0.0, "")}
-        before = ""
-        for sign in run:
+        # a path's spelling is a chain of (what came before, letter), so a step costs the same however long the run is
+        paths: dict[tuple[int, int], tuple[float, tuple | None]] = {(0, 0): (0.0, None)}
+        before, settled = "", []
+        for at, sign in enumerate(run, 1):
             ways = self.options(sign, before)
-            after: dict[tuple[int, int], tuple[float, str]] = {}
+            after: dict[tuple[int, int], tuple[float, tuple | None]] = {}
             for (a, b), (cost, spelt) in paths.items():
                 row = self.costs[a][b]
                 for symbol, extra in ways:
-                    if symbol is None:
-                        key, total, text = (a, b), cost + extra, spelt
-                    elif symbol == 0 and b == 0:
-                        key, total, text = (a, b), cost + extra, spelt
+                    if symbol is None or symbol == 0 and b == 0:
+                        key, total, chain = (a, b), cost + extra, spelt
                     else:
                         key, total = (b, symbol), cost + extra + row[symbol]
-                        text = spelt + (" " if symbol == 0 else sign.lower() if symbol == 27 else LETTERS[symbol - 1])
+                        chain = (spelt, " " if symbol == 0 else sign.lower() if symbol == 27 else LETTERS[symbol - 1])
                     known = after.get(key)
                     if known is None or total < known[0]:
-                        after[key] = (total, text)
+                        after[key] = (total, chain)
             paths, before = after, sign
-        return min(((cost + self.costs[a][b][0], text) for (a, b), (cost, text) in paths.items()))[1].strip()
-
-    def run(self, signs: str) -> str:
-        return " ".join(self(signs[at : at + LONGEST_RUN]) for at in range(0, len(signs), LONGEST_RUN))
+            if at % SETTLE == 0:
+                texts = {key: written(chain) for key, (_, chain) in paths.items()}
+                common = os.path.commonprefix(list(texts.values()))
+                settled.append(common)
+                paths = {key: (cost, (None, texts[key][len(common) :])) for key, (cost, _) in paths.items()}
+        ends = {key: cost + self.costs[key[0]][key[1]][0] for key, (cost, _) in paths.items()}
+        least = min(ends.values())
+        return ("".join(settled) + min(written(paths[key][1]) for key, cost in ends.items() if cost == least)).strip()
+
+    def of_word(self, word: str) -> str:
+        """As a call, for letters only. A run of two equal letters stands in the same context whatever becomes of the
+        others, so each is decided by itself; longer runs need the lattice."""
+        lower = word.lower()
+        found = list(_DOUBLE.finditer(lower))
+        if any(m.end() - m.start() > 2 for m in found):
+            return self(word)
+        symbols = [0, *[ord(c) - 96 if "a" <= c <= "z" else 27 for c in lower], 0]
+        out, at = [], 0
+        for m in found:
+            first = m.start()
+            before, letter, after = symbols[first], symbols[first + 1], symbols[first + 3]
+            row = self.costs[before][letter]
+            if COST_REPEAT + row[after] < row[letter] + self.costs[letter][letter][after]:
+                out.append(lower[at : first + 1])
+                at = first + 2
+        return "".join(out) + lower[at:]
+
+    def of_pieces(self, run: str) -> str:
+        """The likeliest spelling of pieces with any white space between, each stretch of which is one separator."""
+        return self(" ".join(run.split()))
+
+
+def open_table(costs: np.ndarray) -> np.ndarray:
+    """By the last two symbols of a piece and the first two of the next one (0 where it has only one): whether they are
+    likelier within a word than on both sides of a boundary."""
+    second = np.arange(SYMBOLS) > 0
+    within = COST_JOIN + costs[:, :, :, None] + costs[None] * second
+    apart = costs[:, :, 0][:, :, None, None] + costs[:, 0, :][None, :, :, None] + costs[0][None, None] * second
+    found = within < apart
+    found[:, 0] = found[:, :, 0] = False
+    return found
+
+
+def written(chain: tuple | None) -> str:
+    out = []
+    while chain is not None:
+        chain, letter = chain
+        out.append(letter)
+    return "".join(reversed(out))
 
 
 def obfuscated(token: str) -> bool:
-    return not token.isalpha() and bool(_LOOK_INSIDE.search(token) or _DOTTED.search(token)) or bool(_TRIPLE.search(token))
+    return not token.isalpha() and bool(_LOOK_INSIDE.search(token) or _DOTTED.search(token)) or bool(_DOUBLE.search(token))
+
 
+def spaced(run: str, least: int = 2) -> bool:
+    """Whether a run of single signs holds more than one sign, and ``least`` of them (four if none is a letter)."""
+    signs = [c for c in run if not c.isspace() and c not in SEPARATORS]
+    return len(set(signs)) > 1 and len(signs) >= (least if any(c.isalpha() for c in signs) else 4)
 
-def spaced_runs(text: str) -> list[str]:
-    """Runs of single signs with blanks between that hold more than one sign."""
-    return [m.group() for m in _SPACED.finditer(text) if len(set(m.group())) > 3]
+
+def spaced_runs(text: str, least: int = 4) -> list[str]:
+    """Runs of ``least`` or more single signs with white space or separators between that hold more than one sign."""
+    return [m.group() for m in _SPACED.finditer(text) if spaced(m.group(), least)]
 
 
 class Features:
@@ -160,6 +214,26 @@ class Features:
         self.restore = Restorer(costs)
         self.entry = entry
         self.known: dict[str, tuple] = {}
+        self.open = open_table(costs)
+
+    def open_gaps(self, tokens: list[str]) -> list[int]:
+        """Numbers of the gaps (0 after the first token) whose two tokens are likelier two pieces of one word."""
+        raw = np.frombuffer(f"  {' '.join(tokens)}  ".encode("utf-8", "replace"), np.uint8)
+        at, signs = np.flatnonzero(raw == 32)[2:-2], _FOLD[raw]
+        return np.flatnonzero(self.open[signs[at - 2], signs[at - 1], signs[at + 1], signs[at + 2]]).tolist()
+
+    def split_words(self, tokens: list[str]) -> set[str]:
+        """Neighbours that are likelier one word, put together: each two of them, and each whole run."""
+        out, run, last = set(), 0, -2
+        for gap in [*self.open_gaps(tokens), len(tokens) + 1]:
+            if gap != last + 1:
+                if last > run:
+                    out.add("".join(tokens[run : last + 2]))
+                run = gap
+            if gap < len(tokens):
+                out.add(tokens[gap] + tokens[gap + 1])
+            last = gap
+        return out
 
     def of_word(self, word: str) -> list:
         names = [word, *[f"{word[:n]}~" for n in BEGINNINGS if len(word) > n]]
@@ -177,7 +251,7 @@ class Features:
                 words = set(_WORDS.findall(core.lower()))
                 core = _EDGE.sub("", core)
             if obfuscated(core):
-                words.update(_WORDS.findall(self.restore.run(core)))
+                words.update([self.restore.of_word(core)] if core.isalpha() else _WORDS.findall(self.restore(core)))
             found = tuple(e for w in words for e in self.of_word(w))
             if len(token) <= 64:
                 self.known[token] = found
@@ -185,7 +259,8 @@ class Features:
 
     def of_text(self, text: str) -> tuple[set, int]:
         """Distinct entries, and the number of distinct tokens."""
-        tokens = set(text.split())
+        in_order = text.split()
+        tokens = set(in_order)
         found: set = set()
         for entries in map(self.known.get, tokens):
             if entries:
@@ -193,14 +268,19 @@ class Features:
         for token in tokens:
             if token not in self.known:
                 found.update(self.of_token(token))
-        for run in spaced_runs(text):
-            found.update(e for w in _WORDS.findall(self.restore.run(run)) for e in self.of_word(w))
+        for run in spaced_runs(text, 2):
+            found.update(e for w in _WORDS.findall(self.restore.of_pieces(run)) for e in self.of_word(w))
+        for word in self.split_words(in_order):
+            core = word.strip(PLAIN_EDGES)
+            found.update(self.of_word(core.lower()) if core.isalpha() else self.of_token(word))
         return found, len(tokens)
 
     def restored(self, text: str) -> str:
         """The text with obfuscated tokens and spaced runs in their restored spelling."""
-        text = _SPACED.sub(lambda m: self.restore.run(m.group()) if len(set(m.group())) > 3 else m.group(), text)
-        return re.sub(r"\S+", lambda m: self.restore.run(core) if obfuscated(core := _EDGE.sub("", m.group())) else m.group(), text)
+        text = _SPACED.sub(lambda m: self.restore.of_pieces(m.group()) if spaced(m.group()) else m.group(), text)
+        is_open, gap = set(self.open_gaps(text.split())), itertools.count()
+        text = re.sub(r"(?<=\S)\s+(?=\S)", lambda m: "" if next(gap) in is_open else m.group(), text)
+        return re.sub(r"\S+", lambda m: m.group().replace(core, self.restore(core)) if obfuscated(core := _EDGE.sub("", m.group()).strip(PLAIN_EDGES)) else m.group(), text)
 
 
 def signals(weights: list[float], tokens: int) -> tuple[float, float, float]:

@@ -33,6 +33,28 @@ def test_restored_spelling(costs, seen, meant):
     assert Features(costs).restored(seen) == meant
 
 
+@pytest.mark.parametrize(
+    ("seen", "meant"),
+    [("stuupid", "stupid"), ("mmoron", "moron"), ("s c u m.", "scum."), ("i d i o t,", "idiot,"), ("i  d  i  o  t", "idiot"), ("i d\ni o t", "idiot"), ("d i e", "die"), ("mo ron", "moron"), ("stu pid", "stupid"), ("you mo ron are", "you moron are"), ("the cat sat on the mat", "the cat sat on the mat")],
+)
+def test_restored_spelling_of_short_and_split_runs(costs, seen, meant):
+    assert Features(costs).restored(seen) == meant
+
+
+def test_split_and_spaced_words_reach_the_entries(costs):
+    for text in ("you mo ron are", "you m o r o n.", "you mmoron", "m  o\nr o n"):
+        assert "moron" in Features(costs).of_text(text)[0], text
+
+
+def test_long_runs_are_decoded_as_one(costs, monkeypatch):
+    from rooftally.llm import toxicity
+
+    run = "y o u a r e a n i d i o t " * 40
+    whole = Restorer(costs)(run)
+    monkeypatch.setattr(toxicity, "SETTLE", 16)
+    assert Restorer(costs)(run) == whole and "idiot" in whole and whole.replace(" ", "") == run.replace(" ", "")
+
+
 def test_viterbi_finds_the_cheapest_path(costs):
     """Against all ways to read a short run."""
     restore = Restorer(costs)
