@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rooftally.llm.common import give_back
+from rooftally.llm.shingles import mixed
 
 #: Bytes of text that a language's automaton is built from, and documents that they are taken from at most.
 TRAIN_BYTES = 40_000
@@ -147,27 +148,66 @@ class CrossParser:
         return names, scores
 
 
+def segments_by_hash(text: bytes, seed: int, most: int) -> list[tuple[int, bytes]]:
+    """Segments of a text, numbered, in the order of a hash of their numbers, until they hold ``most`` bytes."""
+    count = -(-len(text) // SEGMENT)
+    order = np.argsort(mixed(np.arange(count, dtype=np.uint64) ^ mixed(np.array([seed], np.int64).view(np.uint64))), kind="stable")
+    # the last segment may be shorter than the others
+    chosen = order[: most // SEGMENT + 2].tolist()
+    return [(i, text[i * SEGMENT : (i + 1) * SEGMENT]) for i in chosen]
+
+
+def share_of_each(sizes: list[int], least: int, total: int) -> int:
+    """The smallest share, ``least`` or more, of which all texts together give ``total`` bytes, or their largest size."""
+    low, high = least, max([least, *sizes])
+    while low < high:
+        middle = (low + high) // 2
+        if sum(min(size, middle) + 1 for size in sizes) >= total:
+            high = middle
+        else:
+            low = middle + 1
+    return low
+
+
 def training_samples(labelled: DataFrame, lang: str = "lang", doc_id: str = "doc_id", text: str = "text", max_bytes: int = TRAIN_BYTES, max_documents: int = TRAIN_DOCUMENTS) -> dict[str, bytes]:
-    """Per language at most ``max_bytes`` folded bytes from at most ``max_documents`` documents in the order of a hash.
+    """Per language at most ``max_bytes`` folded bytes from at most ``max_documents`` distinct texts in the order of a hash.
 
-    One count per language sets the share of documents that is looked at, so nothing is sorted and only the bounded
-    sample reaches the driver.
+    A text gives a twentieth of the bytes, or more where all chosen ones would not fill them; a longer one gives that much
+    in segments that a hash chooses from the whole of it. One count per language sets the share of texts that is looked
+    at, so nothing is sorted, and of each of those at most about ``max_bytes`` reach the driver.
     """
-    rows = labelled.select(F.col(lang).alias("lang"), F.col(text).alias("text"), F.xxhash64(F.col(doc_id), F.col(text)).alias("h")).filter("lang IS NOT NULL AND text IS NOT NULL AND text <> ''")
-    counts = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
+    rows = labelled.select(F.col(lang).alias("lang"), F.col(text).alias("text"), F.xxhash64(F.col(text)).alias("h")).filter("lang IS NOT NULL AND text IS NOT NULL AND text <> ''")
+    counts = {r["lang"]: r["n"] for r in rows.select("lang", "h").distinct().groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
     share = F.lit(0.0)
     for name, n in counts.items():
         share = F.when(F.col("lang") == name, F.lit(min(1.0, 1.5 * max_documents / n))).otherwise(share)
+
+    def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sizes, places, bodies = [], [], []
+            for seed, value in zip(batch.column(1).to_pylist(), batch.column(2)):
+                whole = folded(value.as_py())
+                found = segments_by_hash(whole, seed, max_bytes)
+                sizes.append(len(whole))
+                places.append([i for i, _ in found])
+                bodies.append([part for _, part in found])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(sizes, pa.int64()), pa.array(places, pa.list_(pa.int64())), pa.array(bodies, pa.list_(pa.binary()))], names=["lang", "h", "size", "places", "bodies"])
+        batch = whole = found = bodies = None
+        give_back()
+
     # a hash is spread evenly over all longs
-    chosen = rows.filter((F.col("h").cast("double") / 2.0**64 + 0.5) <= share)
+    chosen = rows.filter((F.col("h").cast("double") / 2.0**64 + 0.5) <= share).groupBy("lang", "h").agg(F.first("text").alias("text"))
     sample: dict[str, list] = {}
-    for row in chosen.select("lang", "h", F.substring("text", 1, 4 * max_bytes).alias("text")).toLocalIterator():
-        sample.setdefault(row["lang"], []).append((row["h"], row["text"]))
+    for row in chosen.mapInArrow(choose, "lang string, h bigint, size bigint, places array<bigint>, bodies array<binary>").toLocalIterator():
+        sample.setdefault(row["lang"], []).append((row["h"], row["size"], list(zip(row["places"], row["bodies"]))))
     out = {}
     for name, found in sample.items():
-        joined, each = b"", max(1, max_bytes // 20)
-        for _, words in sorted(found)[:max_documents]:
-            joined += folded(words)[:each] + b" "
+        joined, found = b"", sorted(found)[:max_documents]
+        each = share_of_each([size for _, size, _ in found], max(1, max_bytes // 20), max_bytes)
+        for _, size, parts in found:
+            # one segment more than the share holds, as the short last one may be among them; in the order of the text
+            taken = sorted(parts[: -(-each // SEGMENT) + 1] if size > each else parts)
+            joined += b"".join((b" " if k and i != taken[k - 1][0] + 1 else b"") + bytes(part) for k, (i, part) in enumerate(taken))[:each] + b" "
             if len(joined) >= max_bytes:
                 break
         out[name] = joined[:max_bytes]

@@ -4,7 +4,7 @@ import random
 
 from pyspark.sql import functions as F
 
-from rooftally.llm.language import SEGMENT, CrossParser, folded, identify_language, suffix_automaton
+from rooftally.llm.language import SEGMENT, TRAIN_BYTES, CrossParser, folded, identify_language, suffix_automaton, training_samples
 from rooftally.llm.queries import QUERIES
 
 
@@ -59,6 +59,27 @@ def test_held_out_accuracy(spark):
     assert right[0] >= 0.97 and 0 <= right[1] <= right[2] <= 1
 
 
+def test_sample_is_filled_from_whole_texts(rows):
+    """Three documents of 100 kB fill the sample, from all over their lengths."""
+    rnd = random.Random(5)
+    docs = [(d, " ".join("abcde"[at // 20_000] + "".join(rnd.choice("xyz") for _ in range(9)) for at in range(0, 100_000, 11)), "en") for d in range(3)]
+    found = training_samples(rows("doc_id long, text string, lang string", docs))["en"]
+    assert len(found) == TRAIN_BYTES
+    assert all(found.count(b" " + c) > 300 for c in (b"a", b"b", b"c", b"d", b"e"))
+
+
+def test_sample_takes_copies_once(rows):
+    docs = [(d, "copied words " * 200, "en") for d in range(400)] + [(1000 + d, f"own{d} text " * 200, "en") for d in range(20)]
+    found = training_samples(rows("doc_id long, text string, lang string", docs))["en"]
+    assert 0 < found.count(b"copied") <= 200 and found.count(b"own") > 2000 and len(found) == TRAIN_BYTES
+
+
+def test_short_texts_are_taken_whole(rows):
+    docs = [(d, chr(97 + d) * (700 + d), "en") for d in range(5)]
+    found = training_samples(rows("doc_id long, text string, lang string", docs))["en"]
+    assert sorted(found.split()) == sorted(t.encode() for _, t, _ in docs)
+
+
 def test_special_rows(rows):
     train = rows("doc_id long, text string, lang string", [(1, "the cat sat on the mat", "en"), (2, "le chat est sur la table", "fr"), (3, "nothing", None), (4, None, "de"), (5, "", "es")])
     docs = rows("doc_id long, text string, lang_pred string, score string", [(1, None, "a", "b"), (2, "", "a", "b"), (3, "123 !?", "a", "b"), (None, "the mat", "a", "b"), (5, "le chat " * 4000, "a", "b"), (5, "le chat", "a", "b")])
