@@ -12,6 +12,7 @@ from rooftally.llm.lines import remove_repeated_chunks
 from rooftally.llm.neardup import near_duplicates
 from rooftally.llm.packing import pack_documents
 from rooftally.llm.registry import ORACLES, QUERIES, query
+from rooftally.llm.resampling import resample
 from rooftally.llm.suffixes import remove_repeated_strings
 from rooftally.llm.topk import top_inner_products
 from rooftally.llm.toxicity import score_toxicity
@@ -132,3 +133,43 @@ def op9_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_word_bpe")
 def op10_word_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_words(table(spark, sf_dir, "documents"), tokenizer_file("word_bpe_49k.json"), with_ids=False)
+
+
+# crc32 of a text in SQL: the table of the polynomial, then one step a byte.
+CRC_TABLE = """crc(i, k, c) AS (SELECT range, 0, CAST(range AS BIGINT) FROM range(256) UNION ALL
+                   SELECT i, k + 1, CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END FROM crc WHERE k < 8),
+         crcs AS (SELECT list(c ORDER BY i) AS crcs FROM crc WHERE k = 8)"""
+
+
+def crc_sql(text: str) -> str:
+    """SQL for the crc32 of the UTF-8 bytes of an expression, next to the table ``crcs``."""
+    octets = f"[CAST('0x' || substr(hex(encode({text})), 2 * o + 1, 2) AS BIGINT) FOR o IN range(octet_length(encode({text})))]"
+    return f"xor(list_reduce({octets}, lambda c, b: xor(c >> 8, crcs[1 + xor(c % 256, b)]), 4294967295), 4294967295)"
+
+
+@query(
+    "op13_resampling",
+    f"""
+    WITH RECURSIVE {CRC_TABLE},
+         d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS words FROM documents),
+         b AS (SELECT regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS words FROM benchmark),
+         dw AS (SELECT doc_id, unnest(words) AS word FROM d),
+         bw AS (SELECT unnest(words) AS word FROM b),
+         k AS (SELECT word, {crc_sql("word")} % 10000 AS bucket FROM (SELECT word FROM dw UNION SELECT word FROM bw), crcs),
+         s AS (SELECT bucket, count(*) AS s FROM dw JOIN k USING (word) GROUP BY bucket),
+         t AS (SELECT bucket, count(*) AS t FROM bw JOIN k USING (word) GROUP BY bucket),
+         n AS (SELECT (SELECT count(*) FROM dw) + 10000 AS s_all, (SELECT count(*) FROM bw) + 10000 AS t_all),
+         g AS (SELECT bucket, CAST(floor(1000 * ln(CAST(coalesce(t, 0) + 1 AS DOUBLE) * s_all / (CAST(coalesce(s, 0) + 1 AS DOUBLE) * t_all))) AS BIGINT) AS gain
+               FROM (SELECT DISTINCT bucket FROM k) LEFT JOIN s USING (bucket) LEFT JOIN t USING (bucket), n),
+         w AS (SELECT doc_id, count(*) AS n_features, sum(gain) AS total FROM dw JOIN k USING (word) JOIN g USING (bucket) GROUP BY doc_id),
+         r AS (SELECT d.doc_id, CAST(coalesce(n_features, 0) AS BIGINT) AS n_features,
+                      CAST(coalesce((total - ((total % n_features) + n_features) % n_features) // n_features, 0) AS BIGINT) AS weight,
+                      CAST('0x' || substr(sha256('2024:' || coalesce(CAST(d.doc_id AS VARCHAR), '')), 1, 8) AS BIGINT) AS h
+               FROM d LEFT JOIN w USING (doc_id)),
+         z AS (SELECT *, weight + CAST(floor(-1000 * ln(-ln((h + 0.5) / CAST(4294967296 AS DOUBLE)))) AS BIGINT) AS score FROM r),
+         q AS (SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS rank, count(*) OVER () AS n FROM z WHERE n_features >= 20)
+    SELECT doc_id, n_features, weight, score, CAST(CASE WHEN rank <= n * 10 // 100 THEN rank END AS BIGINT) AS rank FROM z LEFT JOIN q USING (doc_id)
+    """,
+)
+def op13_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
