@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rooftally.llm.common import held_out, table
+from rooftally.llm.dialogues import damage, digest_in_order, repair_conversations
 from rooftally.llm.language import identify_language
 from rooftally.llm.nearest import nearest_neighbours
 from rooftally.llm.lines import remove_repeated_chunks
@@ -147,6 +148,51 @@ def crc_sql(text: str) -> str:
     return f"xor(list_reduce({octets}, lambda c, b: xor(c >> 8, crcs[1 + xor(c % 256, b)]), 4294967295), 4294967295)"
 
 
+@query(
+    "op12_conversation_repair",
+    f"""
+    WITH RECURSIVE {CRC_TABLE},
+         o AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+                      coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ') AS id FROM conversations),
+         f AS (SELECT o.*, {crc_sql("id")} % 20 AS fate FROM o, crcs),
+         m AS (SELECT conv_id, turn, CASE WHEN fate = 4 THEN 'user' ELSE role END AS role,
+                      CASE fate WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END AS text,
+                      unnest(CASE WHEN fate = 3 THEN [0, 1] ELSE [0] END) AS copy FROM f WHERE fate <> 0),
+         n AS (SELECT *, row_number() OVER w AS i, substr(role, 1, 1) AS r, rtrim(text, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS told,
+                      row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST, copy) AS nth FROM m
+               WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, sha256(text), copy)),
+         p AS (SELECT *, told = '' AS blank, told <> '' AND nth > 1 AS dup, told <> '' AND nth = 1 AND right(told, 1) NOT IN ('.', '!', '?') AS cut,
+                      lag(r) OVER (PARTITION BY conv_id ORDER BY i) AS before, count(*) OVER (PARTITION BY conv_id) AS size FROM n),
+         s AS (SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (blank) AS blank, count(*) FILTER (dup) AS duplicate,
+                      count(*) FILTER (cut) AS truncated, count(*) FILTER (i > 1 AND before || r NOT IN ('su', 'ua', 'au')) AS illegal, any_value(size) AS size FROM p GROUP BY conv_id),
+         -- from the last message to the first: least (cost, letters) to finish from each state, and the repaired messages that go with it
+         b(conv_id, i, x0, x1, x2, x3) AS (
+             SELECT conv_id, size + 1, {{'c': 0, 'a': '', 'm': []::VARCHAR[]}}, {{'c': 4, 'a': 'II', 'm': ['user:', 'assistant:']}}, {{'c': 2, 'a': 'I', 'm': ['assistant:']}}, {{'c': 0, 'a': '', 'm': []::VARCHAR[]}} FROM s
+             UNION ALL
+             SELECT conv_id, i, list_min([y0, {{'c': y2.c + 4, 'a': 'II' || y2.a, 'm': ['user:', 'assistant:'] || y2.m}}, {{'c': z2.c + 2, 'a': 'I' || z2.a, 'm': ['user:'] || z2.m}}]),
+                    list_min([y1, {{'c': z2.c + 2, 'a': 'I' || z2.a, 'm': ['user:'] || z2.m}}]), z2, z3
+             FROM (SELECT *, list_min([y2, {{'c': y3.c + 2, 'a': 'I' || y3.a, 'm': ['assistant:'] || y3.m}}]) AS z2, list_min([y3, {{'c': y2.c + 2, 'a': 'I' || y2.a, 'm': ['user:'] || y2.m}}]) AS z3
+                   FROM (SELECT conv_id, i,
+                                list_min([d0] || CASE WHEN gone THEN [] ELSE [{{'c': x2.c + 2 + t, 'a': 'R' || x2.a, 'm': ['user:' || text] || x2.m}}] || CASE r WHEN 'u' THEN [{{'c': x2.c + t, 'a': 'K' || x2.a, 'm': [line] || x2.m}}] WHEN 's' THEN [{{'c': x1.c + t, 'a': 'K' || x1.a, 'm': [line] || x1.m}}] ELSE [] END END) AS y0,
+                                list_min([d1] || CASE WHEN gone THEN [] ELSE [{{'c': x2.c + 2 + t, 'a': 'R' || x2.a, 'm': ['user:' || text] || x2.m}}] || CASE r WHEN 'u' THEN [{{'c': x2.c + t, 'a': 'K' || x2.a, 'm': [line] || x2.m}}] ELSE [] END END) AS y1,
+                                list_min([d2] || CASE WHEN gone THEN [] ELSE [{{'c': x3.c + 2 + t, 'a': 'R' || x3.a, 'm': ['assistant:' || text] || x3.m}}] || CASE r WHEN 'a' THEN [{{'c': x3.c + t, 'a': 'K' || x3.a, 'm': [line] || x3.m}}] ELSE [] END END) AS y2,
+                                list_min([d3] || CASE WHEN gone THEN [] ELSE [{{'c': x2.c + 2 + t, 'a': 'R' || x2.a, 'm': ['user:' || text] || x2.m}}] || CASE r WHEN 'u' THEN [{{'c': x2.c + t, 'a': 'K' || x2.a, 'm': [line] || x2.m}}] ELSE [] END END) AS y3
+                         FROM (SELECT p.*, b.x0, b.x1, b.x2, b.x3, blank OR dup AS gone, CAST(cut AS INT) AS t, role || ':' || text AS line,
+                                      {{'c': x0.c + 3, 'a': 'D' || x0.a, 'm': x0.m}} AS d0, {{'c': x1.c + 3, 'a': 'D' || x1.a, 'm': x1.m}} AS d1, {{'c': x2.c + 3, 'a': 'D' || x2.a, 'm': x2.m}} AS d2, {{'c': x3.c + 3, 'a': 'D' || x3.a, 'm': x3.m}} AS d3
+                               FROM b JOIN p ON p.conv_id IS NOT DISTINCT FROM b.conv_id AND p.i = b.i - 1) q) w) v)
+    SELECT a.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal,
+           CAST(coalesce(x0.c, 0) AS BIGINT) AS cost, coalesce(x0.a, '') AS audit, sha256(coalesce(array_to_string(x0.m, chr(10)), '')) AS repaired_sha256
+    FROM (SELECT DISTINCT conv_id FROM conversations) a LEFT JOIN s ON s.conv_id IS NOT DISTINCT FROM a.conv_id LEFT JOIN b ON b.conv_id IS NOT DISTINCT FROM a.conv_id AND b.i = 1
+    """,
+)
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    conversations = table(spark, sf_dir, "conversations")
+    report, repaired = repair_conversations(damage(conversations), conversations)
+    digests = digest_in_order(repaired.withColumn("line", F.concat_ws(":", "role", "text")), "k", ["seq", "place"], "line")
+    nothing = F.sha2(F.lit(""), 256)
+    return report.join(digests, "k", "left").select("conv_id", "gaps", "blank", "duplicate", "truncated", "illegal", "cost", "audit", F.coalesce("sha256", nothing).alias("repaired_sha256"))
+
+
 @query(
     "op13_resampling",
     f"""
