@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rooftally.llm.common import held_out, table
@@ -12,6 +12,7 @@ from rooftally.llm.nearest import nearest_neighbours
 from rooftally.llm.lines import remove_repeated_chunks
 from rooftally.llm.neardup import near_duplicates
 from rooftally.llm.packing import pack_documents
+from rooftally.llm.personal import KINDS, find_personal_data
 from rooftally.llm.registry import ORACLES, QUERIES, query
 from rooftally.llm.resampling import resample
 from rooftally.llm.suffixes import remove_repeated_strings
@@ -136,6 +137,21 @@ def op10_word_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_words(table(spark, sf_dir, "documents"), tokenizer_file("word_bpe_49k.json"), with_ids=False)
 
 
+@query("op11_personal_data")
+def op11_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = find_personal_data(table(spark, sf_dir, "documents"))
+    base = F.filter("spans", lambda s: s["base"])
+
+    def told(spans: Column) -> Column:
+        return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
+
+    def count(kind: str) -> Column:
+        return F.size(F.filter("spans", lambda s: s["base"] & (s["kind"] == kind))).cast("bigint").alias(f"n_{kind}")
+
+    counts = [count(kind) for kind in KINDS]
+    return found.select("doc_id", *counts, F.sha2(told(base), 256).alias("base_sha256"), told(F.col("spans")).alias("spans"))
+
+
 # crc32 of a text in SQL: the table of the polynomial, then one step a byte.
 CRC_TABLE = """crc(i, k, c) AS (SELECT range, 0, CAST(range AS BIGINT) FROM range(256) UNION ALL
                    SELECT i, k + 1, CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END FROM crc WHERE k < 8),
