@@ -53,6 +53,7 @@ _HOST = re.compile(
 )
 _DOTTED = re.compile(r"(?<![0-9.])[0-9]{1,9}(?:(?:\.|\[\.\]|\(\.\))[0-9]{1,9}){3,5}(?![0-9])")
 _COLONS = re.compile(r"(?<![0-9A-Za-z:])(?:[0-9A-Fa-f]{1,4}:){2,7}(?::?[0-9A-Fa-f]{1,4}){1,7}(?![0-9A-Za-z:])")
+_PREFIXED = re.compile(r"\+[0-9]{1,3}(?:[ .-]?\(?[0-9]{2,4}\)?){2,4}(?![0-9])")
 _NUMBER = re.compile(r"(?<![0-9A-Za-z+])(?:\([0-9]{2,5}\)|00[0-9]{1,3}|[0-9]{2,5})(?:[ ./-]{1,2}\(?[0-9]{2,5}\)?){1,5}(?![0-9A-Za-z])|(?<![0-9A-Za-z+.-])[0-9]{8,15}(?![0-9A-Za-z])")
 
 # ---- gazetteers and words, fixed values -----------------------------------------------------------------------------
@@ -149,9 +150,10 @@ def wider_spans(text: str) -> Iterator[tuple[str, int, int]]:
                     yield "card", start, groups[j][1]
                     if size > 7:
                         break
-    for m in _NUMBER.finditer(text):
-        if 7 <= sum(map(len, _DIGITS.findall(m.group()))) <= 15:
-            yield "phone", *m.span()
+    for pattern in (_PREFIXED, _NUMBER) if "+" in text else (_NUMBER,):
+        for m in pattern.finditer(text):
+            if 7 <= sum(map(len, _DIGITS.findall(m.group()))) <= 15:
+                yield "phone", *m.span()
 
 
 def votes(kind: str, text: str, start: int, end: int) -> str:
