@@ -22,6 +22,9 @@ COLUMNS = {
     "op8_nearest_neighbours": {"query_id", "rank", "vec_id", "score"},
     "op9_exact_top_k": {"query_id", "rank", "vec_id", "score"},
     "op10_word_bpe": {"doc_id", "n_tokens", "ids_sha256", "decoded_sha256"},
+    "op11_personal_data": {"doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256", "spans"},
+    "op12_conversation_repair": {"conv_id", "gaps", "blank", "duplicate", "truncated", "illegal", "cost", "audit", "repaired_sha256"},
+    "op13_resampling": {"doc_id", "n_features", "weight", "score", "rank"},
 }
 
 
