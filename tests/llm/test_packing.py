@@ -24,6 +24,11 @@ def test_encoder_agrees_with_the_library():
         assert ids_of(encoder(text)) == library.encode(text, add_special_tokens=False).ids, text
 
 
+@pytest.mark.parametrize("text", ["x" + sign * 1_000_000 + "x" for sign in (" ", "\t", "\n", "\r\n")] + ["a" * 400_000])
+def test_long_runs_agree_with_the_library(text):
+    assert ids_of(ByteLevelEncoder(PATH)(text)) == Tokenizer.from_file(PATH).encode(text, add_special_tokens=False).ids
+
+
 @pytest.mark.parametrize("n", [1, 2, 2047, 2048, 2049, 5000, 8192])
 def test_piece_lengths(n):
     found = piece_lengths(n, 2048)
