@@ -75,7 +75,8 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     WITH d AS (SELECT doc_id, text, string_split(text, chr(10)) AS lines FROM documents WHERE text IS NOT NULL),
          l AS (SELECT doc_id, text, unnest(lines) AS line, generate_subscripts(lines, 1) - 1 AS i, len(lines) AS n FROM d),
          h AS (SELECT *, CAST('0x' || substr(md5(line), 1, 8) AS BIGINT) AS h FROM l),
-         r AS (SELECT *, i = n - 1 OR (i >= 1 AND (h + 31 * lag(h) OVER w) % 3 = 0) AS ends FROM h WINDOW w AS (PARTITION BY doc_id ORDER BY i)),
+         e AS (SELECT *, coalesce((h + 31 * lag(h) OVER w) % 2 = 0, false) AS may FROM h WINDOW w AS (PARTITION BY doc_id ORDER BY i)),
+         r AS (SELECT *, i = n - 1 OR (i <= n - 3 AND may AND NOT coalesce(lag(may) OVER w, false)) AS ends FROM e WINDOW w AS (PARTITION BY doc_id ORDER BY i)),
          p AS (SELECT *, coalesce(sum(CAST(ends AS INT)) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS place FROM r),
          c AS (SELECT doc_id, place, count(*) AS size, string_agg(line, chr(10) ORDER BY i) AS chunk FROM p GROUP BY doc_id, place),
          g AS (SELECT doc_id, place, size, size >= 2 AND row_number() OVER (PARTITION BY chunk, size >= 2 ORDER BY doc_id, place) > 1 AS gone FROM c),

@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import time
 
 from rooftally.llm.lines import remove_repeated_chunks
 
@@ -12,7 +13,8 @@ def plain(docs):
     for doc, text in docs:
         lines = text.split("\n") if text is not None else []
         h = [int(hashlib.md5(x.encode()).hexdigest()[:8], 16) for x in lines]
-        ends = [i for i in range(len(lines)) if i == len(lines) - 1 or i >= 1 and (h[i] + 31 * h[i - 1]) % 3 == 0]
+        may = [i >= 1 and (h[i] + 31 * h[i - 1]) % 2 == 0 for i in range(len(lines))]
+        ends = [i for i in range(len(lines)) if i == len(lines) - 1 or i <= len(lines) - 3 and may[i] and not may[i - 1]]
         spans = [(a + 1, b) for a, b in zip([-1, *ends], ends)]
         parts.append((lines, spans))
         for place, (a, b) in enumerate(spans):
@@ -48,6 +50,28 @@ def test_shifted_copies_are_found(rows):
     assert found[1].n_removed_lines == 0 and found[2].n_removed_lines >= 30 and found[3].n_removed_lines >= 30
 
 
+def test_whole_copies_lose_all_lines(rows):
+    whole = "\n".join(f"line {i} of its own" for i in range(300))
+    found = {r.doc_id: r for r in remove_repeated_chunks(rows("doc_id long, text string", [(1, whole), (2, whole), (3, whole + "\nonce more"), (4, "first\nsecond"), (5, "first\nsecond")])).collect()}
+    assert (found[2].n_removed_lines, found[2].text) == (300, "") and found[5].n_removed_lines == 2
+    assert found[3].n_removed_lines >= 285 and found[3].text.endswith("once more") and found[1].n_removed_lines == found[4].n_removed_lines == 0
+
+
+def test_clashing_columns(rows):
+    names = ["id", "th", "gone", "row", "row_id", "lines", "_id", "_gone", "kid", "ch", "n_lines"]
+    data = [(i, "a\nb\nc", *[f"{n}{i}" for n in names]) for i in (1, 2)]
+    found = remove_repeated_chunks(rows("doc_id long, text string, " + ", ".join(f"{n} string" for n in names), data)).orderBy("doc_id").collect()
+    assert [[r[n] for n in names[:-1]] for r in found] == [[f"{n}{i}" for n in names[:-1]] for i in (1, 2)]
+    assert [(r.n_lines, r.n_removed_lines, r.text) for r in found] == [(3, 0, "a\nb\nc"), (3, 3, "")]
+
+
+def test_very_many_lines_in_one_text(rows):
+    text = "\n".join(f"{i}" for i in range(200_000))
+    start = time.time()
+    found = remove_repeated_chunks(rows("doc_id long, text string", [(1, text), (2, text)])).select("doc_id", "n_removed_lines").orderBy("doc_id").collect()
+    assert [tuple(r) for r in found] == [(1, 0), (2, 200_000)] and time.time() - start < 60
+
+
 def test_empty_table(rows):
     assert remove_repeated_chunks(rows("doc_id long, text string", [])).count() == 0
 

@@ -15,7 +15,7 @@ def shingle_set(text):
     return {tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))} if words else set()
 
 
-def brute(docs):
+def brute(docs, percent=85):
     """(set size, component) per row of (doc_id, text)."""
     sets = [shingle_set(t) for _, t in docs]
     component = list(range(len(docs)))
@@ -28,7 +28,7 @@ def brute(docs):
     for i, a in enumerate(sets):
         for j in range(i):
             b = sets[j]
-            if a and b and docs[i][0] is not None and docs[j][0] is not None and 100 * len(a & b) >= 85 * len(a | b):
+            if a and b and docs[i][0] is not None and docs[j][0] is not None and 100 * len(a & b) >= percent * len(a | b):
                 component[find(i)] = find(j)
     least = {}
     for i, (doc, _) in enumerate(docs):

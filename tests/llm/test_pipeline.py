@@ -53,7 +53,7 @@ def test_line_stage(outputs):
 def test_near_duplicate_stage(outputs):
     before, after = outputs["near_dedup"]
     rows = texts(before)
-    assert texts(after) == [(d, t) for (d, t), (n, c) in zip(rows, test_neardup.brute(rows)) if d == c]
+    assert texts(after) == [(d, t) for (d, t), (n, c) in zip(rows, test_neardup.brute(rows, corpus_pipeline.NEAR_PERCENT)) if d == c]
 
 
 def test_near_duplicate_stage_takes_pairs_from_80_percent(rows):
