@@ -58,11 +58,13 @@ _FOLD[128:] = 27
 
 _LOOKS = re.escape("".join(LOOKS_LIKE)) + r"*"
 _DOUBLE = re.compile(r"([a-z])\1+", re.IGNORECASE | re.ASCII)
-_LOOK_INSIDE = re.compile(rf"[^\W\d_][{_LOOKS}.\-_~]*[{_LOOKS}][{_LOOKS}.\-_~]*[^\W\d_]|(?<![{_LOOKS}])[{_LOOKS}][^\W\d_]{{2}}|[^\W\d_]{{2}}[{_LOOKS}](?![{_LOOKS}])")
-_DOTTED = re.compile(r"(?<![^\W\d_])[^\W\d_](?:[.\-_~*,']+[^\W\d_])+(?![^\W\d_])")
+_LOOK_INSIDE = re.compile(rf"[^\W\d_][.\-_~]*+[{_LOOKS}][{_LOOKS}.\-_~]*+[^\W\d_]|(?<![{_LOOKS}])[{_LOOKS}][^\W\d_]{{2}}|[^\W\d_]{{2}}[{_LOOKS}](?![{_LOOKS}])")
+_DOTTED = re.compile(r"(?<![^\W\d_])[^\W\d_](?:[.\-_~*,']++[^\W\d_])+(?![^\W\d_])")
 _SPACED = re.compile(rf"(?<!\w)(?:[^\W_]|(?<!\S)[{_LOOKS}])(?:[\s.\-_~*,']+[^\W_]|[\s.\-_~*,']+[{_LOOKS}](?=\s|$))+(?![{_LOOKS}]*\w)")
 _WORDS = re.compile(r"[^\W\d_]+")
-_EDGE = re.compile(r"^[^\w]+(?=[^\w])|(?<=[^\w])[^\w]+$")
+#: A run of one separator beyond so many signs: to mask a letter costs more than to drop the sign, by more in all than any
+#: spelling around the run can gain, so the signs beyond are dropped on every least path.
+_DROPPED = re.compile(r"([ .\-_*~,'])\1{32,}")
 
 
 def trigram_counts(docs: DataFrame) -> np.ndarray:
@@ -126,7 +128,7 @@ class Restorer:
         # a path's spelling is a chain of (what came before, letter), so a step costs the same however long the run is
         paths: dict[tuple[int, int], tuple[float, tuple | None]] = {(0, 0): (0.0, None)}
         before, settled = "", []
-        for at, sign in enumerate(run, 1):
+        for at, sign in enumerate(_DROPPED.sub(lambda m: m.group()[:32], run), 1):
             ways = self.options(sign, before)
             after: dict[tuple[int, int], tuple[float, tuple | None]] = {}
             for (a, b), (cost, spelt) in paths.items():
@@ -192,6 +194,15 @@ def written(chain: tuple | None) -> str:
     return "".join(reversed(out))
 
 
+def without_edges(token: str) -> str:
+    """``token`` with one sign at most before its first and after its last letter, digit or underscore."""
+    inside = [bool(c.isalnum() or c == "_") for c in token]
+    if True not in inside:
+        return token if len(token) < 2 else ""
+    first, last = inside.index(True), len(inside) - 1 - inside[::-1].index(True)
+    return token[max(0, first - 1) : last + 2]
+
+
 def obfuscated(token: str) -> bool:
     return not token.isalpha() and bool(_LOOK_INSIDE.search(token) or _DOTTED.search(token)) or bool(_DOUBLE.search(token))
 
@@ -249,7 +260,7 @@ class Features:
                 words = {core.lower()}
             else:
                 words = set(_WORDS.findall(core.lower()))
-                core = _EDGE.sub("", core)
+                core = without_edges(core)
             if obfuscated(core):
                 words.update([self.restore.of_word(core)] if core.isalpha() else _WORDS.findall(self.restore(core)))
             found = tuple(e for w in words for e in self.of_word(w))
@@ -280,7 +291,7 @@ class Features:
         text = _SPACED.sub(lambda m: self.restore.of_pieces(m.group()) if spaced(m.group()) else m.group(), text)
         is_open, gap = set(self.open_gaps(text.split())), itertools.count()
         text = re.sub(r"(?<=\S)\s+(?=\S)", lambda m: "" if next(gap) in is_open else m.group(), text)
-        return re.sub(r"\S+", lambda m: m.group().replace(core, self.restore(core)) if obfuscated(core := _EDGE.sub("", m.group()).strip(PLAIN_EDGES)) else m.group(), text)
+        return re.sub(r"\S+", lambda m: m.group().replace(core, self.restore(core)) if obfuscated(core := without_edges(m.group()).strip(PLAIN_EDGES)) else m.group(), text)
 
 
 def signals(weights: list[float], tokens: int) -> tuple[float, float, float]:

@@ -1,11 +1,15 @@
 """Toxicity: restored spellings, accuracy on the held-out fold, special rows."""
 
+import random
+import re
+import time
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from rooftally.llm.queries import QUERIES
-from rooftally.llm.toxicity import SYMBOLS, Features, Restorer, fit_logistic, score_toxicity, spaced_runs, trigram_costs, trigram_counts
+from rooftally.llm.toxicity import SYMBOLS, Features, Restorer, fit_logistic, score_toxicity, spaced_runs, trigram_costs, trigram_counts, without_edges
 
 SF = "/root/testdata/sf0.01"
 
@@ -106,3 +110,17 @@ def test_logistic():
     x = np.array([[0.0], [1.0], [2.0], [3.0]] * 50)
     w = fit_logistic(x, (x[:, 0] > 1.5).astype(float))
     assert w[0] + 1 * w[1] < 0 < w[0] + 2 * w[1]
+
+
+@pytest.mark.parametrize("token", ["x" + "-" * 1_000_000 + "x", "a" + "*" * 1_000_000 + "a", "a" + "$" * 100_000 + "1", "x" + "-$" * 100_000, "." * 1_000_000 + "x", "a." * 200_000 + "bb"])
+def test_long_tokens_take_time_in_proportion(token):
+    found, start = Features(trigram_costs(np.ones((SYMBOLS,) * 3))), time.time()
+    found.of_token(token)
+    assert time.time() - start < 20
+
+
+def test_edges_like_the_plain_pattern():
+    plain, pick = re.compile(r"^[^\w]+(?=[^\w])|(?<=[^\w])[^\w]+$"), random.Random(2)
+    for _ in range(3000):
+        token = "".join(pick.choice("a1_é$*-.") for _ in range(pick.randint(0, 7)))
+        assert without_edges(token) == plain.sub("", token), token
