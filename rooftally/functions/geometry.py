@@ -148,6 +148,35 @@ def odd_crossings(edges: Column, x: Column, y: Column) -> Column:
     return F.size(F.filter(edges, lambda e: _crosses_ray(e, x, y))) % 2 == 1
 
 
+def crosses_right(edge: Column, x: Column, y: Column) -> Column:
+    """The edge crosses the horizontal line just above the point, strictly right of it."""
+    left = (edge["x2"] - edge["x1"]) * (y - edge["y1"])
+    right = (x - edge["x1"]) * (edge["y2"] - edge["y1"])
+    return ((edge["y1"] > y) != (edge["y2"] > y)) & F.when(edge["y2"] > edge["y1"], left > right).otherwise(left < right)
+
+
+def crosses_above(edge: Column, x: Column, y: Column) -> Column:
+    """The edge, which spans the vertical line just right of the point, crosses it above the point.
+
+    Both this and ``crosses_right`` judge as if the point lay a little to the right, and far less above: so ways along the lines
+    of a grid count crossings alike whichever comes first, also where edges run along the grid or through its corners.
+    """
+    left = (edge["x2"] - edge["x1"]) * (y - edge["y1"])
+    right = (x - edge["x1"]) * (edge["y2"] - edge["y1"])
+    rises = edge["y2"] > edge["y1"]
+    return F.when(left == right, (edge["y1"] != edge["y2"]) & (rises == (edge["x2"] > edge["x1"]))).otherwise((left < right) == (edge["x2"] > edge["x1"]))
+
+
+def odd_on_the_way(edges: Column, x0: Column, y0: Column, x: Column, y: Column) -> Column:
+    """Whether the way from (x0, y0), up or down and then across to (x, y), crosses an odd number of the edges."""
+
+    def crosses(e: Column) -> Column:
+        up = ((e["x1"] > x0) != (e["x2"] > x0)) & (crosses_above(e, x0, y0) != crosses_above(e, x0, y))
+        return up != (crosses_right(e, x0, y) != crosses_right(e, x, y))
+
+    return F.size(F.filter(edges, crosses)) % 2 == 1
+
+
 def edges_cover_point(edges: Column, x: Column, y: Column) -> Column:
     """Closed point-in-polygon test: a point on the outline counts as inside."""
     return F.exists(edges, lambda e: _on_edge(e, x, y)) | odd_crossings(edges, x, y)

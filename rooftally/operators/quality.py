@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from rooftally import fixed_values as fixed
 from rooftally.functions import geometry as geo
 from rooftally.functions import kernels
+from rooftally.functions import parts as multi
 
 
 # --- projections ----------------------------------------------------------------------------------------------
@@ -86,17 +87,21 @@ def drop_invalid_geometry(df: DataFrame, rings: str = "rings") -> DataFrame:
     return df.filter(valid_geometry(F.col(rings)))
 
 
-def valid_geometry(rings: Column) -> Column:
-    """Validity test; plain rectangles are decided without leaving the JVM."""
+def valid_geometry(rings: Column, parts: Column | None = None) -> Column:
+    """Validity test, with the roles of the rings where ``parts`` are given; plain rectangles are decided without leaving the JVM."""
     box = geo.is_box(rings)
-    return box | kernels.is_valid(F.when(~box, rings))
+    return box | (kernels.is_valid(F.when(~box, rings)) if parts is None else multi.is_valid(F.when(~box, parts)))
 
 
 def flag_validity(df: DataFrame, name: str = "_valid", rings: str = "rings") -> DataFrame:
-    """``df`` with the validity of each feature, in two branches: plain rectangles never reach Python."""
+    """``df`` with the validity of each feature, in two branches: plain rectangles never reach Python.
+
+    Features with ``parts`` are judged with their roles: holes in their shell, no part within another.
+    """
     box = F.coalesce(geo.is_box(F.col(rings)), F.lit(False))
     plain = df.filter(box).withColumn(name, F.lit(True))
-    return plain.unionByName(df.filter(~box).withColumn(name, kernels.is_valid(rings)))
+    test = multi.is_valid("parts") if "parts" in df.columns else kernels.is_valid(rings)
+    return plain.unionByName(df.filter(~box).withColumn(name, test))
 
 
 def split_by_validity(df: DataFrame, rings: str = "rings") -> tuple[DataFrame, DataFrame]:
@@ -158,7 +163,8 @@ def clean_report(df: DataFrame, key: list[str] | None = None, within: list[str]
 def validity_report(df: DataFrame, by: list[str], rings: str = "rings") -> DataFrame:
     """Valid, invalid and unreadable (NULL or empty) geometries per shard."""
     present = geo.has_geometry(F.col(rings))
-    flagged = df.select(*by, present.alias("_present"), valid_geometry(F.col(rings)).alias("_valid"))
+    valid = valid_geometry(F.col(rings), F.col("parts") if "parts" in df.columns else None)
+    flagged = df.select(*by, present.alias("_present"), valid.alias("_valid"))
     return flagged.groupBy(*by).agg(
         F.count_if(F.col("_present") & F.col("_valid")).alias("valid_count"),
         F.count_if(F.col("_present") & ~F.col("_valid")).alias("invalid_count"),
@@ -194,10 +200,12 @@ def to_srid(df: DataFrame, source: int, target: int, rings: str = "rings") -> Da
     """Between degrees (4326) and web mercator metres (3857)."""
     if source == target:
         return df
-    if (source, target) == (4326, 3857):
-        return df.withColumn(rings, geo.to_mercator(F.col(rings)))
-    if (source, target) == (3857, 4326):
-        return df.withColumn(rings, geo.to_degrees(F.col(rings)))
+    moves = {(4326, 3857): geo.to_mercator, (3857, 4326): geo.to_degrees}
+    if (source, target) in moves:
+        move = moves[source, target]
+        # the parts of a geometry, where it has them, stay in step with its rings
+        kept = {"parts": F.transform("parts", move)} if "parts" in df.columns else {}
+        return df.withColumns({rings: move(F.col(rings))} | kept)
     raise ValueError(f"no transformation from {source} to {target}")
 
 

@@ -8,13 +8,14 @@ boundary against many features, and the cover of a large boundary is built by ma
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rooftally.fixed_values import WORLD_MIN_X, WORLD_MIN_Y
 from rooftally.functions import geometry as geo
 from rooftally.functions import grid
 from rooftally.functions import kernels
+from rooftally.functions import parts as multi
 from rooftally.session import has_at_most, lookup_join, stage
 
 # Cells are compared with this much slack (degrees), so that rounding can only add exact tests, never skip one.
@@ -57,57 +58,113 @@ def filter_rectangle(df: DataFrame, minx: float, miny: float, maxx: float, maxy:
 
 # --- grid -----------------------------------------------------------------------------------------------------
 
+def _edge_rows(boundaries: DataFrame, key: str, margin: Column | None = None) -> DataFrame:
+    """Edges of the distinct polygons of each boundary: ``key, _poly, _margin, e``."""
+    margin = F.lit(SLACK) if margin is None else margin + F.lit(SLACK)
+    polygons = multi.polygon_rows(boundaries.withColumn("_margin", margin), [key, "_margin"])
+    distinct = polygons.filter(geo.has_geometry(F.col("rings"))).select(key, "rings", "_margin").dropDuplicates([key, "rings"])
+    return distinct.select(key, F.xxhash64("rings").alias("_poly"), "_margin", F.explode(geo.edges_of(F.col("rings"))).alias("e"))
+
+
+def _cell_corner(size: float) -> tuple[Column, Column]:
+    return F.col("cell_i") * F.lit(float(size)) + F.lit(float(WORLD_MIN_X)), F.col("cell_j") * F.lit(float(size)) + F.lit(float(WORLD_MIN_Y))
+
+
+def _crossed_cells(edges: DataFrame, size: float) -> DataFrame:
+    """One row per edge and cell it comes within the margin of: ``edges`` with ``cell_i, cell_j``."""
+    e, margin = F.col("e"), F.col("_margin")
+    low, high = F.least("e.y1", "e.y2"), F.greatest("e.y1", "e.y2")
+    rows = edges.withColumn("cell_j", F.explode(F.sequence(grid.join_cell(low - margin, WORLD_MIN_Y, size), grid.join_cell(high + margin, WORLD_MIN_Y, size))))
+    bottom = F.col("cell_j") * F.lit(float(size)) + F.lit(float(WORLD_MIN_Y))
+
+    def at(y: Column) -> Column:
+        """Where the edge is at a height, kept within its own range."""
+        held = F.greatest(low, F.least(high, y))
+        there = e["x1"] + (held - e["y1"]) * ((e["x2"] - e["x1"]) / F.nullif(e["y2"] - e["y1"], F.lit(0.0)))
+        return F.greatest(F.least(e["x1"], e["x2"]), F.least(F.greatest(e["x1"], e["x2"]), there))
+
+    ends = [at(bottom - margin), at(bottom + F.lit(float(size)) + margin)]
+    flat = e["y1"] == e["y2"]
+    # the division above is right to some bits of the largest coordinate
+    slack = margin + F.greatest(F.abs(e["x1"]), F.abs(e["x2"])) * 1e-12
+    first = F.when(flat, F.least(e["x1"], e["x2"])).otherwise(F.least(*ends)) - slack
+    last = F.when(flat, F.greatest(e["x1"], e["x2"])).otherwise(F.greatest(*ends)) + slack
+    cells = rows.withColumn("cell_i", F.explode(F.sequence(grid.join_cell(first, WORLD_MIN_X, size), grid.join_cell(last, WORLD_MIN_X, size))))
+    x, y = _cell_corner(size)
+    return cells.filter(geo.edge_meets_box(e, x - margin, y - margin, x + F.lit(float(size)) + margin, y + F.lit(float(size)) + margin))
+
+
+def _corners_inside(edges: DataFrame, size: float, key: str) -> DataFrame:
+    """Cells whose lower left corner a polygon holds: ``key, _poly, cell_i, cell_j``.
+
+    An edge that crosses the lower line of a row of cells flips all corners left of the crossing. Crossings are counted per
+    cell; between an odd and the next one along the line lie the corners inside. Only crossings and covered cells become rows.
+    """
+    e = F.col("e")
+    rows = edges.withColumn("cell_j", F.explode(F.sequence(grid.join_cell(F.least("e.y1", "e.y2"), WORLD_MIN_Y, size), grid.join_cell(F.greatest("e.y1", "e.y2"), WORLD_MIN_Y, size) + 1)))
+    line = F.col("cell_j") * F.lit(float(size)) + F.lit(float(WORLD_MIN_Y))
+    crossing = rows.filter((e["y1"] > line) != (e["y2"] > line))
+    near = grid.join_cell(e["x1"] + (line - e["y1"]) * ((e["x2"] - e["x1"]) / (e["y2"] - e["y1"])), WORLD_MIN_X, size)
+
+    def left_of_it(i: Column) -> Column:
+        return geo.crosses_right(e, i * F.lit(float(size)) + F.lit(float(WORLD_MIN_X)), line)
+
+    # the last corner left of the crossing, by the test that points get too: the division may be a cell off
+    last = F.when(left_of_it(near + 1), near + 1).when(left_of_it(near), near).otherwise(near - 1)
+    odd = crossing.select(key, "_poly", "cell_j", last.alias("_last")).groupBy(key, "_poly", "cell_j", "_last").agg(F.count(F.lit(1)).alias("_n")).filter("_n % 2 = 1")
+    along = Window.partitionBy(key, "_poly", "cell_j").orderBy(F.desc("_last"))
+    spans = odd.withColumns({"_k": F.row_number().over(along), "_before": F.lead("_last").over(along)}).filter("_k % 2 = 1 AND _before IS NOT NULL")
+    return spans.select(key, "_poly", F.explode(F.sequence(F.col("_before") + 1, F.col("_last"))).alias("cell_i"), "cell_j")
+
+
 def boundary_to_grid(boundaries: DataFrame, size: float, key: str = "boundary_id") -> DataFrame:
-    """Canonical grid cells that meet each boundary (``key, rings``), touching included.
+    """Canonical grid cells that meet each boundary (``key`` and ``rings`` or ``parts``), touching included.
 
-    Candidates run from the cell of the lower edge to the last cell the upper edge reaches into. Rows and
-    columns are exploded in two steps with a redistribution between, so that a world-size boundary is spread
-    over all tasks; edges are matched to grid rows first, and a cell only looks at the edges of its row.
+    Candidates run from the cell of the lower edge to the last cell the upper edge reaches into. An edge becomes a row per cell that it
+    crosses, the cells between come from the crossings along each row of cells, so rows grow with the edges and the cells found.
     """
-    spread = int(boundaries.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    distinct = boundaries.filter(geo.has_geometry(F.col("rings"))).select(key, "rings").dropDuplicates([key, "rings"])
-    measured = with_bounds(distinct)
+    edges = _edge_rows(boundaries, key)
     # several polygons may share a key: they form one dissolved boundary
-    extent = measured.groupBy(key).agg(
-        F.min("minx").alias("minx"), F.min("miny").alias("miny"), F.max("maxx").alias("maxx"), F.max("maxy").alias("maxy")
+    extent = edges.groupBy(key).agg(
+        F.min(F.least("e.x1", "e.x2")).alias("minx"), F.min(F.least("e.y1", "e.y2")).alias("miny"), F.max(F.greatest("e.x1", "e.x2")).alias("maxx"), F.max(F.greatest("e.y1", "e.y2")).alias("maxy")
     )
     i0, i1, j0, j1 = grid.cell_ranges(*box_columns().values(), size=size)
-    rows = (
-        extent.select(key, i0.alias("i0"), i1.alias("i1"), F.explode(grid.index_sequence(j0, j1)).alias("grid_j"))
-        .repartition(spread, key, "grid_j")
-    )
-    part = measured.withColumn("_poly", F.xxhash64("rings")).select(
-        key, "_poly", F.explode(geo.edges_of(F.col("rings"))).alias("e")
-    )
-    low, high = F.least("e.y1", "e.y2") - SLACK, F.greatest("e.y1", "e.y2") + SLACK
-    banded = (
-        part.withColumn(
-            "grid_j",
-            F.explode(F.sequence(grid.join_cell(low, WORLD_MIN_Y, size), grid.join_cell(high, WORLD_MIN_Y, size))),
-        )
-        .groupBy(key, "grid_j", "_poly")
-        .agg(F.collect_list("e").alias("edges"))
-        .groupBy(key, "grid_j")
-        .agg(F.collect_list("edges").alias("polygons"))
-    )
-    cells = rows.join(banded, [key, "grid_j"]).withColumn(
-        "grid_i", F.explode(grid.index_sequence(F.col("i0"), F.col("i1")))
-    )
+    extent = extent.select(key, i0.alias("i0"), i1.alias("i1"), j0.alias("j0"), j1.alias("j1"))
+    bounds = grid.cell_bounds(F.col("cell_i"), F.col("cell_j"), size)
+    on_outline = _crossed_cells(edges, size).filter(geo.edge_meets_box(F.col("e"), *bounds.values())).select(key, "cell_i", "cell_j")
+    found = on_outline.unionByName(_corners_inside(edges, size, key).select(key, "cell_i", "cell_j")).distinct()
+    held = lookup_join(found, extent, [key]).filter("cell_i BETWEEN i0 AND i1 AND cell_j BETWEEN j0 AND j1")
+    cells = held.select(key, F.col("cell_i").alias("grid_i"), F.col("cell_j").alias("grid_j"))
     bounds = grid.cell_bounds(F.col("grid_i"), F.col("grid_j"), size)
-    cells = cells.select(key, "grid_i", "grid_j", *[c.alias(n) for n, c in bounds.items()], "polygons")
-    box = list(box_columns().values())
-    meets = F.exists(
-        "polygons",
-        lambda edges: F.exists(edges, lambda e: geo.edge_meets_box(e, *box)) | geo.odd_crossings(edges, box[0], box[1]),
+    return cells.select(
+        key, grid.grid_id(F.col("grid_i"), F.col("grid_j"), size).alias("grid_id"),
+        "grid_i", "grid_j", F.lit(float(size)).alias("grid_size"), *[c.alias(n) for n, c in bounds.items()],
     )
-    return cells.filter(meets).select(
-        key,
-        grid.grid_id(F.col("grid_i"), F.col("grid_j"), size).alias("grid_id"),
-        "grid_i", "grid_j", F.lit(float(size)).alias("grid_size"), *box_columns().values(),
+
+
+def cover_cells(boundaries: DataFrame, size: float, key: str = "boundary_id", grow: Column | None = None) -> DataFrame:
+    """Join cells of each boundary polygon: ``key, _poly, cell_i, cell_j, corner_inside, edges``.
+
+    ``edges`` are those that meet the cell (with ``grow``, degrees: that come so near). A point of the cell is inside if its lower
+    left corner is, unless the way there crosses an odd number of them. A cell without an edge lies fully inside (``edges`` NULL).
+    """
+    edges = _edge_rows(boundaries, key, grow)
+    met = _crossed_cells(edges, size).select(key, "_poly", "cell_i", "cell_j", F.lit(False).alias("corner_inside"), "e")
+    inside = _corners_inside(edges, size, key).select(key, "_poly", "cell_i", "cell_j", F.lit(True).alias("corner_inside"), F.lit(None).cast(geo.EDGE).alias("e"))
+    cells = met.unionByName(inside).groupBy(key, "_poly", "cell_i", "cell_j").agg(F.max("corner_inside").alias("corner_inside"), F.collect_list("e").alias("edges"))
+    return cells.withColumn("edges", F.when(F.size("edges") > 0, F.col("edges")))
+
+
+def _covers(polygons: Column, x: Column, y: Column, size: float) -> Column:
+    """Whether one of the polygons of a cell (``corner_inside``, ``edges``) covers a point of it, outline included."""
+    left, bottom = _cell_corner(size)
+    return F.exists(
+        polygons,
+        lambda p: F.exists(p["edges"], lambda e: geo._on_edge(e, x, y)) | (p["corner_inside"] != geo.odd_on_the_way(p["edges"], left, bottom, x, y)),
     )
 
 
-def cover_cells(
+def _row_cover(
     boundaries: DataFrame, size: float, key: str = "boundary_id", grow: Column | None = None, edges_everywhere: bool = False
 ) -> DataFrame:
     """Join cells of each boundary polygon: ``key, cell_i, cell_j, fully_inside, edges``.
@@ -165,12 +222,19 @@ def cover_cells(
 
 # --- point in polygon -----------------------------------------------------------------------------------------
 
+def _by_cell(cover: DataFrame, *keys: str) -> DataFrame:
+    """The polygons of a boundary in one cell: whether one covers all of it, and those that have an edge in it."""
+    partly = F.when(F.col("edges").isNotNull(), F.struct("corner_inside", "edges"))
+    return cover.groupBy(*keys, "cell_i", "cell_j").agg(F.max(F.col("edges").isNull()).alias("fully_inside"), F.collect_list(partly).alias("polygons"))
+
+
 def assign_to_boundary(
     features: DataFrame, boundaries: DataFrame, size: float = 0.25, key: str = "boundary_id", x: str = "rep_x", y: str = "rep_y"
 ) -> DataFrame:
     """Features whose representative point a boundary covers, outline included; features are never cut.
 
-    One row per feature and boundary. A boundary may consist of several polygons (rows with the same key).
+    One row per feature and boundary. A boundary may consist of several polygons: rows with the same key, or ``parts`` of one row, which
+    may overlap.
     """
     located = features.withColumns(
         {
@@ -179,14 +243,8 @@ def assign_to_boundary(
         }
     )
     # polygons of one boundary that share a cell are tested together, so overlaps do not repeat a feature
-    cover = (
-        cover_cells(boundaries, size, key)
-        .groupBy(key, "cell_i", "cell_j")
-        .agg(F.max("fully_inside").alias("fully_inside"), F.collect_list("edges").alias("polygons"))
-    )
-    inside = F.col("fully_inside") | F.exists(
-        "polygons", lambda edges: geo.edges_cover_point(edges, F.col(x), F.col(y))
-    )
+    cover = _by_cell(cover_cells(boundaries, size, key), key)
+    inside = F.col("fully_inside") | _covers(F.col("polygons"), F.col(x), F.col(y), size)
     joined = lookup_join(located, stage(cover), ["cell_i", "cell_j"], condition=inside)
     return joined.drop("cell_i", "cell_j", "fully_inside", "polygons")
 
@@ -204,6 +262,7 @@ def assign_with_buffer(
         raise ValueError("buffer_m must not be negative")
     if buffer_m == 0:
         return assign_to_boundary(features, boundaries, size, key, x, y)
+    boundaries = multi.polygon_rows(boundaries, [key])
     measured = with_bounds(boundaries.filter(geo.has_geometry(F.col("rings"))).select(key, "rings"))
     zones = measured.groupBy(key).agg(
         geo.utm_zone((F.min("minx") + F.max("maxx")) / 2).alias("_zone"),
@@ -214,9 +273,7 @@ def assign_with_buffer(
     grown = boundaries.join(zones, key).withColumn("_grow", degrees)
     cover = cover_cells(grown.select(key, "rings", "_grow"), size, key, grow=F.col("_grow"))
     cover = lookup_join(cover, zones.select(key, "_zone"), [key])
-    cover = cover.groupBy(key, "_zone", "cell_i", "cell_j").agg(
-        F.max("fully_inside").alias("fully_inside"), F.collect_list("edges").alias("polygons")
-    )
+    cover = _by_cell(cover, key, "_zone")
     located = features.withColumns(
         {
             "cell_i": grid.join_cell(F.col(x), WORLD_MIN_X, size),
@@ -233,9 +290,9 @@ def assign_with_buffer(
 
         return geo.let(geo.utm_point(edge["x1"], edge["y1"], F.col("_zone")), ends)
 
-    cover = stage(cover.withColumn("_metric", F.flatten(F.transform("polygons", lambda edges: F.transform(edges, projected)))))
+    cover = stage(cover.withColumn("_metric", F.flatten(F.transform("polygons", lambda p: F.transform(p["edges"], projected)))))
     joined = lookup_join(located, cover, ["cell_i", "cell_j"])
-    inside = F.exists("polygons", lambda edges: geo.edges_cover_point(edges, F.col(x), F.col(y)))
+    inside = _covers(F.col("polygons"), F.col(x), F.col(y), size)
     near = geo.let(
         geo.utm_point(F.col(x), F.col(y), F.col("_zone")),
         lambda p: F.exists("_metric", lambda e: geo.edge_distance(e, p["x"], p["y"]) <= F.lit(float(buffer_m))),
@@ -257,7 +314,7 @@ def _needed(edges: Column) -> Column:
 
 
 def _with_mask_parts(features: DataFrame, masks: DataFrame, size: float, feature_key: str) -> DataFrame:
-    """Features near the mask with ``parts``: the mask edges around them, one array per mask polygon, and ``part_rows``.
+    """Features near the mask with ``_parts``: the mask edges around them, one array per mask polygon, and ``part_rows``.
 
     ``part_rows`` holds the rows of cells whose edges each part knows; in all other rows of the feature the polygon
     covers nothing, whatever edges reach there from the known ones.
@@ -265,7 +322,7 @@ def _with_mask_parts(features: DataFrame, masks: DataFrame, size: float, feature
     Nearly all features lie in one cell and get the parts of that cell by a plain join. Only those that span
     several cells are copied per cell and grouped again by their key.
     """
-    cover = cover_cells(masks.withColumn("_mask", F.lit(0)), size, "_mask", edges_everywhere=True)
+    cover = _row_cover(multi.polygon_rows(masks).withColumn("_mask", F.lit(0)), size, "_mask", edges_everywhere=True)
     by_cell = stage(
         cover.groupBy("cell_i", "cell_j").agg(F.collect_list(F.struct("_poly", "edges")).alias("_found"))
     )
@@ -279,7 +336,7 @@ def _with_mask_parts(features: DataFrame, masks: DataFrame, size: float, feature
     helpers = ["cell_i", "cell_j", "_i1", "_j1", "_found"]
     single = lookup_join(spans.filter(one_cell), by_cell, ["cell_i", "cell_j"])
     own_row = F.transform("_found", lambda p: F.array("cell_j"))
-    single = single.withColumns({"parts": F.transform("_found", lambda p: p["edges"]), "part_rows": own_row}).drop(*helpers)
+    single = single.withColumns({"_parts": F.transform("_found", lambda p: p["edges"]), "part_rows": own_row}).drop(*helpers)
     spread = spans.filter(~one_cell).withColumn("cell_j", F.explode(F.sequence("cell_j", "_j1")))
     spread = spread.withColumn("cell_i", F.explode(F.sequence("cell_i", "_i1")))
     hit = lookup_join(spread, by_cell, ["cell_i", "cell_j"])
@@ -297,20 +354,20 @@ def _with_mask_parts(features: DataFrame, masks: DataFrame, size: float, feature
         return F.array_distinct(F.transform(F.filter("_found", lambda p: p["_poly"] == polygon), lambda p: p["row"]))
 
     polygons = F.array_distinct(F.transform("_found", lambda p: p["_poly"]))
-    parts = {"parts": F.transform(polygons, edges_of_polygon), "part_rows": F.transform(polygons, rows_of_polygon)}
-    several = gathered.select(feature_key, "_row.*", *[c.alias(n) for n, c in parts.items()])
+    found = {"_parts": F.transform(polygons, edges_of_polygon), "part_rows": F.transform(polygons, rows_of_polygon)}
+    several = gathered.select(feature_key, "_row.*", *[c.alias(n) for n, c in found.items()])
     return single.unionByName(several)
 
 
 def clip(features: DataFrame, masks: DataFrame, size: float = 0.25, feature_key: str = "feature_id") -> DataFrame:
     """Features that meet the dissolved mask, with their geometry cut down to the common part.
 
-    ``features``: unique ``feature_key``, ``rings`` and attributes; ``masks``: ``rings``, one row per polygon, in
-    the same reference system. Every feature comes out at most once; pure line or point contacts are kept, with
+    ``features``: unique ``feature_key``, ``rings`` and attributes; ``masks``: ``rings``, one row per polygon, or
+    ``parts``, in the same reference system. Every feature comes out at most once; pure line or point contacts are kept, with
     ``geom_type`` saying so. Only features that a mask edge really reaches go through the overlay kernel; the
     others are wholly inside or wholly outside, which one point decides.
     """
-    bounded = with_bounds(features.filter(geo.has_geometry(F.col("rings"))))
+    bounded = with_bounds(features.drop("parts").filter(geo.has_geometry(F.col("rings"))))
     near = _with_mask_parts(bounded, masks, size, feature_key)
     box = [F.col("minx") - SLACK, F.col("miny") - SLACK, F.col("maxx") + SLACK, F.col("maxy") + SLACK]
     first = F.get(F.get("rings", F.lit(0)), F.lit(0))
@@ -320,12 +377,12 @@ def clip(features: DataFrame, masks: DataFrame, size: float = 0.25, feature_key:
         known = F.zip_with(parts, "part_rows", lambda edges, rows: F.struct(edges.alias("edges"), rows.alias("rows")))
         row = grid.join_cell(first["y"], WORLD_MIN_Y, size)
         inside = F.exists(known, lambda p: F.array_contains(p["rows"], row) & geo.odd_crossings(p["edges"], first["x"], first["y"]))
-        return F.struct(parts.alias("parts"), reached.alias("_reached"), inside.alias("_inside"))
+        return F.struct(parts.alias("_parts"), reached.alias("_reached"), inside.alias("_inside"))
 
-    examined = once(near, geo.let(F.transform("parts", _needed), examine), drop=["parts"])
+    examined = once(near, geo.let(F.transform("_parts", _needed), examine), drop=["_parts"])
     kept = examined.filter("_reached or _inside")
     spans = F.transform("part_rows", lambda rows: F.transform(rows, lambda j: F.struct((j * size + WORLD_MIN_Y).alias("low"), ((j + 1) * size + WORLD_MIN_Y).alias("high"))))
-    asked = [F.when(F.col("_reached"), c) for c in (F.col("rings"), F.col("parts"), spans)]
+    asked = [F.when(F.col("_reached"), c) for c in (F.col("rings"), F.col("_parts"), spans)]
     cut = kept.withColumn("_cut", kernels.common_part(*asked)).filter("not _reached or _cut.geom_type is not null")
     result = cut.withColumns(
         {
@@ -333,7 +390,7 @@ def clip(features: DataFrame, masks: DataFrame, size: float = 0.25, feature_key:
             "geom_type": F.when(F.col("_reached"), F.col("_cut.geom_type")).otherwise(F.lit("POLYGON")),
         }
     )
-    return with_bounds(result.drop("parts", "part_rows", "_reached", "_inside", "_cut"))
+    return with_bounds(result.drop("_parts", "part_rows", "_reached", "_inside", "_cut"))
 
 
 def clip_boxes(features: DataFrame, minx: float, miny: float, maxx: float, maxy: float) -> DataFrame:

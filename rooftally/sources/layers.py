@@ -12,27 +12,19 @@ from pyspark.sql import functions as F
 
 from rooftally import schemas
 from rooftally.functions import geometry as geo
-from rooftally.functions import kernels, text
-from rooftally.functions.kernels import rings_to_arrow
+from rooftally.functions import parts as multi
+from rooftally.functions import text
+from rooftally.functions.parts import parts_to_arrow, shells_with_holes
 from rooftally.operators.quality import to_srid
 from rooftally.sources.files import list_files, open_file
 
 
 # --- GeoJSON --------------------------------------------------------------------------------------------------
 
-def _geojson_rings(geometry: str):
-    """Rings of a Polygon or MultiPolygon from the coordinates text; NULL for other kinds."""
-    kind, coordinates = F.col(f"{geometry}.type"), F.col(f"{geometry}.coordinates")
-    one = F.from_json(coordinates, "array<array<array<double>>>")
-    many = F.flatten(F.from_json(coordinates, "array<array<array<array<double>>>>"))
-    rings = F.when(kind == "Polygon", one).when(kind == "MultiPolygon", many)
-    return F.transform(
-        rings, lambda ring: F.transform(ring, lambda p: geo.point(F.get(p, F.lit(0)), F.get(p, F.lit(1))))
-    )
-
-
 def read_geojson_features(spark: SparkSession, path: str, lines: bool = False, properties: dict[str, str] | None = None) -> DataFrame:
-    """One row per feature: ``feature_id, properties`` (map, or the given typed columns), ``geom_type, rings, srid``.
+    """One row per feature: ``feature_id, properties`` (map, or the given typed columns), ``geom_type, rings, parts, srid``.
+
+    ``parts`` keeps what belongs together: each polygon's shell and holes; ``rings`` are all of them.
 
     Collections are read one document per task; with ``lines`` the input is one feature per line and splits
     freely. ``matched`` repeats the collection's total, which may exceed the features it holds.
@@ -44,8 +36,9 @@ def read_geojson_features(spark: SparkSession, path: str, lines: bool = False, p
         documents = spark.read.schema(schemas.FEATURE_COLLECTION).json(path, multiLine=True)
         features = documents.select(F.col("numberMatched").alias("matched"), F.explode("features").alias("f"))
     flat = features.select("matched", F.col("f.id").alias("feature_id"), "f.properties", "f.geometry")
-    shaped = flat.select(
-        "feature_id", "properties", F.col("geometry.type").alias("geom_type"), _geojson_rings("geometry").alias("rings"),
+    parted = flat.withColumn("parts", multi.from_geojson(F.col("geometry.type"), F.col("geometry.coordinates")))
+    shaped = parted.select(
+        "feature_id", "properties", F.col("geometry.type").alias("geom_type"), multi.flat(F.col("parts")).alias("rings"), "parts",
         F.lit(4326).alias("srid"), "matched",
     )
     return shaped if properties is None else typed(shaped, "properties", properties)
@@ -58,13 +51,15 @@ def typed(df: DataFrame, attributes: str, columns: dict[str, str]) -> DataFrame:
 
 
 def read_boundary(spark: SparkSession, path: str, boundary_id: str = "boundary", srid: int | None = None) -> DataFrame:
-    """Boundary polygons in degrees: GeoJSON, or a Parquet table with ``wkb`` or ``rings``."""
+    """Boundary polygons in degrees, a row per part: GeoJSON, or a Parquet table with ``wkb``, ``wkt``, ``parts`` or ``rings``."""
     if path.rstrip("/").endswith((".json", ".geojson")):
-        rows = read_geojson_features(spark, path).select("rings")
+        rows = read_geojson_features(spark, path).select("parts")
     else:
         table = spark.read.parquet(path)
-        rows = table.select(kernels.from_wkb("wkb").alias("rings")) if "wkb" in table.columns else table.select("rings")
-    return to_srid(rows.filter(geo.has_geometry(F.col("rings"))), srid or 4326, 4326).select(F.lit(boundary_id).alias("boundary_id"), "rings")
+        readers = {"wkb": multi.from_wkb("wkb"), "wkt": multi.from_wkt(F.col("wkt")), "parts": F.col("parts"), "rings": multi.single(F.col("rings"))}
+        rows = table.select(next(reader for name, reader in readers.items() if name in table.columns).alias("parts"))
+    polygons = multi.polygon_rows(rows).filter(geo.has_geometry(F.col("rings")))
+    return to_srid(polygons, srid or 4326, 4326).select(F.lit(boundary_id).alias("boundary_id"), "rings")
 
 
 # --- tables ---------------------------------------------------------------------------------------------------
@@ -85,17 +80,21 @@ def load_admin_layer(spark: SparkSession, folder: str, level: int) -> DataFrame
 # --- shapefiles -----------------------------------------------------------------------------------------------
 
 SHAPE_KINDS = {1: "POINT", 11: "POINT", 21: "POINT", 3: "LINESTRING", 13: "LINESTRING", 23: "LINESTRING", 5: "POLYGON", 15: "POLYGON", 25: "POLYGON"}
-SHAPE_SCHEMA = f"path string, record_no long, geom_type string, rings array<array<{schemas.POINT}>>, attributes map<string,string>"
+SHAPE_SCHEMA = f"path string, record_no long, geom_type string, parts {multi.PARTS}, attributes map<string,string>"
 
 
 def shard_table(spark: SparkSession, root: str, pattern: str = "*") -> DataFrame:
-    """Shapefiles below ``root``: ``path`` (without suffix), ``records`` from the index size, component sizes."""
+    """Shapefiles below ``root``: ``path`` (without suffix), ``records`` from the index size, size and own path of each component.
+
+    Components belong together whatever the case of their suffix.
+    """
     files = list_files(spark, root, pattern)
     parts = files.select(
-        F.regexp_replace("path", r"\.[^./\\]*$", "").alias("path"), text.file_suffix(F.col("path")).alias("suffix"), "size"
+        F.regexp_replace("path", r"\.[^./\\]*$", "").alias("path"), text.file_suffix(F.col("path")).alias("suffix"), "size", F.col("path").alias("file")
     )
     shards = parts.groupBy("path").agg(
-        *[F.max(F.when(F.col("suffix") == s, F.col("size"))).alias(s[1:] + "_bytes") for s in (".shp", ".shx", ".dbf", ".prj")]
+        *[F.max(F.when(F.col("suffix") == s, F.col("size"))).alias(s[1:] + "_bytes") for s in (".shp", ".shx", ".dbf", ".prj")],
+        *[F.max(F.when(F.col("suffix") == s, F.col("file"))).alias(s[1:] + "_path") for s in (".shp", ".shx", ".dbf")],
     )
     return shards.filter("shp_bytes is not null").withColumn("records", F.floor((F.col("shx_bytes") - 100) / 8))
 
@@ -124,41 +123,45 @@ def verify_output(stats: DataFrame) -> DataFrame:
 
 
 def read_shapefiles(spark: SparkSession, root: str, pattern: str = "*", records_per_task: int = 20_000) -> DataFrame:
-    """Features of all shapefiles below ``root``: ``path, record_no, geom_type, rings, attributes``.
+    """Features of all shapefiles below ``root``: ``path, record_no, geom_type, rings, parts, attributes``.
+
+    Clockwise rings are shells, the others holes of the shell around them, so ``parts`` keeps what belongs together.
 
     Files are cut by record ranges (the ``.shx`` gives the byte range of each record, ``.dbf`` rows have a fixed
     length), so a large file is read by many tasks and none holds a whole file.
     """
-    shards = shard_table(spark, root, pattern).filter("records > 0")
+    shards = shard_table(spark, root, pattern).filter("records > 0 AND shx_path IS NOT NULL")
     step = F.lit(records_per_task).cast("long")
-    ranges = shards.select("path", "records", F.explode(F.sequence(F.lit(0).cast("long"), F.col("records") - 1, step)).alias("first"))
+    files = ["path", "shp_path", "shx_path", "dbf_path"]
+    ranges = shards.select(*files, "records", F.explode(F.sequence(F.lit(0).cast("long"), F.col("records") - 1, step)).alias("first"))
     ranges = ranges.withColumn("last", F.least("records", F.col("first") + step)).drop("records")
     spread = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return ranges.repartition(spread, "path", "first").mapInArrow(_read_ranges, SHAPE_SCHEMA)
+    read = ranges.repartition(spread, "path", "first").mapInArrow(_read_ranges, SHAPE_SCHEMA)
+    return read.select("path", "record_no", "geom_type", multi.flat(F.col("parts")).alias("rings"), "parts", "attributes")
 
 
 def _read_ranges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for row in batch.to_pylist():
-            kinds, shapes = _read_shapes(row["path"], row["first"], row["last"])
-            keep, attributes = _read_attributes(row["path"], row["first"], row["last"])
+            kinds, shapes = _read_shapes(row["shx_path"], row["shp_path"], row["first"], row["last"])
+            keep, attributes = _read_attributes(row["dbf_path"], row["first"], row["last"])
             numbers = np.arange(row["first"], row["last"])
             chosen = np.flatnonzero(keep)
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array([row["path"]] * len(chosen)), pa.array(numbers[chosen], pa.int64()),
-                    pa.array([kinds[i] for i in chosen], pa.string()), rings_to_arrow([shapes[i] for i in chosen]),
+                    pa.array([kinds[i] for i in chosen], pa.string()), parts_to_arrow([shapes[i] for i in chosen]),
                     pa.array([list(attributes[i].items()) for i in chosen], pa.map_(pa.string(), pa.string())),
                 ],
-                names=["path", "record_no", "geom_type", "rings", "attributes"],
+                names=["path", "record_no", "geom_type", "parts", "attributes"],
             )
 
 
-def _read_shapes(stem: str, first: int, last: int) -> tuple[list[str | None], list[list[np.ndarray] | None]]:
-    with open_file(stem + ".shx") as handle:
+def _read_shapes(index_path: str, shape_path: str, first: int, last: int) -> tuple[list[str | None], list[list[list[np.ndarray]] | None]]:
+    with open_file(index_path) as handle:
         index = np.frombuffer(handle.read_at((last - first) * 8, 100 + first * 8), ">i4").reshape(-1, 2).astype(np.int64) * 2
     start, stop = int(index[:, 0].min()), int((index[:, 0] + index[:, 1]).max()) + 8
-    with open_file(stem + ".shp") as handle:
+    with open_file(shape_path) as handle:
         data = handle.read_at(stop - start, start)
     kinds, shapes = [], []
     for at in index[:, 0] - start + 8:
@@ -167,24 +170,23 @@ def _read_shapes(stem: str, first: int, last: int) -> tuple[list[str | None], li
         if name is None:
             shape = None
         elif name == "POINT":
-            shape = [np.frombuffer(data, "<f8", 2, at + 4).reshape(1, 2)]
+            shape = [[np.frombuffer(data, "<f8", 2, at + 4).reshape(1, 2)]]
         else:
             parts, points = np.frombuffer(data, "<i4", 2, at + 36)
             bounds = [*np.frombuffer(data, "<i4", parts, at + 44), points]
             flat = np.frombuffer(data, "<f8", 2 * points, at + 44 + 4 * parts).reshape(-1, 2)
-            shape = [flat[a:b] for a, b in zip(bounds, bounds[1:])]
+            rings = [flat[a:b] for a, b in zip(bounds, bounds[1:])]
+            shape = shells_with_holes(rings) if name == "POLYGON" else [[line] for line in rings]
         kinds.append(name)
         shapes.append(shape)
     return kinds, shapes
 
 
-def _read_attributes(stem: str, first: int, last: int) -> tuple[np.ndarray, list[dict[str, str | None]]]:
+def _read_attributes(path: str | None, first: int, last: int) -> tuple[np.ndarray, list[dict[str, str | None]]]:
     """(rows that are not marked deleted, texts per field) from the fixed-length table."""
-    try:
-        handle = open_file(stem + ".dbf")
-    except FileNotFoundError:
+    if path is None:
         return np.ones(last - first, bool), [{} for _ in range(first, last)]
-    with handle:
+    with open_file(path) as handle:
         head = handle.read_at(32, 0)
         head_length, row_length = (int(v) for v in np.frombuffer(head, "<u2", 2, 8))
         fields = handle.read_at(head_length - 32, 32)
