@@ -112,18 +112,20 @@ def greedy(chunks, minimum, maximum, reach, ratio):
         work = [w for k, w in enumerate(work) if k not in (i, j)] + [joined]
 
 
-def test_merge_small_chunks_equals_greedy(spark):
-    rng = random.Random(9)
+@pytest.mark.parametrize("bound, seed, layers, most", [(5_000, 9, 6, 25), (12, 9, 3, 25), (3, 5, 1, 9)])
+def test_merge_small_chunks_equals_greedy(spark, bound, seed, layers, most):
+    """Also where datasets are taken apart by what can depend on each other, by distance, and by single best pairs."""
+    rng = random.Random(seed)
     rows, want = [], set()
-    for d in range(6):
+    for d in range(layers):
         chunks = []
-        for k in range(rng.randint(2, 25)):
+        for k in range(rng.randint(2, most)):
             x, y = rng.randint(0, 20) * 0.5, rng.randint(0, 20) * 0.5
             chunks.append((f"{k:03d}", rng.randint(5, 120), (x, y, x + rng.randint(1, 4) * 0.5, y + rng.randint(1, 4) * 0.5)))
         rows += [(f"d{d}", name, n, *b) for name, n, b in chunks]
         want |= {(f"d{d}", g) for g in greedy(chunks, 50, 130, 0.5, 1.25)}
     df = spark.createDataFrame(rows, "dataset string, node string, n int, minx double, miny double, maxx double, maxy double")
-    out = tiling.merge_small_chunks(df, 50, 130, 0.5, 1.25).toPandas()
+    out = tiling.merge_small_chunks(df, 50, 130, 0.5, 1.25, bound=bound).toPandas()
     assert isinstance(out, pd.DataFrame)
     got = {(d, frozenset(g["node"])) for (d, _), g in out.groupby(["dataset", "merged"])}
     assert got == want
