@@ -11,19 +11,23 @@ from rooftally.plans import build, publish
 from rooftally.operators import index
 from rooftally.queries.registry import query
 from rooftally.queries.spatial import MERCATOR_Y, buildings
-from rooftally.queries.tiling import ROUNDS, TARGET, quadtree_sql
+from rooftally.queries.tiling import ROUNDS, TARGET, merge_sql, quadtree_sql
 from rooftally.session import with_position
 
-METRIC = f"""WITH metric AS (SELECT *, 6378137*radians(x0) AS a, {MERCATOR_Y.format('y0')} AS b, 6378137*radians(x0+w) AS c, {MERCATOR_Y.format('(y0+h)')} AS d,
+METRIC = f"""WITH RECURSIVE metric AS (SELECT *, 6378137*radians(x0) AS a, {MERCATOR_Y.format('y0')} AS b, 6378137*radians(x0+w) AS c, {MERCATOR_Y.format('(y0+h)')} AS d,
                    row_number() OVER (ORDER BY id, height NULLS LAST, source NULLS LAST) AS row_id FROM bld),
              located AS (SELECT *, (a+c)/2 AS px, (b+d)/2 AS py, '' AS node, true AS live FROM metric),"""
 # same rounds as the quadtree query, on the metric representative points
 TREE = METRIC + quadtree_sql("source")[len("WITH "):].replace(
     "t0 AS (SELECT *, x0+w/2 AS px, y0+h/2 AS py, '' AS node, true AS live FROM bld)", "t0 AS (SELECT * FROM located)"
 )
-NAMED = f""", boxes AS (SELECT source, node, min(a) AS minx, min(b) AS miny, max(c) AS maxx, max(d) AS maxy, min(row_id) AS first FROM t{ROUNDS} GROUP BY 1, 2),
-    ranked AS (SELECT *, row_number() OVER (PARTITION BY source ORDER BY miny, minx, maxy, maxx, first) AS k, count(*) OVER (PARTITION BY source) AS chunks FROM boxes),
-    names AS (SELECT source, node, CASE WHEN chunks=1 THEN source ELSE concat(source, '_001_', lpad(CAST(k AS VARCHAR), 3, '0')) END AS chunk_name FROM ranked),
+# sizes at which chunks are merged, in buildings, and how near they have to be, in metres
+LIMITS = {"minimum": 1300, "maximum": 4000, "distance": 500.0, "ratio": 1.25}
+NAMED = f""", leaves AS (SELECT source, node, count(*) AS n, min(a) AS minx, min(b) AS miny, max(c) AS maxx, max(d) AS maxy, min(row_id) AS first FROM t{ROUNDS} GROUP BY 1, 2),
+    {merge_sql("leaves", *LIMITS.values())},
+    boxes AS (SELECT source, merged, count(*) AS parts, min(minx) AS minx, min(miny) AS miny, max(maxx) AS maxx, max(maxy) AS maxy, min(first) AS first FROM leaves JOIN g USING (source, node) GROUP BY 1, 2),
+    ranked AS (SELECT *, row_number() OVER (PARTITION BY source ORDER BY miny, minx, maxy, maxx, first) AS k, sum(parts) OVER (PARTITION BY source) AS chunks FROM boxes),
+    names AS (SELECT source, node, CASE WHEN chunks=1 THEN source ELSE concat(source, '_001_', lpad(CAST(k AS VARCHAR), 3, '0')) END AS chunk_name FROM ranked JOIN g USING (source, merged)),
     placed AS (SELECT t.*, chunk_name FROM t{ROUNDS} t JOIN names USING (source, node))"""
 
 
@@ -43,8 +47,8 @@ def numbered(spark: SparkSession, sf_dir: str) -> DataFrame:
     ),
 )
 def process_layer(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Chunks, validity, heights, duplicates within the chunk, reprojection (chunks are not merged here)."""
-    layer, _ = build.process_layer(numbered(spark, sf_dir), dataset="source", height="height", target=TARGET, minimum=0)
+    """Chunks with small ones merged, validity, heights, duplicates within the chunk, reprojection."""
+    layer, _ = build.process_layer(numbered(spark, sf_dir), dataset="source", height="height", target=TARGET, **LIMITS)
     box = layer.withColumn("b", geo.bounds_of(F.col("rings")))
     return box.select("id", "chunk_name", F.round("b.minx", 3).alias("minx"), F.round("b.maxy", 3).alias("maxy"))
 
@@ -59,7 +63,7 @@ def process_layer(spark: SparkSession, sf_dir: str) -> DataFrame:
     ),
 )
 def process_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return build.process_layer(numbered(spark, sf_dir), dataset="source", height="height", target=TARGET, minimum=0)[1]
+    return build.process_layer(numbered(spark, sf_dir), dataset="source", height="height", target=TARGET, **LIMITS)[1]
 
 
 @query(
