@@ -342,3 +342,12 @@ def test_names_fold_like_plain_unicode(rows):
     different = [(r.v, r.n, plain(r.v)) for r in out if r.n != plain(r.v)]
     assert not [d for d in different if not any(unicodedata.category(c) == "Lm" or 0x1F80 <= ord(c) < 0x2000 or c == "ͅ" or c == "ͺ" for c in d[0])], different[:5]
     assert rows("v string", [(None,)]).select(text.normalize_name("v").alias("n")).first().n == ""
+
+
+def test_names_beyond_latin(spark):
+    """Marks that combine vanish, vowel signs of class 0 part words."""
+    from rooftally.functions import text
+
+    names = {"กินซ่า": "ก นซา", "Île-de-France": "ile de france", "हिन्दी": "ह नद", "L'Aquila’s": "laquilas", "ＴＯＫＹＯ_23": "tokyo 23", "Straße": "strasse", "東京 都": "東京 都", None: ""}
+    rows = spark.createDataFrame([(n,) for n in names], "n string").select("n", text.normalize_name("n").alias("k")).collect()
+    assert {r["n"]: r["k"] for r in rows} == names
