@@ -9,6 +9,7 @@ from rooftally.fixtures import view, with_views
 from rooftally.functions import geometry as geo
 from rooftally.functions import parts as multi
 from rooftally.operators import quality, spatial
+from rooftally.operators.dissolve import dissolve
 from rooftally.queries.registry import query
 from rooftally.queries.spatial import buildings
 
@@ -100,3 +101,18 @@ def multipart_validity(spark: SparkSession, sf_dir: str) -> DataFrame:
     shaped = spatial.once(buildings(spark, sf_dir), F.struct(parts.alias("parts")), drop=["rings"])
     shaped = spatial.once(shaped, F.struct(multi.flat(F.col("parts")).alias("rings")))
     return quality.validity_report(shaped, ["source"])
+
+
+@query(
+    "dissolve",
+    with_views("SELECT boundary_id, 2 AS n_rings, 1 AS n_holes, 16 AS n_points, 12.25::DOUBLE AS area, round(bx, 6) AS minx, round(bt+4.5, 6) AS maxy FROM sbnd", "sbnd"),
+)
+def dissolved(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Outline of the overlapping parts: eight corners around, and what the first part leaves of the second's hole."""
+    rings = dissolve(overlapping(spark, sf_dir, "sbnd"), size=1.0)
+    area, box = geo.signed_area(F.col("ring")), geo.bounds_of(F.array("ring"))
+    told = rings.select("boundary_id", "hole", F.size("ring").alias("points"), area.alias("area"), box.alias("b"))
+    return told.groupBy("boundary_id").agg(
+        F.count(F.lit(1)).alias("n_rings"), F.count_if("hole").alias("n_holes"), F.sum("points").alias("n_points"), F.round(F.sum("area"), 6).alias("area"),
+        F.round(F.min("b.minx"), 6).alias("minx"), F.round(F.max("b.maxy"), 6).alias("maxy"),
+    )
