@@ -78,26 +78,50 @@ def query_rectangle(
 
 # --- delivery -------------------------------------------------------------------------------------------------
 
-def deliver(layer: DataFrame, order: list[str], job: DataFrame, tasks_table: DataFrame, path: str, max_features: int = fixed.VOLUME_MAX_FEATURES) -> tuple[DataFrame, DataFrame]:
-    """(task table, completion record): volumes written, their names recorded, the task set to OK or OK_EMPTY.
+def _now() -> Column:
+    return F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss")
+
+
+def _assert_stored(expected: DataFrame, path: str, by: list[str]) -> None:
+    """Every part that was counted lies in the written table with as many rows, and nothing else does."""
+    found = sinks.stored_counts(expected.sparkSession, path, by)
+    keys = [F.col(c).cast("string").alias(c) for c in by]
+    both = expected.select(*keys, "n").join(found.select(*keys, "stored"), by, "full")
+    if both.filter(~F.col("n").eqNullSafe(F.col("stored"))).take(1):
+        raise ValueError(f"{path} does not hold the rows that were written")
 
-    ``job`` is one row with ``task_id`` and whatever the record shall keep.
+
+def deliver(
+    layer: DataFrame, order: list[str], job: DataFrame, tasks_table: DataFrame, path: str, max_features: int = fixed.VOLUME_MAX_FEATURES, queue: DataFrame | None = None
+) -> tuple[DataFrame, DataFrame, DataFrame | None]:
+    """(task table, completion record, processing queue): volumes written and read back, their names recorded, the task set to OK or OK_EMPTY.
+
+    ``job`` is one row with ``task_id`` and what the record shall keep. A layer with features enters the processing queue, if one is given, with
+    its volumes; an empty one leaves the queue as it is.
     """
     parts = stage(sinks.write_volumes(layer, order, path, max_features))
-    totals = parts.agg(
-        F.coalesce(F.sum("n"), F.lit(0)).alias("feature_count"),
-        # a volume holds a million rows, so even a billion buildings have a thousand names
-        F.transform(F.array_sort(F.collect_list(F.struct("part", "suffix"))), lambda p: F.concat(F.lit(f"{path}/part="), p["part"].cast("string"))).alias("shp_outputs"),
-    ).first()
-    status = "OK" if totals["feature_count"] else "OK_EMPTY"
-    outputs = F.array(*[F.lit(o) for o in totals["shp_outputs"]]) if totals["shp_outputs"] else F.array().cast("array<string>")
-    done = job.withColumns({"status": F.lit(status), "feature_count": F.lit(totals["feature_count"]), "shp_outputs": outputs})
-    record = sinks.completion_record(done, "task_id")
-    updates = done.select("task_id", "status", F.col("feature_count").cast("long").alias("feature_count"))
-    return tasks.apply_status(tasks_table, updates, "task_id", stamp=F.current_timestamp().cast("string")), record
-
-
-def backfill_volumes(tasks_table: DataFrame, layers_by_task: DataFrame, order: list[str], max_features: int = fixed.VOLUME_MAX_FEATURES) -> DataFrame:
+    _assert_stored(parts, path, ["part"])
+    task = job.first()["task_id"]
+    names = F.transform(F.array_sort(F.collect_list("part")), lambda part: F.concat(F.lit(f"{path}/part="), part.cast("string")))
+    # one row, also without parts: a volume holds a million rows, so even a billion buildings have a thousand names
+    totals = parts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("feature_count"), names.alias("shp_outputs")).withColumn("task_id", F.lit(task))
+    made = job.drop("feature_count", "shp_outputs", "status", "finished_at", "runner_exit_code").join(totals, "task_id")
+    status = F.when(F.col("feature_count") > 0, "OK").otherwise("OK_EMPTY")
+    done = stage(made.withColumns({"status": status, "finished_at": _now(), "runner_exit_code": F.lit(0)}))
+    record = sinks.completion_record(done, "task_id", fixed.DELIVERY_RECORD, [*fixed.TILE_RECORD, "merge_sha256"])
+    kept = [c for c in ("merge_output", "boundary_source", "duration_seconds", "finished_at") if c in tasks_table.columns and c in done.columns]
+    updates = done.select("task_id", "status", F.col("feature_count").cast("long").alias("feature_count"), *kept)
+    table = tasks.apply_status(tasks_table, updates, "task_id", stamp=_now())
+    if queue is not None:
+        entered = done.filter("status = 'OK'").select(
+            F.col("task_id").alias("dataset_key"), F.lit("PENDING").alias("status"), F.to_json("shp_outputs").alias("shp_files"),
+            F.lit(None).cast("string").alias("source_fingerprint"), F.lit(None).cast("string").alias("source_updated_at"), F.col("finished_at").alias("download_finished_at"),
+        )
+        queue = tasks.upsert_source(queue, entered)
+    return table, record, queue
+
+
+def volume_numbers(tasks_table: DataFrame, layers_by_task: DataFrame, order: list[str], max_features: int = fixed.VOLUME_MAX_FEATURES) -> DataFrame:
     """Volume number of every row of the finished tasks' layers: ``task_id`` plus ``part`` counted per task.
 
     All tasks are cut in one pass: rows are numbered over all layers, and a task counts from its first row.
@@ -112,25 +136,64 @@ def backfill_volumes(tasks_table: DataFrame, layers_by_task: DataFrame, order: l
     return placed.withColumn("part", (F.floor((F.col("_position") - F.col("_first")) / max_features) + 1).cast("int")).drop("_position", "_first")
 
 
+def backfill_volumes(
+    tasks_table: DataFrame, layers_by_task: DataFrame, order: list[str], path: str, records: DataFrame | None = None, max_features: int = fixed.VOLUME_MAX_FEATURES
+) -> tuple[DataFrame, DataFrame]:
+    """(records, events) of the finished tasks with a layer: their volumes are written below ``path``, read back, and named in the records.
+
+    ``records`` (``task_id`` and columns of the completion record) keep what else they hold; a task without one gets one of its names only.
+    """
+    numbered = stage(volume_numbers(tasks_table, layers_by_task, order, max_features).withColumn("task", F.col("task_id")))
+    sinks.write_parts(numbered, path, ["task", "part"])
+    counts = stage(numbered.groupBy("task", "part").agg(F.count(F.lit(1)).alias("n")))
+    _assert_stored(counts, path, ["task", "part"])
+    # the folder as Spark names it, with signs that no folder takes escaped
+    folder = F.concat(F.lit(f"{path}/task="), F.col("task"), F.lit("/part="))
+    names = F.transform(F.array_sort(F.collect_list("part")), lambda part: F.concat(F.first(folder), part.cast("string")))
+    outputs = counts.groupBy("task").agg(names.alias("shp_outputs")).withColumnRenamed("task", "task_id")
+    known = outputs if records is None else outputs.join(records.drop("shp_outputs"), "task_id", "left")
+    events = outputs.select("task_id", F.lit("SHP_EXPORT").alias("event"), F.concat(F.lit("parts="), F.size("shp_outputs").cast("string")).alias("detail"), F.current_timestamp().alias("created_at"))
+    kept = [c for c in (*fixed.DELIVERY_RECORD, *fixed.TILE_RECORD) if c in known.columns]
+    return sinks.completion_record(known, "task_id", kept), events
+
+
 # --- processing queue -----------------------------------------------------------------------------------------
 
-def process_one(df: DataFrame, key: str, table: DataFrame, out: str, **limits) -> tuple[DataFrame, DataFrame]:
-    """(processing table, report): one dataset processed, written by chunk and recorded; a failure is a state."""
-    stamp = F.current_timestamp().cast("string")
+def process_one(df: DataFrame, key: str, table: DataFrame, out: str, job: DataFrame | None = None, tasks_table: DataFrame | None = None, **limits) -> dict[str, DataFrame | None]:
+    """One dataset processed, written by chunk, read back and recorded: ``table`` (processing table), ``report``, ``record``, ``events`` and ``tasks``.
+
+    ``job`` is one row with what the record shall keep (``task_id``, ``process_name_prefix``, ``source_dir``...); the finished folder is written back to the row of
+    ``tasks_table`` that its ``task_id`` names. A failure is a state with its message and an event, and leaves no record.
+    """
+    spark = df.sparkSession
+    values = {"status": "OK", "feature_count": None, "tile_count": None, "last_error": None}
+    report = record = None
     try:
         layer, report = process_layer(df, **limits)
         sinks.write_chunks(layer, out)
         report = stage(report)
+        _assert_stored(report.filter("output_count > 0").select("chunk_name", F.col("output_count").alias("n")), out, ["chunk_name"])
         totals = report.agg(F.count(F.lit(1)).alias("tiles"), F.sum("output_count").alias("features")).first()
         if not totals["tiles"]:
             raise ValueError("no chunk was written")
-        values = {"status": "OK", "feature_count": totals["features"], "tile_count": totals["tiles"], "last_error": None}
+        values |= {"feature_count": totals["features"], "tile_count": totals["tiles"]}
     except Exception as error:  # the queue goes on with the next dataset
         report = None
-        values = {"status": "FAILED", "feature_count": None, "tile_count": None, "last_error": str(error)}
+        values |= {"status": "FAILED", "last_error": str(error)}
     kinds = "dataset_key string, status string, feature_count long, tile_count long, last_error string"
-    updates = df.sparkSession.createDataFrame([(key, *values.values())], kinds)
-    return tasks.apply_status(table, updates, "dataset_key", fixed.PROCESS_STATUSES, stamp, fixed.PROCESS_FIELDS), report
+    result = spark.createDataFrame([(key, *values.values())], kinds).withColumns({"finished_at": _now(), "output_dir": F.lit(out)})
+    updates = result.select("dataset_key", "status", "feature_count", "tile_count", "last_error", *[c for c in ("finished_at",) if c in table.columns])
+    done = tasks.apply_status(table, updates, "dataset_key", fixed.PROCESS_STATUSES, _now(), fixed.PROCESS_FIELDS)
+    detail = F.concat(F.lit("tiles="), F.col("tile_count").cast("string"), F.lit(" features="), F.col("feature_count").cast("string"))
+    events = result.select(
+        "dataset_key", F.when(F.col("status") == "OK", "PROCESS_DONE").otherwise("PROCESS_FAILED").alias("event"), F.coalesce(detail, "last_error").alias("detail"), F.current_timestamp().alias("created_at")
+    )
+    if values["status"] == "OK":
+        told = result if job is None else result.join(job.drop(*[c for c in result.columns if c in job.columns and c != "dataset_key"]), "dataset_key", "left")
+        record = sinks.completion_record(told, "dataset_key", fixed.PROCESS_RECORD)
+        if tasks_table is not None and job is not None:
+            tasks_table = tasks.write_back_path(tasks_table, told.select("task_id", F.col("output_dir").alias("path")))
+    return {"table": done, "report": report, "record": record, "events": events, "tasks": tasks_table}
 
 
 def sync_processing(table: DataFrame, candidates: DataFrame, listing: DataFrame, manifest: DataFrame, tokens: list[str] | None = None) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -97,10 +98,26 @@ def write_task_csv(tasks: DataFrame, path: str) -> None:
     ordered.write.mode("overwrite").option("header", "true").option("escape", '"').csv(path)
 
 
-def completion_record(jobs: DataFrame, key: str) -> DataFrame:
-    """``key, record``: each row as one JSON object, NULL members included."""
-    body = F.to_json(F.struct(*jobs.columns), {"ignoreNullFields": "false"})
-    return jobs.select(key, body.alias("record"))
+def completion_record(jobs: DataFrame, key: str, members: list[str] | None = None, more: list[str] | None = None) -> DataFrame:
+    """``key, record``: each row as one JSON object, NULL members included.
+
+    ``members`` are what the record always has, in their order, NULL where ``jobs`` has no such column; ``more`` are added
+    only where ``jobs`` has them.
+    """
+    if members is None:
+        fields = [F.col(c) for c in jobs.columns]
+    else:
+        fields = [F.col(c) if c in jobs.columns else F.lit(None).cast("string").alias(c) for c in members]
+        fields += [F.col(c) for c in more or [] if c in jobs.columns]
+    return jobs.select(key, F.to_json(F.struct(*fields), {"ignoreNullFields": "false"}).alias("record"))
+
+
+def stored_counts(spark: SparkSession, path: str, columns: list[str]) -> DataFrame:
+    """Rows per value of the partition columns of a written table, read back; an empty table has no folder to read."""
+    try:
+        return spark.read.parquet(path).groupBy(*columns).agg(F.count(F.lit(1)).alias("stored"))
+    except AnalysisException:
+        return spark.createDataFrame([], ", ".join([*(f"{c} string" for c in columns), "stored long"]))
 
 
 def replace_table(df: DataFrame, path: str) -> DataFrame:
@@ -138,6 +155,6 @@ def grid_manifest(grid: DataFrame, boundary: DataFrame, size: float, source: str
 
 
 __all__ = [
-    "completion_record", "create_index_table", "grid_manifest", "replace_table", "tile_files", "write_chunks",
+    "completion_record", "create_index_table", "grid_manifest", "replace_table", "stored_counts", "tile_files", "write_chunks",
     "write_documents", "write_merged", "write_parts", "write_task_csv", "write_tiles", "write_volumes",
 ]

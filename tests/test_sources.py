@@ -8,6 +8,7 @@ import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
+from rooftally import fixed_values as fixed
 from rooftally.operators import spatial
 from rooftally.plans import build, publish
 from rooftally.sources import files, layers, sinks
@@ -257,13 +258,24 @@ def test_delivery_jobs(spark, tmp_path):
     table = spark.createDataFrame([("t1", "A", "China", "Fujian", "RUNNING", None, 1, 1, None, "x"), ("t2", "A", "China", "Jilin", "OK", 3, 2, 2, None, "x")], TASKS)
     layer = spark.createDataFrame([(i, box(i, 0, i + 1, 1)) for i in range(5)], f"src_pos int, rings {RINGS}")
     job = spark.createDataFrame([("t1", "p")], "task_id string, params string")
-    updated, record = publish.deliver(layer, ["src_pos"], job, table, str(tmp_path / "vol"), 2)
+    queue = spark.createDataFrame([("old", "OK", 4, "[]", None, None)], "dataset_key string, status string, queue_order long, shp_files string, source_fingerprint string, finished_at string")
+    updated, record, entered = publish.deliver(layer, ["src_pos"], job, table, str(tmp_path / "vol"), 2, queue)
     assert {r["task_id"]: (r["status"], r["feature_count"]) for r in updated.collect()} == {"t1": ("OK", 5), "t2": ("OK", 3)}
-    assert len(json.loads(record.first()["record"])["shp_outputs"]) == 3
-    empty, _ = publish.deliver(layer.limit(0), ["src_pos"], job, table, str(tmp_path / "none"), 2)
-    assert {r["task_id"]: r["status"] for r in empty.collect()}["t1"] == "OK_EMPTY"
+    told = json.loads(record.first()["record"])
+    assert list(told) == fixed.DELIVERY_RECORD and told["params"] == "p" and told["city"] is None and told["feature_count"] == 5
+    assert [len(spark.read.parquet(p).collect()) for p in told["shp_outputs"]] == [2, 2, 1]
+    rows = {r["dataset_key"]: r for r in entered.collect()}
+    assert rows["t1"]["status"] == "PENDING" and json.loads(rows["t1"]["shp_files"]) == told["shp_outputs"] and rows["t1"]["queue_order"] == 5
+    empty, record, entered = publish.deliver(layer.limit(0), ["src_pos"], job, table, str(tmp_path / "none"), 2, queue)
+    assert {r["task_id"]: r["status"] for r in empty.collect()}["t1"] == "OK_EMPTY" and entered.count() == 1
+    assert json.loads(record.first()["record"])["shp_outputs"] == []
     rows = spark.createDataFrame([("t2", i) for i in range(5)] + [("t1", 9)], "task_id string, src_pos int")
-    assert sorted((r["src_pos"], r["part"]) for r in publish.backfill_volumes(table, rows, ["src_pos"], 2).collect()) == [(0, 1), (1, 1), (2, 2), (3, 2), (4, 3)]
+    assert sorted((r["src_pos"], r["part"]) for r in publish.volume_numbers(table, rows, ["src_pos"], 2).collect()) == [(0, 1), (1, 1), (2, 2), (3, 2), (4, 3)]
+    old = spark.createDataFrame([("t2", "OK", 3)], "task_id string, status string, feature_count long")
+    records, events = publish.backfill_volumes(table, rows, ["src_pos"], str(tmp_path / "back"), old, 2)
+    told = json.loads(records.first()["record"])
+    assert records.count() == 1 and (told["task_id"], told["feature_count"]) == ("t2", 3)
+    assert [spark.read.parquet(p).count() for p in told["shp_outputs"]] == [2, 2, 1] and events.first()["detail"] == "parts=3"
     folders = spark.createDataFrame([("data/Fujian",), ("data/Mars",)], "directory string")
     synced, unmatched = publish.sync_existing(table, folders, ["china"], "OK")
     assert {r["task_id"]: (r["status"], r["existing_data_dir"]) for r in synced.collect()}["t1"] == ("OK", "data/Fujian")
@@ -286,11 +298,19 @@ def test_processing_jobs(spark, tmp_path):
     assert {k: r["status"] for k, r in out.items()} == {"A|B|C": "PENDING", "gone": "WAITING_DOWNLOAD", "EXT|d/new": "PENDING", "EXT|d/g": "BLOCKED_NO_SHP"}
     assert out["A|B|C"]["change"] == "fingerprint" and out["EXT|d/g"]["queue_order"] in (3, 4)
     layer = spark.createDataFrame([(i, "ds", 3.0, box(i, 0, i + 0.5, 1)) for i in range(4)], f"row_id int, dataset string, HEIGHT double, rings {RINGS}")
-    done, report = publish.process_one(layer, "A|B|C", table, str(tmp_path / "out"))
-    assert {r["dataset_key"]: (r["status"], r["tile_count"], r["feature_count"]) for r in done.collect()}["A|B|C"] == ("OK", 1, 4) and report.count() == 1
+    job = spark.createDataFrame([("A|B|C", "A|B|C", "pre", "d/c")], "dataset_key string, task_id string, process_name_prefix string, source_dir string")
+    downloads = spark.createDataFrame([("A|B|C", None), ("other", "x")], "task_id string, processed_3857_dir string")
+    out = publish.process_one(layer, "A|B|C", table, str(tmp_path / "out"), job, downloads)
+    row = {r["dataset_key"]: r for r in out["table"].collect()}["A|B|C"]
+    assert (row["status"], row["tile_count"], row["feature_count"]) == ("OK", 1, 4) and out["report"].count() == 1
     assert spark.read.parquet(str(tmp_path / "out")).count() == 4
-    failed, none = publish.process_one(layer.drop("rings"), "A|B|C", table, str(tmp_path / "out2"))
-    assert none is None and {r["dataset_key"]: r["status"] for r in failed.collect()}["A|B|C"] == "FAILED"
+    told = json.loads(out["record"].first()["record"])
+    assert list(told) == fixed.PROCESS_RECORD and (told["process_name_prefix"], told["tile_count"], told["output_dir"]) == ("pre", 1, str(tmp_path / "out"))
+    assert {r["task_id"]: r["processed_3857_dir"] for r in out["tasks"].collect()} == {"A|B|C": str(tmp_path / "out"), "other": "x"}
+    assert out["events"].first()["detail"] == "tiles=1 features=4"
+    failed = publish.process_one(layer.drop("rings"), "A|B|C", table, str(tmp_path / "out2"), job, downloads)
+    assert failed["report"] is None and failed["record"] is None and {r["dataset_key"]: r["status"] for r in failed["table"].collect()}["A|B|C"] == "FAILED"
+    assert failed["events"].first()["event"] == "PROCESS_FAILED"
 
 
 def test_layer_folders(spark, tmp_path):
