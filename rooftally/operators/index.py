@@ -134,11 +134,12 @@ def to_feature_collection(df: DataFrame, geometry: Column, drop: list[str], orde
 
 # --- upkeep ---------------------------------------------------------------------------------------------------
 
-def replace_region(index: DataFrame, new: DataFrame, regions: DataFrame) -> DataFrame:
-    """Index with the rows of the given regions replaced by the recomputed ones of those regions."""
+def replace_region(index: DataFrame, new: DataFrame, regions: DataFrame, at: Column | None = None) -> DataFrame:
+    """Index with the rows of the given regions replaced by the recomputed ones of those regions, stamped if a time is given."""
     keys = regions.select(*REGION_KEY).distinct()
     fresh = lookup_join(new, keys, REGION_KEY, "left_semi")
     assert_unique(fresh, INDEX_KEY, "index rows")
+    fresh = fresh if at is None else touch(fresh, at)
     return lookup_join(index, keys, REGION_KEY, "left_anti").unionByName(fresh, allowMissingColumns=True)
 
 
@@ -162,8 +163,9 @@ def insert_if_absent(index: DataFrame, new: DataFrame, key: list[str] | None = N
     return index.unionByName(added, allowMissingColumns=True)
 
 
-def upsert_rows(table: DataFrame, rows: DataFrame, key: list[str]) -> DataFrame:
-    """Table with the rows of equal key replaced and the others appended."""
+def upsert_rows(table: DataFrame, rows: DataFrame, key: list[str], at: Column | None = None) -> DataFrame:
+    """Table with the rows of equal key replaced and the others appended; ``rows`` are stamped if a time is given."""
+    rows = rows if at is None else touch(rows, at)
     return table.join(rows.select(*key), key, "left_anti").unionByName(rows, allowMissingColumns=True)
 
 

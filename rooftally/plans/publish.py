@@ -51,7 +51,8 @@ def refresh_index(table: DataFrame, root: str, regions_to_refresh: DataFrame) ->
         raise ValueError(f"no shapefile in {[tuple(r) for r in absent]}")
     counts = index.replace_counts(table, rows, regions_to_refresh)
     usable = rows.filter("minx is not null").select(*[c for c in table.columns if c in rows.columns])
-    return index.replace_region(table, usable, regions_to_refresh), counts
+    stamp = F.current_timestamp() if "updated_at" in table.columns else None
+    return index.replace_region(table, usable, regions_to_refresh, stamp), counts
 
 
 def index_new_regions(table: DataFrame, root: str, blocked_continents: list[str]) -> DataFrame:
