@@ -15,16 +15,21 @@ from rooftally.sources import files, layers, sinks
 
 # --- index ----------------------------------------------------------------------------------------------------
 
-def index_rows(spark: SparkSession, root: str) -> DataFrame:
+def index_rows(spark: SparkSession, root: str, regions: DataFrame | None = None, known: DataFrame | None = None) -> DataFrame:
     """One box in EPSG:3857 per shapefile below ``root/continent/country/city``; NULL box for an empty file.
 
-    A file without ``.prj`` is in degrees; one whose system is not recognised fails the job.
+    With ``regions`` only files of those are opened, with ``known`` (an index) only files that it does not hold. A file without ``.prj`` is in degrees; one whose system is not recognised fails the job.
     """
     tree = files.scan_region_tree(spark, root).withColumn("path", F.regexp_replace("path", r"\.[^./\\]*$", ""))
+    if regions is not None:
+        tree = tree.join(regions.select(*index.REGION_KEY).distinct(), index.REGION_KEY, "left_semi")
+    if known is not None:
+        tree = tree.join(known.select(*index.INDEX_KEY), index.INDEX_KEY, "left_anti")
+    chosen = None if regions is None and known is None else stage(tree.select("path").distinct())
     unknown = F.raise_error(F.concat(F.lit("coordinate system not recognised: "), "path")).cast("int")
     known_srid = F.when(F.col("prj_bytes").isNull(), F.lit(4326)).otherwise(F.coalesce("srid", unknown))
-    systems = layers.read_shard_stats(spark, root).select("path", known_srid.alias("srid"))
-    boxes = spatial.with_bounds(layers.read_shapefiles(spark, root)).groupBy("path").agg(
+    systems = layers.read_shard_stats(spark, root, chosen).select("path", known_srid.alias("srid"))
+    boxes = spatial.with_bounds(layers.read_shapefiles(spark, root, chosen=chosen)).groupBy("path").agg(
         *[F.min(c).alias(c) for c in ("minx", "miny")], *[F.max(c).alias(c) for c in ("maxx", "maxy")]
     )
     joined = tree.select("path", *index.INDEX_KEY).join(systems, "path", "left").join(boxes, "path", "left")
@@ -45,7 +50,7 @@ def refresh_index(table: DataFrame, root: str, regions_to_refresh: DataFrame) ->
 
     A region without any shapefile is an error, not an empty region.
     """
-    rows = stage(index_rows(table.sparkSession, root))
+    rows = stage(index_rows(table.sparkSession, root, regions_to_refresh))
     absent = regions_to_refresh.select(*index.REGION_KEY).distinct().join(rows.select(*index.REGION_KEY).distinct(), index.REGION_KEY, "left_anti").take(5)
     if absent:
         raise ValueError(f"no shapefile in {[tuple(r) for r in absent]}")
@@ -57,9 +62,10 @@ def refresh_index(table: DataFrame, root: str, regions_to_refresh: DataFrame) ->
 
 def index_new_regions(table: DataFrame, root: str, blocked_continents: list[str]) -> DataFrame:
     """Index plus the shards it does not hold yet, some continents left out."""
-    rows = index_rows(table.sparkSession, root).filter("minx is not null")
-    wanted = rows.filter(~F.col("continent").isin(blocked_continents)) if blocked_continents else rows
-    return index.insert_if_absent(table, wanted.select(*[c for c in table.columns if c in rows.columns]))
+    tree = files.scan_region_tree(table.sparkSession, root)
+    open_regions = tree.filter(~F.col("continent").isin(blocked_continents)) if blocked_continents else tree
+    wanted = index_rows(table.sparkSession, root, open_regions, table).filter("minx is not null")
+    return index.insert_if_absent(table, wanted.select(*[c for c in table.columns if c in wanted.columns]))
 
 
 def export_tasks(table: DataFrame, path: str) -> DataFrame:

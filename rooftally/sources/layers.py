@@ -99,12 +99,14 @@ def shard_table(spark: SparkSession, root: str, pattern: str = "*") -> DataFrame
     return shards.filter("shp_bytes is not null").withColumn("records", F.floor((F.col("shx_bytes") - 100) / 8))
 
 
-def read_shard_stats(spark: SparkSession, root: str) -> DataFrame:
+def read_shard_stats(spark: SparkSession, root: str, chosen: DataFrame | None = None) -> DataFrame:
     """Record count and SRID per shapefile without reading it: index size and the short ``.prj`` text beside it.
 
     ``srid`` is NULL without a ``.prj`` (``prj_bytes`` is NULL then) and for a system that is not recognised.
     """
     shards = shard_table(spark, root)
+    if chosen is not None:
+        shards = shards.join(chosen.select("path"), "path", "left_semi")
     found = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.[pP][rR][jJ]").load(root)
     systems = found.select(F.regexp_replace("path", r"\.[^./\\]*$", "").alias("path"), F.col("content").cast("string").alias("value"))
     metric = F.col("value").rlike("(?i)3857|pseudo.?mercator|web.?mercator")
@@ -122,15 +124,17 @@ def verify_output(stats: DataFrame) -> DataFrame:
     return totals.withColumn("ok", (F.col("shards") > 0) & (F.col("unreadable") == 0) & (F.col("other_srid") == 0))
 
 
-def read_shapefiles(spark: SparkSession, root: str, pattern: str = "*", records_per_task: int = 20_000) -> DataFrame:
+def read_shapefiles(spark: SparkSession, root: str, pattern: str = "*", records_per_task: int = 20_000, chosen: DataFrame | None = None) -> DataFrame:
     """Features of all shapefiles below ``root``: ``path, record_no, geom_type, rings, parts, attributes``.
 
-    Clockwise rings are shells, the others holes of the shell around them, so ``parts`` keeps what belongs together.
+    With ``chosen`` (``path`` without suffix) only those are opened. Clockwise rings are shells, the others holes of the shell around them, so ``parts`` keeps what belongs together.
 
     Files are cut by record ranges (the ``.shx`` gives the byte range of each record, ``.dbf`` rows have a fixed
     length), so a large file is read by many tasks and none holds a whole file.
     """
     shards = shard_table(spark, root, pattern).filter("records > 0 AND shx_path IS NOT NULL")
+    if chosen is not None:
+        shards = shards.join(chosen.select("path"), "path", "left_semi")
     step = F.lit(records_per_task).cast("long")
     files = ["path", "shp_path", "shx_path", "dbf_path"]
     ranges = shards.select(*files, "records", F.explode(F.sequence(F.lit(0).cast("long"), F.col("records") - 1, step)).alias("first"))

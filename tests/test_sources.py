@@ -365,3 +365,22 @@ def test_systems_belong_to_their_own_path(spark, tmp_path):
     (tmp_path / "Asia" / "a" / "x" / "same.prj").write_text('PROJCS["Local grid"]')
     with pytest.raises(Exception, match="not recognised"):
         publish.index_rows(spark, str(tmp_path)).collect()
+
+
+def test_refresh_opens_only_the_files_of_its_regions(spark, tmp_path):
+    """Files of other regions are listed, never opened: they hold nothing readable here."""
+    good, bad = tmp_path / "Asia" / "China" / "Fujian", tmp_path / "Asia" / "China" / "Jilin"
+    good.mkdir(parents=True)
+    bad.mkdir(parents=True)
+    write_shapefile(good / "f", [[ring((1, 1), (2, 1), (2, 2))]], [5], METRIC)
+    for suffix in ("shp", "shx", "dbf"):
+        (bad / f"j.{suffix}").write_bytes(b"\xff" * 132)
+    (bad / "j.prj").write_text(METRIC)
+    table = spark.createDataFrame([("Asia", "China", "Jilin", "j", 0.0, 0.0, 1.0, 1.0, "old"), ("Asia", "China", "Fujian", "gone", 0.0, 0.0, 1.0, 1.0, "old")], "continent string, country string, city string, shp_name string, minx double, miny double, maxx double, maxy double, updated_at string")
+    wanted = spark.createDataFrame([("Asia", "China", "Fujian")], "continent string, country string, city string")
+    fresh, counts = publish.refresh_index(table.withColumn("updated_at", F.to_timestamp(F.lit("2020-01-01"))), str(tmp_path), wanted)
+    rows = {r["shp_name"]: r for r in fresh.collect()}
+    assert set(rows) == {"j", "f"} and (rows["f"]["minx"], rows["f"]["maxy"]) == (1.0, 2.0) and counts.first()["inserted"] == 1
+    assert rows["j"]["updated_at"].year == 2020 and rows["f"]["updated_at"].year > 2020
+    added = publish.index_new_regions(table.drop("updated_at"), str(tmp_path), [])
+    assert {r["shp_name"] for r in added.collect()} == {"j", "gone", "f"}
