@@ -56,11 +56,12 @@ def read_latest_state(spark: SparkSession, table_path: str) -> DataFrame:
     return spark.read.parquet(table_path).drop("bucket")
 
 
-def read_progress(spark: SparkSession, table_path: str) -> DataFrame:
-    """The newest version of the table kept by ``run_stage_progress``."""
+def read_progress(spark: SparkSession, table_path: str, key: str = "dataset_key") -> DataFrame:
+    """The newest row of every log kept by ``run_stage_progress``: one aggregation, whose partial maxima are made in every map task."""
     versions = spark.read.parquet(table_path)
-    newest = versions.agg(F.max("version")).first()[0]
-    return versions.filter(F.col("version") == newest).drop("version")
+    others = [c for c in versions.columns if c != key]
+    newest = versions.groupBy(key).agg(F.max(F.struct("version", *[c for c in others if c != "version"])).alias("_new"))
+    return newest.select(key, "_new.*").drop("version")
 
 
 def run_to_table(result: DataFrame, path: str, checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
@@ -69,13 +70,28 @@ def run_to_table(result: DataFrame, path: str, checkpoint: str, trigger: dict |
     return _start(writer, trigger or {"availableNow": True})
 
 
+#: Micro-batches after which the progress table is folded to one row per log.
+FOLD_EVERY = 100
+
+
 def run_stage_progress(lines: DataFrame, table_path: str, checkpoint: str, key: str = "dataset_key", trigger: dict | None = None) -> StreamingQuery:
-    """Current stage per log, rewritten at most every five seconds."""
+    """Current stage per log, at most every five seconds: a micro-batch adds rows of the logs that it changed, no others.
+
+    Every ``FOLD_EVERY`` batches the newest rows of all logs take the place of the versions before, so the table stays in proportion
+    to the logs. A batch that runs again overwrites its own version.
+    """
 
     def rewrite(batch: DataFrame, number: int) -> None:
         batch.write.mode("overwrite").parquet(f"{table_path}/version={number}")
-
-    writer = events.stage_progress(lines, key).writeStream.outputMode("complete").option("checkpointLocation", checkpoint).foreachBatch(rewrite)
+        if number % FOLD_EVERY == FOLD_EVERY - 1:
+            spark = batch.sparkSession
+            whole = stage(read_progress(spark, table_path, key))
+            older = [r[0] for r in spark.read.parquet(table_path).select("version").distinct().collect() if r[0] < number]  # at most FOLD_EVERY
+            whole.write.mode("overwrite").parquet(f"{table_path}/version={number}")
+            for version in older:
+                batch.limit(0).write.mode("overwrite").parquet(f"{table_path}/version={version}")
+
+    writer = events.stage_progress(lines, key).writeStream.outputMode("update").option("checkpointLocation", checkpoint).foreachBatch(rewrite)
     return _start(writer, trigger or {"processingTime": "5 seconds"})
 
 

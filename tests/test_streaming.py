@@ -88,6 +88,21 @@ def test_stage_progress(spark, tmp_path):
     assert (r["stage"], r["tiles_total"]) == ("CLEAN", 4)
 
 
+def test_stage_progress_adds_changed_logs_only(spark, tmp_path, monkeypatch):
+    """A batch writes the logs it changed; folding leaves one row per log and the same answer."""
+    monkeypatch.setattr(jobs, "FOLD_EVERY", 3)
+    schema = "dataset_key string, line_no long, line string"
+    path, table = str(tmp_path / "log"), str(tmp_path / "progress")
+    steps = [[("j", 1, "Starting pipeline: x"), ("k", 1, "Starting pipeline: y")], [("j", 2, "Split f into 3 chunk(s)")], [("j", 3, "Cleaning valid output: f")], [("k", 2, "Split f into 2 chunk(s)")]]
+    for n, lines in enumerate(steps, 1):
+        spark.createDataFrame(lines, schema).coalesce(1).write.mode("append").parquet(path)
+        jobs.run_stage_progress(jobs.read_event_stream(spark, path, schema), table, str(tmp_path / "cp"), trigger={"availableNow": True}).awaitTermination()
+        rows = spark.read.parquet(table).count()
+        assert rows == {1: 2, 2: 3, 3: 2, 4: 3}[n]
+        assert {r["dataset_key"] for r in jobs.read_progress(spark, table).collect()} == {"j", "k"}
+    assert {r["dataset_key"]: (r["stage"], r["tiles_total"]) for r in jobs.read_progress(spark, table).collect()} == {"j": ("CLEAN", 3), "k": ("SPLIT", 2)}
+
+
 def test_incremental_tiles(spark, tmp_path):
     unit = spark.createDataFrame([("u", box(0.1, 0.1, 1.4, 0.4))], f"boundary_id string, rings {RINGS}")
     cells = spatial.boundary_to_grid(unit, 0.5)
