@@ -364,8 +364,8 @@ def clip(features: DataFrame, masks: DataFrame, size: float = 0.25, feature_key:
 
     ``features``: unique ``feature_key``, ``rings`` and attributes; ``masks``: ``rings``, one row per polygon, or
     ``parts``, in the same reference system. Every feature comes out at most once; pure line or point contacts are kept, with
-    ``geom_type`` saying so. Only features that a mask edge really reaches go through the overlay kernel; the
-    others are wholly inside or wholly outside, which one point decides.
+    ``geom_type`` saying so. The overlay kernel works on features that a mask edge really reaches; the others are
+    wholly inside or wholly outside, which one point decides, and pass it with empty arguments.
     """
     bounded = with_bounds(features.drop("parts").filter(geo.has_geometry(F.col("rings"))))
     near = _with_mask_parts(bounded, masks, size, feature_key)
