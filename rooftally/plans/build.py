@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import time
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -100,14 +102,16 @@ def build_place(features: DataFrame, gazetteer: DataFrame, place: str, out: str,
 
 def build_many(
     features: DataFrame, boundaries: DataFrame, tokens: DataFrame, summary: DataFrame, stamp: str, dry_run: bool = False,
-    done: DataFrame | None = None, require_boundary: bool = True,
+    done: DataFrame | None = None, require_boundary: bool = True, out: str | None = None, options: dict[str, str] | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """(layers, summary) of many regions in one job.
 
-    ``tokens`` name provinces; ``boundaries`` are keyed by slug (``boundary_id``); ``done`` lists slugs whose
+    ``tokens`` name provinces; ``boundaries`` are keyed by slug (``boundary_id``; ``boundary_file`` says where they came from); ``done`` lists slugs whose
     layer exists. States: FAILED without a boundary, SKIPPED, DRY_RUN, OK. All regions share one pass over the
-    features; duplicates are removed per region.
+    features, so they share its duration; duplicates are removed per region. With ``out`` the layers are written below it, one folder per
+    region, and read back. The summary has the columns of ``schemas.RUN_SUMMARY``, with ``options`` (``grid_size``, ``page_size``, ``tile_format``, ``merge_format``).
     """
+    started = time.time()
     aliases = regions.province_aliases(features.sparkSession)
     wanted = regions.resolve_alias(tokens, aliases).select("slug").distinct()
     known = boundaries.select(F.col("boundary_id").alias("slug"), F.lit(True).alias("_b")).distinct()
@@ -130,10 +134,26 @@ def build_many(
     placed = placed.withColumns({"rep_x": F.col("_p.x"), "rep_y": F.col("_p.y")}).drop("_p")
     inside = spatial.assign_to_boundary(placed, chosen).drop("rep_x", "rep_y")
     layers = quality.dedup_geometry(inside, ["src_pos"], within=["boundary_id"])
-    rows = state.select(
-        F.col("slug").alias("province"), "mode", "status", F.lit(stamp).alias("started_at"),
-        F.when(F.col("status") == "FAILED", "2").when(F.col("status") == "OK", "0").otherwise("").alias("exit_code"),
+    ran = F.col("status") == "OK"
+    if out is not None:
+        layers = stage(layers)
+        sinks.write_parts(layers, f"{out}/merged", ["boundary_id"])
+        layers = features.sparkSession.read.schema(layers.schema).parquet(f"{out}/merged").select(layers.columns).join(
+            state.filter(ran).select(F.col("slug").alias("boundary_id")), "boundary_id", "left_semi"
+        )
+    files = boundaries.groupBy(F.col("boundary_id").alias("province")).agg(
+        (F.max("boundary_file") if "boundary_file" in boundaries.columns else F.lit("")).alias("boundary_file")
     )
+    seconds = time.time() - started
+    finished = F.date_format(F.to_timestamp(F.lit(stamp)) + F.make_dt_interval(secs=F.lit(seconds).cast("decimal(18,6)")), "yyyy-MM-dd'T'HH:mm:ss")
+    made = {
+        "exit_code": F.when(F.col("status") == "FAILED", "2").when(ran, "0").otherwise(""),
+        "output_dir": F.lit(out or ""), "merge_output": F.when(F.lit(out is not None), F.concat(F.lit(f"{out}/merged/boundary_id="), "province")).otherwise(""),
+        "started_at": F.lit(stamp), "finished_at": F.when(ran, finished).otherwise(F.lit(stamp)),
+        "duration_seconds": F.when(ran, F.lit(str(int(seconds)))).otherwise("0"), "boundary_file": F.coalesce("boundary_file", F.lit("")),
+    }
+    made |= {name: F.lit((options or {}).get(name, "")) for name in ("grid_size", "page_size", "tile_format", "merge_format")}
+    rows = state.select(F.col("slug").alias("province"), "mode", "status").join(files, "province", "left").withColumns(made)
     return layers, index.upsert_rows(summary, rows, ["province", "started_at"])
 
 

@@ -9,6 +9,7 @@ from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from rooftally import fixed_values as fixed
+from rooftally import schemas
 from rooftally.operators import spatial
 from rooftally.plans import build, publish
 from rooftally.sources import files, layers, sinks
@@ -251,6 +252,22 @@ def test_build_many(spark):
     assert sorted((r["boundary_id"], r["src_pos"]) for r in result.collect()) == [("fujian", 0), ("fujian", 1)]
 
 
+def test_build_many_writes_layers_and_whole_summary_rows(spark, tmp_path):
+    bounds = spark.createDataFrame([("fujian", "data/f.geojson", box(0, 0, 1, 1)), ("jilin", None, box(1, 0, 2, 1))], f"boundary_id string, boundary_file string, rings {RINGS}")
+    raw = spark.createDataFrame([(0, box(0.2, 0.2, 0.3, 0.3)), (1, box(1.5, 0.5, 1.6, 0.6))], f"src_pos int, rings {RINGS}")
+    tokens = spark.createDataFrame([("fujian",), ("jilin",), ("hunan",)], "token string")
+    summary = spark.createDataFrame([("jilin", "old")], "province string, started_at string").select("*", *[F.lit("x").alias(c) for c in ("mode", "status")])
+    layers_, rows = build.build_many(raw, bounds, tokens, summary, "2024-01-02T03:04:05", out=str(tmp_path), options={"grid_size": "0.5", "merge_format": "parquet"})
+    assert sorted((r["boundary_id"], r["src_pos"]) for r in layers_.collect()) == [("fujian", 0), ("jilin", 1)]
+    fields = [f.split()[0] for f in schemas.RUN_SUMMARY.split(", ")]
+    found = {(r["province"], r["started_at"]): r for r in rows.collect()}
+    assert set(fields) <= set(rows.columns) and len(found) == 4 and found["jilin", "old"]["status"] == "x"
+    fujian, hunan = found["fujian", "2024-01-02T03:04:05"], found["hunan", "2024-01-02T03:04:05"]
+    assert (fujian["status"], fujian["boundary_file"], fujian["grid_size"], fujian["page_size"], fujian["exit_code"]) == ("OK", "data/f.geojson", "0.5", "", "0")
+    assert spark.read.parquet(fujian["merge_output"]).count() == 1 and fujian["finished_at"] > fujian["started_at"] and int(fujian["duration_seconds"]) >= 0
+    assert (hunan["status"], hunan["exit_code"], hunan["duration_seconds"], hunan["finished_at"]) == ("FAILED", "2", "0", "2024-01-02T03:04:05")
+
+
 TASKS = "task_id string, continent string, country string, city string, status string, feature_count long, queue_order int, manifest_order int, existing_data_dir string, updated_at string"
 
 
