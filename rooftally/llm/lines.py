@@ -104,7 +104,8 @@ def remove_repeated_chunks(docs: DataFrame, doc_id: str = "doc_id", text: str =
     first = first.withColumnsRenamed({"id": "kid", "place": "kplace"})
     places = again.select("id", "th", "ch", "place", "first", "last")
     gone = places.join(first, (F.col("ch") == F.col("kch")) & F.col("id").eqNullSafe(F.col("kid")) & (F.col("place") == F.col("kplace")), "left_anti")
-    spans = gone.groupBy("id", "th").agg(F.sort_array(F.collect_set(F.struct("first", "last"))).alias("gone"))
+    # rows that repeat an id with its text name each span once more
+    spans = gone.select("id", "th", "first", "last").distinct().groupBy("id", "th").agg(F.sort_array(F.collect_list(F.struct("first", "last"))).alias("gone"))
 
     # the columns of the input travel in a struct, so that none can clash with a name used here
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(doc_id).alias("row_id"), F.xxhash64(told).alias("row_th"), told.alias("text"))
