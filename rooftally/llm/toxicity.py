@@ -196,9 +196,14 @@ def written(chain: tuple | None) -> str:
 
 def without_edges(token: str) -> str:
     """``token`` with one sign at most before its first and after its last letter, digit or underscore."""
-    inside = [bool(c.isalnum() or c == "_") for c in token]
+    def in_word(sign: str) -> bool:
+        return sign.isalnum() or sign == "_"
+
+    if len(token) < 2 or (in_word(token[0]) or in_word(token[1])) and (in_word(token[-1]) or in_word(token[-2])):
+        return token
+    inside = [in_word(c) for c in token]
     if True not in inside:
-        return token if len(token) < 2 else ""
+        return ""
     first, last = inside.index(True), len(inside) - 1 - inside[::-1].index(True)
     return token[max(0, first - 1) : last + 2]
 
