@@ -4,8 +4,8 @@ Texts of equal shingle sets become one class first. Every class has a signature
 bucket keys. Within a bucket each member is tied to the smallest one only, a star, so candidate pairs stay as many as
 members. Pairs are confirmed on their full shingle sets and confirmed links joined to components. Where a bucket still
 holds more than one component, members of different components are compared too, in slices of a bounded size that
-return confirmed links only; so no link between members of a bucket is lost, and none inside a component is looked at
-twice.
+return confirmed links only; none inside a component is looked at twice. Pairs whose signatures agree in five deviations fewer places than
+the limit asks for are left out there without a look at their full sets.
 """
 
 from __future__ import annotations

@@ -3,7 +3,7 @@
 Tokens of a word-level BPE never reach across white space, so a text is the sequence of its words. Each block of
 documents sends its distinct words once; every distinct word is encoded once, in the bucket that its hash names; the ids
 come back by the word's position in what the block sent and are put together in the order of the text. Decoding
-joins each id with its piece.
+looks each id up in the list of pieces that a task holds.
 """
 
 from __future__ import annotations

@@ -94,3 +94,19 @@ def test_packing_stage_and_run(spark, outputs):
         ids[r.doc_id] += struct.unpack(f"<{r.length}I", r.ids)
     assert ids == {d: [*library.encode(t, add_special_tokens=False).ids, 1] for d, t in texts(before)}
     assert corpus_pipeline.run(spark, SF_DIR).drop("sequence_id").exceptAll(after.drop("sequence_id")).count() == 0
+
+
+def test_odd_rows_pass_all_stages(spark, rows):
+    """Empty texts, NULLs in every column, columns with clashing names, and a table without rows."""
+    from rooftally.session import stage
+
+    schema = "doc_id long, text string, lang string, source string, n_chars long, id string, th int, gone string, score string, ids string"
+    extra = ("x", 1, "y", "z", "w")
+    data = [(1, "one two three four five six seven", "en", "s", 33, *extra), (2, None, None, None, None, *extra), (3, "", "en", "s", 0, *extra), (None, "a line\nanother line\nthird line", None, "s", 5, *extra), (5, "one two three four five six seven", "en", "s", 33, *extra)]
+    for given, kept in ((data, 4), ([], 0)):
+        docs = rows(schema, given)
+        for name, function in corpus_pipeline.STAGES:
+            docs = stage(function(spark, docs, SF_DIR))
+            if name == "near_dedup":
+                assert docs.count() == kept and docs.columns == corpus_pipeline.COLUMNS
+        assert docs.select("doc_id").distinct().count() == kept
