@@ -208,3 +208,31 @@ def test_rows_without_a_dataset_stay(spark, target):
     out = tiling.spatial_chunks(df, "row_id", target=target, minimum=0).collect()
     assert sorted((r["row_id"], r["dataset"]) for r in out) == [(i, d) for i, d, _ in boxes]
     assert all("\0" not in r["chunk_name"] for r in out)
+
+
+def test_connected_plane_is_one_group(spark, monkeypatch):
+    """6 400 small chunks side by side, all connected: merged in one go."""
+    monkeypatch.setattr(tiling, "_by_distance", None)
+    side = 80
+    chunks = spark.range(side * side).select(
+        F.lit("a").alias("dataset"), F.lpad(F.col("id").cast("string"), 5, "0").alias("node"), (300 + F.col("id") * 7919 % 1100).alias("n"),
+        *[((F.expr(f"{axis}") + shift) * 1.0).alias(name) for name, axis, shift in (("minx", "id % 80", 0), ("miny", "id div 80", 0), ("maxx", "id % 80", 1), ("maxy", "id div 80", 1))],
+    )
+    merged = tiling.merge_small_chunks(chunks, 1300, 4000, 0.05, 1.25)
+    groups = merged.join(chunks, ["dataset", "node"]).groupBy("merged").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("k"))
+    found = groups.agg(F.sum("k").alias("all"), F.max("n").alias("most"), F.count(F.lit(1)).alias("groups")).first()
+    assert found["all"] == side * side and found["most"] <= 4000 and found["groups"] < side * side / 2
+
+
+def test_greedy_looks_at_neighbours_only(monkeypatch):
+    """Few boxes are looked at per chunk, and boxes without numbers or without end are as before: near to none, near to all."""
+    looked = []
+    around = tiling._Near.around
+    monkeypatch.setattr(tiling._Near, "around", lambda self, k: looked.append(found := around(self, k)) or found)
+    grid = [(k, 700, float(k % 50), float(k // 50), k % 50 + 1.0, k // 50 + 1.0) for k in range(2500)]
+    tiling._greedy_pairs(pd.DataFrame(grid, columns=["id", "n", *tiling._BOX]), 1300, 4000, 0.1, 1.25, float("inf"))
+    assert sum(map(len, looked)) < 60 * len(looked)
+    nan, end = float("nan"), float("inf")
+    odd = [(1, 10, nan, nan, nan, nan), (2, 10, 0.0, 0.0, 1.0, 1.0), (3, 10, 500.0, 0.0, 501.0, 1.0), (4, 10, 100.0, 0.0, end, 1.0)]
+    roots = tiling._greedy_pairs(pd.DataFrame(odd, columns=["id", "n", *tiling._BOX]), 15, 20, 0.1, 1.25, end)
+    assert roots["root"].tolist() == [1, 2, 3, 3]
