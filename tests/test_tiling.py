@@ -236,3 +236,18 @@ def test_greedy_looks_at_neighbours_only(monkeypatch):
     odd = [(1, 10, nan, nan, nan, nan), (2, 10, 0.0, 0.0, 1.0, 1.0), (3, 10, 500.0, 0.0, 501.0, 1.0), (4, 10, 100.0, 0.0, end, 1.0)]
     roots = tiling._greedy_pairs(pd.DataFrame(odd, columns=["id", "n", *tiling._BOX]), 15, 20, 0.1, 1.25, end)
     assert roots["root"].tolist() == [1, 2, 3, 3]
+
+
+@pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
+def test_lookup_join_salts_hot_keys_only(spark, how, monkeypatch):
+    monkeypatch.setattr("rooftally.session.HOT_ROWS", 100)
+    big = spark.range(2000).select(F.when(F.col("id") % 3 == 0, F.lit(0)).when(F.col("id") % 3 == 1, F.col("id")).alias("k"), "id")
+    small = spark.range(1500).select(F.col("id").alias("k"), (F.col("id") + 1).alias("v")).union(spark.createDataFrame([(0, 5), (None, 6)], "k long, v long"))
+    results = [sorted(map(tuple, lookup_join(big, small, ["k"], how, max_rows=n).collect()), key=str) for n in (10_000, 0)]
+    assert results[0] == results[1] and results[0]
+    if how != "inner":
+        return
+    pairs = 2 * 667 + len([k for k in range(1, 1500) if k % 3 == 1])
+    monkeypatch.setattr("rooftally.session.SALTS", 10**6)  # a copy of every row of the small side would not end
+    monkeypatch.setattr("rooftally.session.HOT_ROWS", 10_000)
+    assert lookup_join(big, small, ["k"], "inner", max_rows=0).count() == pairs
