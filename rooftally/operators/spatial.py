@@ -319,12 +319,12 @@ def _with_mask_parts(features: DataFrame, masks: DataFrame, size: float, feature
     ``part_rows`` holds the rows of cells whose edges each part knows; in all other rows of the feature the polygon
     covers nothing, whatever edges reach there from the known ones.
 
-    Nearly all features lie in one cell and get the parts of that cell by a plain join. Only those that span
-    several cells are copied per cell and grouped again by their key.
+    Nearly all features lie in one cell and get the parts of that cell by a plain join; where no outline comes into the cell they are whole
+    (``_whole``) and get none. Only those that span several cells are copied per cell and grouped again by their key.
     """
     cover = _row_cover(multi.polygon_rows(masks).withColumn("_mask", F.lit(0)), size, "_mask", edges_everywhere=True)
     by_cell = stage(
-        cover.groupBy("cell_i", "cell_j").agg(F.collect_list(F.struct("_poly", "edges")).alias("_found"))
+        cover.groupBy("cell_i", "cell_j").agg(F.every("fully_inside").alias("_whole"), F.collect_list(F.struct("_poly", "edges")).alias("_found"))
     )
     spans = features.withColumns(
         {
@@ -334,12 +334,12 @@ def _with_mask_parts(features: DataFrame, masks: DataFrame, size: float, feature
     )
     one_cell = (F.col("cell_i") == F.col("_i1")) & (F.col("cell_j") == F.col("_j1"))
     helpers = ["cell_i", "cell_j", "_i1", "_j1", "_found"]
-    single = lookup_join(spans.filter(one_cell), by_cell, ["cell_i", "cell_j"])
+    single = lookup_join(spans.filter(one_cell), by_cell.withColumn("_found", F.when(~F.col("_whole"), F.col("_found"))), ["cell_i", "cell_j"])
     own_row = F.transform("_found", lambda p: F.array("cell_j"))
     single = single.withColumns({"_parts": F.transform("_found", lambda p: p["edges"]), "part_rows": own_row}).drop(*helpers)
     spread = spans.filter(~one_cell).withColumn("cell_j", F.explode(F.sequence("cell_j", "_j1")))
     spread = spread.withColumn("cell_i", F.explode(F.sequence("cell_i", "_i1")))
-    hit = lookup_join(spread, by_cell, ["cell_i", "cell_j"])
+    hit = lookup_join(spread, by_cell.drop("_whole"), ["cell_i", "cell_j"])
     hit = hit.withColumn("_found", F.transform("_found", lambda p: p.withField("row", F.col("cell_j"))))
     others = [c for c in features.columns if c != feature_key]
     gathered = hit.groupBy(feature_key).agg(
@@ -354,7 +354,7 @@ def _with_mask_parts(features: DataFrame, masks: DataFrame, size: float, feature
         return F.array_distinct(F.transform(F.filter("_found", lambda p: p["_poly"] == polygon), lambda p: p["row"]))
 
     polygons = F.array_distinct(F.transform("_found", lambda p: p["_poly"]))
-    found = {"_parts": F.transform(polygons, edges_of_polygon), "part_rows": F.transform(polygons, rows_of_polygon)}
+    found = {"_whole": F.lit(False), "_parts": F.transform(polygons, edges_of_polygon), "part_rows": F.transform(polygons, rows_of_polygon)}
     several = gathered.select(feature_key, "_row.*", *[c.alias(n) for n, c in found.items()])
     return single.unionByName(several)
 
@@ -365,7 +365,7 @@ def clip(features: DataFrame, masks: DataFrame, size: float = 0.25, feature_key:
     ``features``: unique ``feature_key``, ``rings`` and attributes; ``masks``: ``rings``, one row per polygon, or
     ``parts``, in the same reference system. Every feature comes out at most once; pure line or point contacts are kept, with
     ``geom_type`` saying so. The overlay kernel works on features that a mask edge really reaches; the others are
-    wholly inside or wholly outside, which one point decides, and pass it with empty arguments.
+    wholly inside or wholly outside, which one point decides, and do not go there.
     """
     bounded = with_bounds(features.drop("parts").filter(geo.has_geometry(F.col("rings"))))
     near = _with_mask_parts(bounded, masks, size, feature_key)
@@ -377,20 +377,17 @@ def clip(features: DataFrame, masks: DataFrame, size: float = 0.25, feature_key:
         known = F.zip_with(parts, "part_rows", lambda edges, rows: F.struct(edges.alias("edges"), rows.alias("rows")))
         row = grid.join_cell(first["y"], WORLD_MIN_Y, size)
         inside = F.exists(known, lambda p: F.array_contains(p["rows"], row) & geo.odd_crossings(p["edges"], first["x"], first["y"]))
-        return F.struct(parts.alias("_parts"), reached.alias("_reached"), inside.alias("_inside"))
+        return F.struct(parts.alias("_parts"), F.coalesce(reached, F.lit(False)).alias("_reached"), F.coalesce(inside, F.lit(False)).alias("_inside"))
 
     examined = once(near, geo.let(F.transform("_parts", _needed), examine), drop=["_parts"])
-    kept = examined.filter("_reached or _inside")
+    # stored once, so that features which no edge reaches never go to Python and nothing is examined twice
+    kept = stage(examined.filter("_whole or _reached or _inside"))
+    helpers = ["_parts", "part_rows", "_whole", "_reached", "_inside"]
+    untouched = kept.filter("not _reached").drop(*helpers).withColumn("geom_type", F.lit("POLYGON"))
     spans = F.transform("part_rows", lambda rows: F.transform(rows, lambda j: F.struct((j * size + WORLD_MIN_Y).alias("low"), ((j + 1) * size + WORLD_MIN_Y).alias("high"))))
-    asked = [F.when(F.col("_reached"), c) for c in (F.col("rings"), F.col("_parts"), spans)]
-    cut = kept.withColumn("_cut", kernels.common_part(*asked)).filter("not _reached or _cut.geom_type is not null")
-    result = cut.withColumns(
-        {
-            "rings": F.when(F.col("_reached"), F.col("_cut.rings")).otherwise(F.col("rings")),
-            "geom_type": F.when(F.col("_reached"), F.col("_cut.geom_type")).otherwise(F.lit("POLYGON")),
-        }
-    )
-    return with_bounds(result.drop("_parts", "part_rows", "_reached", "_inside", "_cut"))
+    cut = kept.filter("_reached").withColumn("_cut", kernels.common_part("rings", "_parts", spans)).filter("_cut.geom_type is not null")
+    cut = cut.withColumns({"rings": F.col("_cut.rings"), "geom_type": F.col("_cut.geom_type")}).drop(*helpers, "_cut")
+    return untouched.unionByName(with_bounds(cut))
 
 
 def clip_boxes(features: DataFrame, minx: float, miny: float, maxx: float, maxy: float) -> DataFrame:

@@ -351,3 +351,12 @@ def test_names_beyond_latin(spark):
     names = {"กินซ่า": "ก นซา", "Île-de-France": "ile de france", "हिन्दी": "ह नद", "L'Aquila’s": "laquilas", "ＴＯＫＹＯ_23": "tokyo 23", "Straße": "strasse", "東京 都": "東京 都", None: ""}
     rows = spark.createDataFrame([(n,) for n in names], "n string").select("n", text.normalize_name("n").alias("k")).collect()
     assert {r["n"]: r["k"] for r in rows} == names
+
+
+def test_kernels_see_only_what_needs_them(spark, monkeypatch):
+    """Features that no edge of the mask reaches do not go to Python."""
+    raised = F.raise_error(F.lit("went to the kernel"))
+    monkeypatch.setattr(spatial.kernels, "common_part", lambda *args: raised.cast(spatial.kernels.CUT_TYPE))
+    features = spark.createDataFrame([(k, box(k + 0.3, 0.3, k + 0.4, 0.4)) for k in range(3)] + [(9, box(0.2, 0.2, 1.4, 0.6))], f"feature_id int, rings {RINGS}")
+    mask = spark.createDataFrame([(box(-1, -1, 2, 2),)], f"rings {RINGS}")
+    assert {(r["feature_id"], r["geom_type"], r["maxy"]) for r in spatial.clip(features, mask).collect()} == {(0, "POLYGON", 0.4), (1, "POLYGON", 0.4), (9, "POLYGON", 0.6)}
