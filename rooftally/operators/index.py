@@ -122,9 +122,9 @@ def feature_json(df: DataFrame, geometry: Column, drop: list[str]) -> DataFrame:
 
 
 def to_feature_collection(df: DataFrame, geometry: Column, drop: list[str], order: list[str], srid: int = 3857, page_size: int = 10_000) -> DataFrame:
-    """FeatureCollections with a ``crs`` member, at most ``page_size`` features each, in ``order``."""
+    """FeatureCollections with a ``crs`` member, at most ``page_size`` features each, in ``order`` and, where that leaves ties, in the order of their text."""
     feature = _feature(df, geometry, drop)
-    numbered = with_position(df.select(*order, feature.alias("_f")), *order, name="_position")
+    numbered = with_position(df.select(*order, feature.alias("_f")), *order, "_f", name="_position")
     head = f'{{"type":"FeatureCollection","crs":{{"type":"name","properties":{{"name":"EPSG:{srid}"}}}},"features":['
     joined = F.concat_ws(",", F.transform(F.array_sort(F.collect_list(F.struct("_position", "_f"))), lambda s: s["_f"]))
     return numbered.groupBy(F.floor((F.col("_position") - 1) / page_size).alias("page")).agg(

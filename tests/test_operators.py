@@ -360,3 +360,12 @@ def test_kernels_see_only_what_needs_them(spark, monkeypatch):
     features = spark.createDataFrame([(k, box(k + 0.3, 0.3, k + 0.4, 0.4)) for k in range(3)] + [(9, box(0.2, 0.2, 1.4, 0.6))], f"feature_id int, rings {RINGS}")
     mask = spark.createDataFrame([(box(-1, -1, 2, 2),)], f"rings {RINGS}")
     assert {(r["feature_id"], r["geom_type"], r["maxy"]) for r in spatial.clip(features, mask).collect()} == {(0, "POLYGON", 0.4), (1, "POLYGON", 0.4), (9, "POLYGON", 0.6)}
+
+
+def test_feature_pages_do_not_depend_on_the_order_of_rows(rows):
+    table = rows("name string, k int", [("a", k) for k in range(30)])
+    pages = [
+        sorted(r["document"] for r in index.to_feature_collection(t, F.lit("null"), [], ["name"], page_size=7).collect())
+        for t in (table, table.orderBy(F.desc("k")).coalesce(1), table.repartition(5, "k"))
+    ]
+    assert pages[0] == pages[1] == pages[2]
