@@ -156,6 +156,15 @@ def test_crowded_place_is_sliced(spark):
     assert sorted(r["count"] for r in out) == [1, 15, 20, 20, 20, 20]
 
 
+def test_places_are_worked_out_once(spark):
+    """Rectangles, other shapes and missing ones: the rows that come back are not projected a second time."""
+    rows = [(i, "d", box(i, i, i + 1, i + 1)) for i in range(8)] + [(8, "d", [[(0.0, 0.0), (4.0, 0.0), (0.0, 4.0), (0.0, 0.0)]]), (9, "d", None), (10, "d", [])]
+    df = spark.createDataFrame(rows, f"row_id int, dataset string, rings {RINGS}")
+    out = tiling.spatial_chunks(df, "row_id", target=3, minimum=0, maximum=3)
+    assert set(out.columns) == {"row_id", "dataset", "rings", "chunk_name"} and out.count() == 11
+    assert "TAN(" not in out._jdf.queryExecution().toString().upper()
+
+
 def test_process_layer_steps(spark):
     bow = [[(0.0, 0.0), (1.0, 1.0), (1.0, 0.0), (0.0, 1.0), (0.0, 0.0)]]
     rows = [
