@@ -2,10 +2,12 @@
 
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from rooftally.functions import geometry as geo
+from rooftally.operators import dissolve as outlines
 from rooftally.operators.dissolve import dissolve
 from tests.shapes import RINGS, box, inside, ring, star
 
@@ -51,6 +53,36 @@ def test_random_stars(spark, seed):
     assert all(inside(rings, x, y) == any(inside(s, x, y) for s in shapes) for x, y in spots)
 
 
+@pytest.mark.parametrize("pairs", [1, 50, None])
+def test_cells_are_worked_on_together(monkeypatch, pairs):
+    """A batch of cells gives what each gives alone, and takes one step for all of them, or more where the pairs are bounded."""
+    rng, polygons, cells = random.Random(3), [], []
+    for _ in range(40):
+        held = [star(rng, rng.uniform(0, 1), rng.uniform(0, 1), rng.uniform(0.3, 1), rng.randint(3, 8))[0] for _ in range(rng.randint(0, 3))]
+        cells.append(len(held))
+        polygons += [np.array([(*a, *b) for a, b in zip(r, r[1:])]) for r in held]
+    calls, meeting = [], outlines._meeting
+
+    def counted(*edges):
+        calls.append(1)
+        return meeting(*edges)
+
+    def work(shapes, counts):
+        box = np.tile((0.0, 0.0, 1.0, 1.0), (len(counts), 1))
+        edges = np.vstack(shapes) if shapes else np.empty((0, 4))
+        ends = (np.cumsum([0, *map(len, shapes)]), np.cumsum([0, *counts]))
+        owner, sizes, points = outlines.strung(*outlines.cell_outlines(edges, *ends, np.zeros(len(shapes), bool), box, 9))
+        return [(o, p.tolist()) for o, p in zip(owner.tolist(), np.split(points, np.cumsum(sizes)[:-1]))]
+
+    starts = np.cumsum([0, *cells])
+    alone = [(k, path) for k, n in enumerate(cells) for _, path in work(polygons[starts[k] : starts[k] + n], [n])]
+    monkeypatch.setattr(outlines, "_meeting", counted)
+    if pairs:
+        monkeypatch.setattr(outlines, "PAIRS_AT_ONCE", pairs)
+    assert work(polygons, cells) == alone and alone
+    assert pairs or len(calls) == 1
+
+
 def test_nothing_to_dissolve(spark):
     assert union(spark, [], 0.25) == [] and union(spark, [None, []], 0.25) == []
     assert ring((0, 0), (1, 0), (1, 1))[0] == (0.0, 0.0)
