@@ -3,6 +3,7 @@
 import json
 import random
 import struct
+import sys
 
 import numpy as np
 import pytest
@@ -155,3 +156,29 @@ def test_stacks_are_judged_as_one_by_one(monkeypatch):
     monkeypatch.setattr(multi, "valid_polygons", None)
     monkeypatch.setattr(multi, "well_nested", None)
     assert multi.valid_parts_column(multi.parts_to_arrow([arrays([p]) for p in sound])).all()
+
+
+def test_validity_takes_no_call_per_row():
+    """Calls grow with the sorts of shapes in a batch, not with its rows, and the sorts may come in any order."""
+    sorts = [
+        [box(0, 0, 2, 2)], [[ring((0, 0), (1, 1), (1, 0), (0, 1))]], [[ring((0, 0), (1, 0), (0, 1))]], None, [], [[]], [[box(0, 0, 4, 4)[0], HOLE]], [[HOLE], []], TWO,
+        [box(k, 0, k + 0.5, 1) for k in range(15)], [*[box(k, 0, k + 0.5, 1) for k in range(15)], []], [[[(0.0, 0.0), (1.0, 0.0), (0.0, 0.0)]]],
+    ]
+    want = [True, False, True, False, False, False, True, False, False, True, False, False]
+    mixed = [k for _ in range(3) for k in random.Random(5).sample(range(12), 12)]
+    column = multi.parts_to_arrow([sorts[k] if sorts[k] is None else arrays(sorts[k]) for k in mixed])
+    assert multi.valid_parts_column(column).tolist() == [want[k] for k in mixed]
+    assert multi.valid_parts_column(column.slice(5, 20)).tolist() == [want[k] for k in mixed[5:25]]
+
+    def calls(test, column):
+        seen = []
+        test(column)
+        sys.setprofile(lambda frame, event, what: seen.append(event))
+        test(column)
+        sys.setprofile(None)
+        return len(seen)
+
+    small = [sorts[k] if sorts[k] is None else arrays(sorts[k]) for k in (0, 1, 2, 3, 4, 5, 6, 8)]
+    flat_rows = [p if p is None else [r for part in p for r in part] for p in small]
+    for test, made, rows in [(kernels.valid_rings, kernels.rings_to_arrow, flat_rows), (multi.valid_parts_column, multi.parts_to_arrow, small)]:
+        assert calls(test, made(rows * 500)) < calls(test, made(rows * 5)) + 50
