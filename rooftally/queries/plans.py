@@ -5,12 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rooftally.fixtures import with_views
+from rooftally.fixtures import view, with_views
 from rooftally.functions import geometry as geo
 from rooftally.plans import build, publish
 from rooftally.operators import index
 from rooftally.queries.registry import query
-from rooftally.queries.spatial import MERCATOR_Y, buildings
+from rooftally.queries.spatial import MERCATOR_Y, buildings, with_shapes
 from rooftally.queries.tiling import ROUNDS, TARGET, merge_sql, quadtree_sql
 from rooftally.session import with_position
 
@@ -33,9 +33,10 @@ NAMED = f""", leaves AS (SELECT source, node, count(*) AS n, min(a) AS minx, min
 
 def numbered(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Buildings with a unique ``row_id`` in a total order."""
-    rows = buildings(spark, sf_dir).select("id", "height", "source", "rings")
     keys = [F.col("id").asc(), F.col("height").asc_nulls_last(), F.col("source").asc_nulls_last()]
-    return with_position(rows, *keys, name="row_id")
+    # the narrow rows are ordered, outlines come after
+    rows = with_position(view(spark, sf_dir, "bld"), *keys, name="row_id")
+    return with_shapes(rows).select("id", "height", "source", "rings", "row_id")
 
 
 @query(

@@ -165,6 +165,50 @@ def test_places_are_worked_out_once(spark):
     assert "TAN(" not in out._jdf.queryExecution().toString().upper()
 
 
+def test_rectangles_travel_as_corners(spark):
+    """Plain rectangles lose their rings on the way and get the same ones back; other shapes and corners on an axis keep theirs."""
+    slant = [ring((1, 1), (4, 1), (1, 4))]
+    shapes = [box(2, 3, 4, 5), slant, box(0, 1, 2, 2), [[(1.0, -0.0), (2.0, 0.0), (2.0, 1.0), (1.0, 1.0), (1.0, 0.0)]], [ring((1, 1), (1, 2), (2, 2), (2, 1))], [], None]
+    df = spark.createDataFrame([(i, "d" if i % 2 else None, s) for i, s in enumerate(shapes)], f"row_id int, dataset string, rings {RINGS}")
+    packed = tiling.spatial_chunks(df, "row_id", target=2, minimum=0, maximum=2, packed=True)
+    kept = {r["row_id"]: (r["_west"], r["rings"] is None) for r in packed.collect()}
+    assert kept == {0: (2.0, True), 1: (None, False), 2: (None, False), 3: (None, False), 4: (None, False), 5: (None, False), 6: (None, True)}
+    back = {r["row_id"]: r["rings"] and [[(p["x"], p["y"]) for p in one] for one in r["rings"]] for r in tiling.unpacked(packed).collect()}
+    assert [str(back[i]) for i in range(len(shapes))] == [str(s) for s in shapes]
+
+
+def test_layer_sorts_numbers_before_texts(spark):
+    """Duplicates are ranked by the digest of their corners, and the rows of the layer are not stored again after their chunks are known."""
+    rows = [(i, "d", box(i, i, i + 1, i + 1)) for i in range(1, 9)]
+    layer, _ = build.process_layer(spark.createDataFrame(rows, f"row_id int, dataset string, rings {RINGS}"), target=3, minimum=0, maximum=3)
+    text = layer._jdf.queryExecution().executedPlan().toString()
+    assert text.count("BroadcastHashJoin") >= 2 and "WindowGroupLimit [_w" in text
+    assert "dataset" in text.split("WindowGroupLimit [", 1)[1].split(",")[1]
+
+
+def test_numbered_nodes_are_the_paths(spark):
+    """Numbers of leaves stand for the same leaves as their paths, in trees of several datasets, one of them without a name."""
+    rng = random.Random(4)
+    points = [(i, (None, "a", "b")[i % 3], rng.gauss(0, 1), rng.gauss(0, 1)) for i in range(1500)]
+    df = spark.createDataFrame(points, "id int, d string, rep_x double, rep_y double")
+    tree = tiling.build_quadtree(df, 20, scope=["d"])
+    numbers = tree.number(df).select("id", "d", "_at")
+    named = tree.paths(numbers.select("d", "_at").distinct())
+    assert named.count() == numbers.select("d", "_at").distinct().count()
+    got = {r["id"]: r["node"] for r in numbers.filter("d IS NOT NULL").join(named, ["d", "_at"]).collect()}
+    assert got == leaves([(i, x, y) for i, d, x, y in points if d == "a"], 20) | leaves([(i, x, y) for i, d, x, y in points if d == "b"], 20)
+    assert {r["id"]: r["node"] for r in tree.assign(df).collect()} == got | {p[0]: "" for p in points if p[1] is None}
+
+
+@pytest.mark.parametrize("kind, ids, repeated", [
+    ("long", [-65, -64, -1, 0, 63, 64, 127, 2**62], False), ("long", [-1, 5, -1], True), ("int", [64, 128, 64], True), ("int", [None, 1], False), ("int", [None, None], True),
+    ("string", ["x", "y"], False), ("string", ["x", "x"], True),
+])
+def test_repeated_row_ids(spark, kind, ids, repeated):
+    df = spark.createDataFrame([("a", i) for i in ids] + [("b", i) for i in ids[:1]], f"dataset string, row_id {kind}")
+    assert (tiling._repeated(df, "dataset", "row_id").count() > 0) == repeated
+
+
 def test_process_layer_steps(spark):
     bow = [[(0.0, 0.0), (1.0, 1.0), (1.0, 0.0), (0.0, 1.0), (0.0, 0.0)]]
     rows = [
