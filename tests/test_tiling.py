@@ -200,6 +200,23 @@ def test_numbered_nodes_are_the_paths(spark):
     assert {r["id"]: r["node"] for r in tree.assign(df).collect()} == got | {p[0]: "" for p in points if p[1] is None}
 
 
+def test_chunks_without_broadcasts_are_the_same(spark, monkeypatch):
+    """Very large trees and tables of names join by a shuffle: same rows, same names."""
+    rng = random.Random(6)
+    spots = [(i, ("a", "b", None)[i % 3], rng.uniform(1, 2), rng.uniform(1, 2)) for i in range(300)]
+    df = spark.createDataFrame([(i, d, box(x, y, x + 0.01, y + 0.01)) for i, d, x, y in spots], f"row_id int, dataset string, rings {RINGS}")
+
+    def chunks():
+        return sorted((r["row_id"], r["dataset"] or "", r["chunk_name"], str(r["rings"])) for r in tiling.spatial_chunks(df, "row_id", target=10, minimum=5, maximum=12).collect())
+
+    want = chunks()
+    assert len(want) == 300 and len({w[2] for w in want}) > 30
+    monkeypatch.setattr(tiling, "NAMES_ROWS", 0)
+    assert chunks() == want
+    monkeypatch.setattr(tiling, "BROADCAST_ROWS", 0)
+    assert chunks() == want
+
+
 @pytest.mark.parametrize("kind, ids, repeated", [
     ("long", [-65, -64, -1, 0, 63, 64, 127, 2**62], False), ("long", [-1, 5, -1], True), ("int", [64, 128, 64], True), ("int", [None, 1], False), ("int", [None, None], True),
     ("string", ["x", "y"], False), ("string", ["x", "x"], True),
